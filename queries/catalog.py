@@ -100,10 +100,13 @@ class Run:
         return self.staged(self.daily, "daily")
 
     def signals(self) -> Signals:
+        """The inputs of a whole run; sales and stock exist as tables, as they do in a shop."""
         fx = self.fx
+        tables = self.staging.tables({"sales": fx["fx_sales"], "stock": self.stock})
+        fx["fx_sales"] = tables["sales"]
         inputs = Inputs(
             sales=self.history,
-            stock=self.staged(self.stock, "stock"),
+            stock=tables["stock"],
             option_inventory=self.option_inventory,
             products=fx["fx_status"],
             brands=fx["fx_brand"],
@@ -203,9 +206,10 @@ def semi_join_recent_sellers(run: Run) -> DataFrame:
 
 @query
 def filter_substitutes(run: Run) -> DataFrame:
-    options = run.staged(run.options, "options")
-    losers = sales.substitute_losers(options, SHOP.substitutes, RUN_DATE, SHOP.substitute_days)
-    return sales.without_products(sales.daily_sales(options), losers)
+    losers = sales.substitute_losers(
+        run.lines, SHOP.substitutes, RUN_DATE, SHOP.substitute_days
+    )
+    return sales.without_products(run.daily, losers)
 
 
 @query

@@ -175,6 +175,9 @@ class Fixtures:
                 self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._frames[name]
 
+    def __setitem__(self, name: str, frame: DataFrame) -> None:
+        self._frames[name] = frame
+
 
 def needed(text: str) -> list[str]:
     """Views and tables that a text names, in order of first mention."""

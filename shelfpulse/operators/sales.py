@@ -102,17 +102,18 @@ def recent_average(daily: DataFrame, as_of: date, days: int = 7) -> DataFrame:
 
 
 def substitute_losers(
-    options: DataFrame, substitutes: Iterable[int], run_date: date, days: int = 90
+    sales: DataFrame, substitutes: Iterable[int], run_date: date, days: int = 90
 ) -> DataFrame:
     """Products of a substitute group that sold less than its best seller.
 
-    Ties keep all, and a member without recent sales is not a loser.
+    Ties keep all, and a member without recent sales is not a loser. Both conditions are on
+    plain columns of the order lines and skip most of them at the scan.
     """
     sums = (
-        options.filter(F.col("product_id").isin(list(substitutes)))
-        .filter(within(F.col("day"), run_date - timedelta(days=days), None))
+        sales.filter(F.col("product_id").isin(list(substitutes)))
+        .filter(within(F.col("purchased_at"), run_date - timedelta(days=days), None))
         .groupBy("product_id")
-        .agg(F.sum("qty").alias("qty"))
+        .agg(F.coalesce(F.sum("product_qty"), F.lit(0.0)).alias("qty"))
     )
     best = sums.agg(F.max("qty")).scalar()
     return sums.filter(F.col("qty") != best).select("product_id")
@@ -120,28 +121,19 @@ def substitute_losers(
 
 def inactive_products(products: DataFrame, statuses: Iterable[str]) -> DataFrame:
     """Products whose status takes them out; unknown and null statuses stay in."""
-    return products.filter(F.col("status").isin(list(statuses))).select("product_id")
+    return products.filter(F.col("status").isin(list(statuses))).select("product_id").distinct()
 
 
 def without_products(df: DataFrame, blocked: DataFrame) -> DataFrame:
     return df.join(blocked, "product_id", "left_anti")
 
 
-def blocked_products(
-    options: DataFrame,
-    products: DataFrame,
-    *,
-    substitutes: Iterable[int],
-    statuses: Iterable[str],
-    excluded: Iterable[int],
-    run_date: date,
-    substitute_days: int = 90,
-) -> DataFrame:
-    """All products that no list may use.
+def flag_sellable(df: DataFrame, blocked: DataFrame, excluded: Iterable[int]) -> DataFrame:
+    """A `sellable` column: false for products that no list may use.
 
-    A block is a property of the product, so it is applied to product-level results and
-    rollups and the order lines need no join.
+    Being blocked is a property of the product, so it is attached to the rollup and the
+    order lines need no join.
     """
-    losers = substitute_losers(options, substitutes, run_date, substitute_days)
-    named = options.filter(F.col("product_id").isin(list(excluded))).select("product_id")
-    return losers.union(inactive_products(products, statuses)).union(named).distinct()
+    marked = blocked.select("product_id").distinct().withColumn("blocked", F.lit(True))
+    free = F.col("blocked").isNull() & not_in_keep_null(F.col("product_id"), excluded)
+    return df.join(marked, "product_id", "left").withColumn("sellable", free).drop("blocked")

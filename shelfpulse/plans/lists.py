@@ -13,7 +13,7 @@ from shelfpulse.operators.feedback import review_summary, search_inflow
 from shelfpulse.operators.filters import exposure_ok, list_order, top_ranked, turnover_ok
 from shelfpulse.operators.prices import price_columns
 from shelfpulse.operators.repurchase import repurchase_index
-from shelfpulse.operators.sales import last_known, recent_average, without_products
+from shelfpulse.operators.sales import barcode_map, recent_average
 from shelfpulse.operators.scoring import ITEM, add_grades, final_score, with_benchmark
 from shelfpulse.operators.stock import out_of_stock_rate
 from shelfpulse.operators.trend import long_term_growth
@@ -52,10 +52,15 @@ def _stock_cells() -> list[str]:
 EXPOSURE_CELLS = ["main_rec_category", "exposure_start", "exposure_uplift"]
 
 
-def _kept_brands(df: DataFrame, signals: Signals) -> DataFrame:
-    """Attach brands and drop the excluded ones; products without a brand stay."""
-    branded = df.join(signals.inputs.brands, "product_id", "left")
-    return branded.filter(not_in_keep_null(F.col("brand"), signals.shop.excluded_brands))
+def _with_cards(df: DataFrame, signals: Signals) -> DataFrame:
+    """Attach the product cards and drop excluded brands; products without a brand stay."""
+    carded = df.join(signals.cards, "product_id", "left")
+    return carded.filter(not_in_keep_null(F.col("brand"), signals.shop.excluded_brands))
+
+
+def _weekly(signals: Signals, options: dict[str, float]) -> DataFrame:
+    """Weekly growth: the shared frame, unless windows or thresholds are not the usual ones."""
+    return signals.weekly_plan(**options) if options else signals.weekly
 
 
 def _finish(
@@ -73,29 +78,19 @@ def _finish(
 def growth_list(
     signals: Signals,
     *,
-    latest_days: int = 7,
-    compare_days: int = 28,
-    atleast_avg_qty: float = 0,
-    atleast_qty: float = 6,
     min_turnover: float = 0,
     head_num: int | None = None,
+    **growth_options: float,
 ) -> DataFrame:
-    """Products whose sales grew fastest against the four weeks before."""
-    shop = signals.shop
-    pinned = [shop.pinned_product]
-    weekly = signals.weekly(
-        latest_days=latest_days,
-        compare_days=compare_days,
-        atleast_avg_qty=atleast_avg_qty,
-        atleast_qty=atleast_qty,
-    )
-    names = last_known(signals.sellable, ["product_name"])
+    """Products whose sales grew fastest against the four weeks before.
+
+    `growth_options` are those of `weekly_growth`.
+    """
+    pinned = [signals.shop.pinned_product]
+    signals.need("daily", "cards", *([] if growth_options else ["weekly"]))
     joined = (
-        _kept_brands(weekly.join(names, "product_id", "left"), signals)
+        _with_cards(_weekly(signals, growth_options), signals)
         .join(long_term_growth(signals.daily), "product_id", "left")
-        .join(signals.turnover, "product_id", "left")
-        .join(signals.prices, "product_id", "left")
-        .join(signals.uplift, "product_id", "left")
         .filter(turnover_ok(min_turnover, pinned) & exposure_ok(pinned))
     )
     items = joined.select(
@@ -127,23 +122,16 @@ def repurchase_list(
 ) -> DataFrame:
     """Products that many customers buy again."""
     pinned = [signals.shop.pinned_product]
+    signals.need("daily", "cards", "purchase_totals")
     index = repurchase_index(
         signals.purchase_totals,
         target_period,
         min_orders=min_repurchase,
         min_users=min_repurchase_user,
     )
-    attributes = last_known(
-        signals.sellable, ["product_name", "category_m", "category_s"], signals.as_of
-    )
-    joined = (
-        _kept_brands(without_products(index, signals.blocked), signals)
-        .join(attributes, "product_id")
-        .join(recent_average(signals.daily, signals.as_of, latest_days), "product_id")
-        .join(signals.turnover, "product_id", "left")
-        .filter(turnover_ok(min_turnover, pinned))
-        .join(signals.prices, "product_id", "left")
-        .join(signals.uplift, "product_id", "left")
+    recent = recent_average(signals.daily, signals.as_of, latest_days)
+    joined = _with_cards(index.join(recent, "product_id"), signals).filter(
+        F.col("sellable") & turnover_ok(min_turnover, pinned)
     )
     graded_input = signals.staging.table(
         joined.select(
@@ -182,13 +170,10 @@ def repurchase_list(
     return _finish(scored, [*means, *STOCK_MEANS, "exposure_uplift"], "score", head_num)
 
 
-def ranking_inputs(
+def ranking_items(
     signals: Signals,
     *,
     latest_days: int = 7,
-    compare_days: int = 28,
-    atleast_avg_qty: float = 0,
-    atleast_qty: float = 6,
     min_turnover: float = 21,
     negative_up_to: int = 3,
     target_period: int = 180,
@@ -196,32 +181,28 @@ def ranking_inputs(
     min_repurchase_user: int = 10,
     this_year_days: int = 30,
     this_quarter_days: int = 20,
+    **growth_options: float,
 ) -> DataFrame:
-    """All signals of the products that sell weekly and are bought again, staged."""
+    """All signals of the products that sell weekly and are bought again."""
+    usual = latest_days == 7 and not growth_options
+    signals.need("daily", "cards", "purchase_totals", *(["weekly"] if usual else []))
     as_of, daily, inputs = signals.as_of, signals.daily, signals.inputs
-    weekly = signals.weekly(
-        latest_days=latest_days,
-        compare_days=compare_days,
-        atleast_avg_qty=atleast_avg_qty,
-        atleast_qty=atleast_qty,
-    )
+    weekly = _weekly(signals, {} if usual else {"latest_days": latest_days, **growth_options})
     index = repurchase_index(
         signals.purchase_totals,
         target_period,
         min_orders=min_repurchase,
         min_users=min_repurchase_user,
     )
-    attributes = last_known(signals.sellable, ["product_name", "category_m", "category_s"], as_of)
     yearly = growth.yearly_growth(daily, as_of, min_days=this_year_days)
     quarterly = growth.quarterly_growth(daily, as_of, min_days=this_quarter_days)
     reviews = review_summary(
         inputs.reviews, as_of, latest_days=latest_days, negative_up_to=negative_up_to
     )
-    oos = out_of_stock_rate(inputs.stock, signals.barcodes, as_of, latest_days)
+    oos = out_of_stock_rate(inputs.stock, barcode_map(signals.sellable), as_of, latest_days)
     joined = (
-        _kept_brands(weekly, signals)
-        .join(without_products(index, signals.blocked), "product_id")
-        .join(attributes, "product_id", "left")
+        _with_cards(weekly.join(index, "product_id"), signals)
+        .filter("sellable")
         .join(yearly.select("product_id", "yoy_rate"), "product_id", "left")
         .join(quarterly.select("product_id", "qoq_rate"), "product_id", "left")
         .join(reviews, "product_id", "left")
@@ -230,16 +211,14 @@ def ranking_inputs(
     )
     found = signals.staging.table(joined, "ranking_signals")
     # Unreviewed products get the mean rating, rounded as the published table rounds it.
-    mean_rating = found.agg(exact_mean(F.col("avg_rating"))).first()[0]
+    mean_rating = found.agg(exact_mean(F.col("avg_rating"))).scalar()
     zero = F.lit(0.0)
     filled = found.withColumns(
         {
             "yoy_rate": F.coalesce("yoy_rate", zero),
             "qoq_rate": F.coalesce("qoq_rate", zero),
             "category_s": F.coalesce("category_s", F.lit("-")),
-            "avg_rating": np_round(
-                F.coalesce("avg_rating", F.lit(mean_rating).cast("double")), 4
-            ),
+            "avg_rating": np_round(F.coalesce("avg_rating", mean_rating), 4),
             "review_count": F.coalesce(F.col("review_count").cast("double"), zero),
             "review_length": F.coalesce("review_length", zero),
             "search_count": F.coalesce(F.col("search_count").cast("double"), zero),
@@ -247,11 +226,9 @@ def ranking_inputs(
             "negative_case": F.coalesce("negative_case", F.lit("-")),
         }
     )
-    return (
-        filled.join(signals.turnover, "product_id", "left")
-        .filter(turnover_ok(min_turnover, [signals.shop.pinned_product]))
-        .filter(F.col("product_name").isNotNull())
-        .join(signals.prices, "product_id", "left")
+    return filled.filter(
+        turnover_ok(min_turnover, [signals.shop.pinned_product])
+        & F.col("product_name").isNotNull()
     )
 
 
@@ -289,12 +266,13 @@ def ranking_list(
     **thresholds,
 ) -> DataFrame:
     """Weekly ranking over weighted grades; the benchmark row is graded with the items."""
-    items = signals.staging.table(ranking_inputs(signals, **thresholds), "ranking_items")
+    items = ranking_items(signals, **thresholds)
     listed = with_benchmark(items, RANKING_MEANS)
-    graded = add_grades(listed, metrics, weights=weights)
+    graded = add_grades(
+        signals.staging.table(listed, "ranking_items"), metrics, weights=weights
+    )
     scored = (
         final_score(graded, metrics, penalties)
-        .join(signals.uplift, "product_id", "left")
         .select(
             "row_kind",
             "product_id",

@@ -12,6 +12,7 @@ from shelfpulse.operators.filters import list_order, top_ranked
 from shelfpulse.operators.scoring import ITEM
 from shelfpulse.plans.lists import growth_list, ranking_list, repurchase_list
 from shelfpulse.plans.signals import Signals
+from shelfpulse.session import together
 
 
 @dataclass(frozen=True)
@@ -40,35 +41,44 @@ def exclusive_lists(
     The repurchase list leaves out the placed ranking products, the growth list those and
     the whole repurchase list. Everything excluded is one of a fixed number of products.
     """
-    shop, stage = signals.shop, signals.staging.table
+    shop, stage = signals.shop, signals.staging.tables
     placed, size = shop.placed_per_list, shop.list_size
     ranking_options = {"min_turnover": 0, **(ranking_options or {}), "head_num": size}
-    ranking = stage(_items(ranking_list(signals, **ranking_options)), "ranking_list")
+    signals.need("daily", "cards", "weekly", "purchase_totals")
+    ranked, found, grown = (
+        _items(listed)
+        for listed in together(
+            signals.spark,
+            [
+                lambda: ranking_list(signals, **ranking_options),
+                lambda: repurchase_list(signals, **(repurchase_options or {})),
+                lambda: growth_list(signals, **(growth_options or {})),
+            ],
+        )
+    )
+    by_growth = list_order("growth_rate")
+    first = stage(
+        {"ranking_list": ranked, "growth_top": top_ranked(grown, placed, by_growth)}
+    )
+    ranking, growth_top = first["ranking_list"], first["growth_top"]
     placed_ranking = ranking.filter(F.col("rank") <= placed).select("product_id")
-
-    found = _items(repurchase_list(signals, **(repurchase_options or {})))
-    repurchase = stage(
-        top_ranked(
-            found.join(placed_ranking, "product_id", "left_anti"), size, list_order("score")
-        ),
-        "repurchase_list",
+    left = found.join(placed_ranking, "product_id", "left_anti")
+    repurchase = signals.staging.table(
+        top_ranked(left, size, list_order("score")), "repurchase_list"
     )
-
-    grown = _items(growth_list(signals, **(growth_options or {})))
-    growth_top = stage(top_ranked(grown, placed, list_order("growth_rate")), "growth_top")
     shown = (
         placed_ranking.union(repurchase.filter(F.col("rank") <= placed).select("product_id"))
         .union(growth_top.select("product_id"))
         .filter(F.col("product_id") == shop.pinned_product)
     )
     pin = signals.pinned_in_stock and shown.isEmpty()
-    first = (F.col("product_id") == shop.pinned_product) if pin else None
+    pinned_first = (F.col("product_id") == shop.pinned_product) if pin else None
     listed = placed_ranking.union(repurchase.select("product_id"))
-    growth = stage(
+    growth = signals.staging.table(
         top_ranked(
             grown.join(listed, "product_id", "left_anti"),
             size,
-            list_order("growth_rate", first),
+            list_order("growth_rate", pinned_first),
         ),
         "growth_list",
     )

@@ -66,10 +66,11 @@ class Inputs:
 
 
 class Signals:
-    """Frames that several lists share; each is staged or built on first use.
+    """Frames that several lists share, each staged on first use.
 
     The order lines are read in full once, for the option-day rollup. Everything else comes
     from that rollup, but for the repurchase counts, which read the last half year again.
+    `need` stages several frames at the same time.
     """
 
     def __init__(
@@ -86,112 +87,131 @@ class Signals:
         self.spark, self.inputs, self.shop = spark, inputs, shop
         self.run_date, self.today, self.periods = run_date, today, periods
         self.staging = staging or Staging(spark)
-        self._weekly: dict[tuple, DataFrame] = {}
+        self._staged: dict[str, DataFrame] = {}
+        self._plans = {
+            "daily": self._daily,
+            "cards": self._cards,
+            "purchase_totals": self._purchase_totals,
+            "weekly": self.weekly_plan,
+        }
 
     @cached_property
-    def lines(self) -> DataFrame:
-        return sales.keep_categories(self.inputs.sales, self.shop.excluded_categories)
+    def _pinned_stock(self) -> DataFrame:
+        barcodes = sources.option_barcodes(self.inputs.option_inventory, self.shop.pinned_product)
+        return stock.any_in_stock(self.inputs.stock, barcodes)
 
     @cached_property
     def pinned_in_stock(self) -> bool:
-        barcodes = sources.option_barcodes(
-            self.inputs.option_inventory, self.shop.pinned_product
-        )
-        return stock.any_in_stock(self.inputs.stock, barcodes).first()[0]
+        return self._pinned_stock.first()[0]
 
     @cached_property
-    def options(self) -> DataFrame:
-        """Option-day rollup; without the pinned product if that is sold out."""
-        rollup = self.staging.table(sales.option_days(self.lines), "option_days")
-        if not self.pinned_in_stock:
-            rollup = rollup.filter(F.col("product_id") != self.shop.pinned_product)
-        return rollup
+    def lines(self) -> DataFrame:
+        """Order lines of the kept categories; none of the pinned product if it is sold out."""
+        kept = sales.keep_categories(self.inputs.sales, self.shop.excluded_categories)
+        pinned = F.col("product_id") == self.shop.pinned_product
+        return kept.filter(~pinned | self._pinned_stock.scalar())
 
     @cached_property
-    def blocked(self) -> DataFrame:
+    def options(self) -> DataFrame:
+        """Option-day rollup of all products, with the flag of those that lists may use."""
         shop = self.shop
-        found = sales.blocked_products(
-            self.options,
-            self.inputs.products,
-            substitutes=shop.substitutes,
-            statuses=shop.excluded_statuses,
-            excluded=shop.excluded_products,
-            run_date=self.run_date,
-            substitute_days=shop.substitute_days,
+        losers = sales.substitute_losers(
+            self.lines, shop.substitutes, self.run_date, shop.substitute_days
+        )
+        inactive = sales.inactive_products(self.inputs.products, shop.excluded_statuses)
+        flagged = sales.flag_sellable(
+            sales.option_days(self.lines), losers.union(inactive), shop.excluded_products
         )
-        return self.staging.table(found, "blocked")
+        return self.staging.table(flagged, "option_days")
 
-    @cached_property
+    @property
     def sellable(self) -> DataFrame:
-        """Option-day rollup of the products that lists may use."""
-        return sales.without_products(self.options, self.blocked)
+        return self.options.filter("sellable")
 
     @cached_property
-    def daily(self) -> DataFrame:
-        return self.staging.table(sales.daily_sales(self.sellable), "daily")
+    def _last_days(self) -> tuple[date, date]:
+        row = self.options.agg(
+            F.max("day"), F.max(F.when(F.col("sellable"), F.col("day")))
+        ).first()
+        return row[0], row[1]
 
-    @cached_property
+    @property
     def as_of(self) -> date:
-        return self.today or sales.latest_day(self.daily)
+        """The last day on which anything that lists may use was sold, or the given day."""
+        return self.today or self._last_days[1]
 
-    @cached_property
-    def stock_as_of(self) -> date:
-        return sales.latest_day(self.options)
+    def need(self, *names: str) -> None:
+        missing = [name for name in names if name not in self._staged]
+        self._staged.update(self.staging.tables({n: self._plans[n]() for n in missing}))
 
-    @cached_property
-    def barcodes(self) -> DataFrame:
-        return self.staging.table(sales.barcode_map(self.options), "barcodes")
+    def _get(self, name: str) -> DataFrame:
+        self.need(name)
+        return self._staged[name]
 
-    @cached_property
-    def turnover(self) -> DataFrame:
-        top = stock.stock_turnover(
-            self.inputs.stock, self.options, self.stock_as_of, alias=self.shop.product_alias
-        )
-        return self.staging.table(top, "turnover")
+    @property
+    def daily(self) -> DataFrame:
+        """Daily sales of the products that lists may use."""
+        return self._get("daily")
 
-    @cached_property
-    def uplift(self) -> DataFrame:
-        """Exposure uplift, on the sales of all products, blocked ones too."""
-        streaks = exposure.exposure_streak(self.inputs.exposures)
-        daily = sales.daily_sales(self.options)
-        return self.staging.table(exposure.exposure_uplift(streaks, daily), "uplift")
+    @property
+    def cards(self) -> DataFrame:
+        """One row per product with all that is shown beside its metrics.
 
-    @cached_property
-    def prices(self) -> DataFrame:
+        Name and categories (null unless `sellable`), brand, best options with their stock,
+        prices and exposure. The parts are aggregates on the product, so the joins need no
+        shuffle of their own.
+        """
+        return self._get("cards")
+
+    @property
+    def purchase_totals(self) -> DataFrame:
+        return self._get("purchase_totals")
+
+    @property
+    def weekly(self) -> DataFrame:
+        """Weekly growth with the usual windows and thresholds."""
+        return self._get("weekly")
+
+    def _daily(self) -> DataFrame:
+        return sales.daily_sales(self.sellable)
+
+    def _cards(self) -> DataFrame:
+        inputs, shop = self.inputs, self.shop
+        attributes = sales.last_known(
+            self.sellable, ["product_name", "category_m", "category_s"], self.as_of
+        ).withColumn("sellable", F.lit(True))
+        turnover = stock.stock_turnover(
+            inputs.stock, self.options, self._last_days[0], alias=shop.product_alias
+        )
         matrix = prices.price_matrix(
-            self.inputs.own_prices,
-            self.inputs.competitor_prices,
-            self.inputs.crawls,
-            self.shop.competitors,
+            inputs.own_prices, inputs.competitor_prices, inputs.crawls, shop.competitors
+        )
+        uplift = exposure.exposure_uplift(
+            exposure.exposure_streak(inputs.exposures), sales.daily_sales(self.options)
+        )
+        return (
+            attributes.join(inputs.brands, "product_id", "full")
+            .join(turnover, "product_id", "full")
+            .join(matrix, "product_id", "full")
+            .join(uplift, "product_id", "full")
         )
-        return self.staging.table(matrix, "prices")
 
-    @cached_property
-    def purchase_totals(self) -> DataFrame:
+    def _purchase_totals(self) -> DataFrame:
         counts = repurchase.purchase_counts(self.lines, self.as_of, self.periods)
-        totals = repurchase.purchase_totals(counts, self.periods)
-        return self.staging.table(totals, "purchase_totals")
+        return repurchase.purchase_totals(counts, self.periods)
 
-    def weekly(
-        self,
-        *,
-        latest_days: int = 7,
-        compare_days: int = 28,
-        atleast_avg_qty: float = 0,
-        atleast_qty: float = 6,
+    def weekly_plan(
+        self, *, latest_days: int = 7, compare_days: int = 28, **thresholds: float
     ) -> DataFrame:
-        key = (latest_days, compare_days, atleast_avg_qty, atleast_qty)
-        if key not in self._weekly:
-            low = self.as_of - timedelta(days=latest_days + compare_days)
-            in_stock = growth.stock_days(self.inputs.stock, self.barcodes, low, self.as_of)
-            found = growth.weekly_growth(
-                self.daily,
-                in_stock,
-                self.as_of,
-                latest_days=latest_days,
-                compare_days=compare_days,
-                atleast_avg_qty=atleast_avg_qty,
-                atleast_qty=atleast_qty,
-            )
-            self._weekly[key] = self.staging.table(found, f"weekly_{len(self._weekly)}")
-        return self._weekly[key]
+        low = self.as_of - timedelta(days=latest_days + compare_days)
+        in_stock = growth.stock_days(
+            self.inputs.stock, sales.barcode_map(self.options), low, self.as_of
+        )
+        return growth.weekly_growth(
+            sales.daily_sales(self.sellable),
+            in_stock,
+            self.as_of,
+            latest_days=latest_days,
+            compare_days=compare_days,
+            **thresholds,
+        )

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -30,6 +35,16 @@ def get_session(app: str = "shelfpulse", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def together(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Run actions that do not depend on each other at the same time, so that their tasks
+    share the executors and small jobs do not wait for each other."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in running]
+
+
 class Staging:
     """Writes shared intermediate results once, as Parquet in the cluster's shared folder.
 
@@ -52,6 +67,11 @@ class Staging:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def tables(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Stage independent frames at the same time."""
+        jobs = [partial(self.table, df, name) for name, df in frames.items()]
+        return dict(zip(frames, together(self.spark, jobs), strict=True))
+
     def drop(self) -> None:
         """Delete everything this run staged."""
         jvm = self.spark.sparkContext._jvm
