@@ -102,7 +102,8 @@ class Run:
     def signals(self) -> Signals:
         """The inputs of a whole run; sales and stock exist as tables, as they do in a shop."""
         fx = self.fx
-        tables = self.staging.tables({"sales": fx["fx_sales"], "stock": self.stock})
+        sold = fx["fx_sales"].drop("line_no", "product_price", "marked_down_price", "order_id")
+        tables = self.staging.tables({"sales": sold, "stock": self.stock})
         fx["fx_sales"] = tables["sales"]
         inputs = Inputs(
             sales=self.history,

@@ -106,21 +106,24 @@ class Signals:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Order lines of the kept categories; none of the pinned product if it is sold out."""
-        kept = sales.keep_categories(self.inputs.sales, self.shop.excluded_categories)
-        pinned = F.col("product_id") == self.shop.pinned_product
-        return kept.filter(~pinned | self._pinned_stock.scalar())
+        """Order lines of the kept categories."""
+        return sales.keep_categories(self.inputs.sales, self.shop.excluded_categories)
 
     @cached_property
     def options(self) -> DataFrame:
-        """Option-day rollup of all products, with the flag of those that lists may use."""
+        """Option-day rollup of all products, with the flag of those that lists may use.
+
+        A sold-out pinned product is left out here, and thereby of every list.
+        """
         shop = self.shop
+        pinned = F.col("product_id") == shop.pinned_product
+        lines = self.lines.filter(~pinned | self._pinned_stock.scalar())
         losers = sales.substitute_losers(
-            self.lines, shop.substitutes, self.run_date, shop.substitute_days
+            lines, shop.substitutes, self.run_date, shop.substitute_days
         )
         inactive = sales.inactive_products(self.inputs.products, shop.excluded_statuses)
         flagged = sales.flag_sellable(
-            sales.option_days(self.lines), losers.union(inactive), shop.excluded_products
+            sales.option_days(lines), losers.union(inactive), shop.excluded_products
         )
         return self.staging.table(flagged, "option_days")
 
