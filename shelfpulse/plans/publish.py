@@ -178,15 +178,11 @@ def publish_placement(placement: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, target: str, run_date: date) -> None:
-    """Replace one run's partition of a published table; at most a list of rows, one file."""
-    (
-        df.withColumn("run_date", F.lit(run_date))
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(target)
-    )
+    """Replace one run's partition of a published table; at most a list of rows, one file.
+
+    The partition's folder is named, so that an empty list replaces an earlier one too.
+    """
+    df.coalesce(1).write.mode("overwrite").parquet(f"{target}/run_date={run_date.isoformat()}")
 
 
 def published_tables(signals: Signals, lists: ListRun) -> dict[str, DataFrame]:
