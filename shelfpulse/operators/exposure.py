@@ -15,7 +15,11 @@ def exposure_streak(exposures: DataFrame) -> DataFrame:
     With distinct days counted back from the newest, the n-th one lies in the unbroken run
     exactly if it is n-1 days before it. The window holds the days of one product.
     """
-    newest = on_latest(exposures, "day").withColumnRenamed("day", "latest_day")
+    newest = (
+        on_latest(exposures, "day")
+        .filter(F.col("product_id").isNotNull())
+        .withColumnRenamed("day", "latest_day")
+    )
     by_popularity = Window.partitionBy("product_id").orderBy(
         F.col("popularity").desc_nulls_last(), "main_rec_category"
     )

@@ -19,7 +19,8 @@ def review_summary(
     """
     rating = F.col("rating_value")
     negative = rating <= negative_up_to
-    recent = reviews.filter(F.col("post_day") >= F.lit(as_of - timedelta(days=latest_days + 1)))
+    since = as_of - timedelta(days=latest_days + 1)
+    recent = reviews.filter((F.col("post_day") >= F.lit(since)) & F.col("product_id").isNotNull())
     return recent.groupBy("product_id").agg(
         np_round(F.avg(rating), 2).alias("avg_rating"),
         F.countDistinct("post_id").alias("review_count"),
@@ -32,9 +33,13 @@ def review_summary(
 
 
 def search_inflow(searches: DataFrame, as_of: date, latest_days: int = 7) -> DataFrame:
-    """Distinct searches that led to a product in the last days."""
+    """Distinct searches that led to a product in the last days.
+
+    Searches that led nowhere are dropped before they can form one big group.
+    """
     return (
-        searches.filter(within(F.col("day"), as_of - timedelta(days=latest_days), as_of))
+        searches.filter(F.col("product_id").isNotNull())
+        .filter(within(F.col("day"), as_of - timedelta(days=latest_days), as_of))
         .groupBy("product_id")
         .agg(F.countDistinct("idx").alias("search_count"))
     )
