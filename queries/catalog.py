@@ -544,7 +544,7 @@ def list_repurchase(run: Run) -> DataFrame:
 
 @query
 def list_ranking(run: Run) -> DataFrame:
-    return ranking_list(run.signals(), min_turnover=0)
+    return ranking_list(run.signals(), min_turnover=0, head_num=SHOP.list_size)
 
 
 def _lists(run: Run):
