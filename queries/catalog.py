@@ -37,6 +37,7 @@ from shelfpulse.plans import (
 )
 from shelfpulse.plans.publish import publish_placement
 from shelfpulse.session import Staging
+from shelfpulse.sources.market import on_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,13 +108,13 @@ class Run:
         fx["fx_sales"] = tables["sales"]
         inputs = Inputs(
             sales=self.history,
-            stock=tables["stock"],
+            stock=sources.DayHistory(tables["stock"]),
             option_inventory=self.option_inventory,
             products=fx["fx_status"],
             brands=fx["fx_brand"],
             exposures=fx["fx_exposure"],
-            reviews=fx["fx_review"],
-            searches=fx["fx_search"],
+            reviews=sources.DayHistory(fx["fx_review"], "post_day"),
+            searches=sources.DayHistory(fx["fx_search"]),
             own_prices=fx["fx_own"],
             competitor_prices=fx["fx_cmpt"],
             crawls=self.crawls,
@@ -343,8 +344,9 @@ def win_latest_stock(run: Run) -> DataFrame:
 @query
 def win_top2_options(run: Run) -> DataFrame:
     options = run.staged(run.options, "options")
+    newest = on_latest(run.stock, "day")
     return stock.top_two_options(
-        stock.option_stock(run.stock, options, sales.latest_day(options))
+        stock.option_stock(newest, options, sales.latest_day(options))
     )
 
 
@@ -376,7 +378,7 @@ def topk_ranking(run: Run) -> DataFrame:
 def stock_turnover(run: Run) -> DataFrame:
     options = run.staged(run.options, "options")
     return stock.stock_turnover(
-        run.stock, options, sales.latest_day(options), alias=SHOP.product_alias
+        on_latest(run.stock, "day"), options, sales.latest_day(options), alias=SHOP.product_alias
     )
 
 

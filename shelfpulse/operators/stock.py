@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 
 from shelfpulse.functions import np_round, pdiv
 from shelfpulse.operators.sales import barcode_average, barcode_map, with_products
-from shelfpulse.sources.market import on_latest
 
 
-def option_stock(stock: DataFrame, options: DataFrame, as_of: date, days: int = 90) -> DataFrame:
-    """Stock of the newest day per product option, its sales share and days of supply.
+def option_stock(newest: DataFrame, options: DataFrame, as_of: date, days: int = 90) -> DataFrame:
+    """Stock of the newest stock day per product option, its sales share and days of supply.
 
     Missing barcodes have no share and drop out, so they are left out before the joins. The
     product totals are an aggregate joined back, which a product with very many options
     cannot concentrate in one task.
     """
-    now = on_latest(stock, "day").filter(F.col("barcode").isNotNull())
     rows = (
-        now.select("barcode", F.col("amount").alias("stock"))
+        newest.filter(F.col("barcode").isNotNull())
+        .select("barcode", F.col("amount").alias("stock"))
         .join(barcode_average(options, as_of, days), "barcode", "left")
         .join(barcode_map(options), "barcode")
     )
@@ -67,7 +66,7 @@ def top_two_options(rows: DataFrame) -> DataFrame:
 
 
 def stock_turnover(
-    stock: DataFrame,
+    newest: DataFrame,
     options: DataFrame,
     as_of: date,
     *,
@@ -81,7 +80,7 @@ def stock_turnover(
     product = F.col("product_id")
     for old, new in alias:
         product = F.when(F.col("product_id") == old, F.lit(new)).otherwise(product)
-    rows = option_stock(stock, options, as_of, days)
+    rows = option_stock(newest, options, as_of, days)
     return top_two_options(rows.withColumn("product_id", product.cast("bigint")))
 
 

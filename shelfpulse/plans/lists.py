@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,10 +197,14 @@ def ranking_items(
     )
     yearly = growth.yearly_growth(daily, as_of, min_days=this_year_days)
     quarterly = growth.quarterly_growth(daily, as_of, min_days=this_quarter_days)
+    since = as_of - timedelta(days=latest_days + 1)
     reviews = review_summary(
-        inputs.reviews, as_of, latest_days=latest_days, negative_up_to=negative_up_to
+        inputs.reviews.since(since), as_of, latest_days=latest_days, negative_up_to=negative_up_to
     )
-    oos = out_of_stock_rate(inputs.stock, barcode_map(signals.sellable), as_of, latest_days)
+    oos = out_of_stock_rate(
+        inputs.stock.since(since), barcode_map(signals.sellable), as_of, latest_days
+    )
+    searched = search_inflow(inputs.searches.since(since), as_of, latest_days)
     joined = (
         _with_cards(weekly.join(index, "product_id"), signals)
         .filter("sellable")
@@ -207,7 +212,7 @@ def ranking_items(
         .join(quarterly.select("product_id", "qoq_rate"), "product_id", "left")
         .join(reviews, "product_id", "left")
         .join(oos.select("product_id", "oos_days", "oos_rate"), "product_id", "left")
-        .join(search_inflow(inputs.searches, as_of, latest_days), "product_id", "left")
+        .join(searched, "product_id", "left")
     )
     found = signals.staging.table(joined, "ranking_signals")
     # Unreviewed products get the mean rating, rounded as the published table rounds it.

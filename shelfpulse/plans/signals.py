@@ -17,16 +17,19 @@ from shelfpulse.session import Staging
 
 @dataclass(frozen=True)
 class Inputs:
-    """Clean input frames, as the readers in `shelfpulse.sources` return them."""
+    """Clean input frames, as the readers in `shelfpulse.sources` return them.
+
+    Stock, reviews and searches are histories, read as far back as each signal needs.
+    """
 
     sales: DataFrame
-    stock: DataFrame
+    stock: sources.History
     option_inventory: DataFrame
     products: DataFrame
     brands: DataFrame
     exposures: DataFrame
-    reviews: DataFrame
-    searches: DataFrame
+    reviews: sources.History
+    searches: sources.History
     own_prices: DataFrame
     competitor_prices: DataFrame
     crawls: DataFrame
@@ -38,7 +41,9 @@ class Inputs:
         competitor_prices = sources.competitor_prices(load("competitor_prices"))
         return cls(
             sales=sources.sales_lines(load("sales"), start, run_date),
-            stock=sources.stock_history(load("stock"), shift),
+            stock=sources.EpochHistory(
+                load("stock"), lambda raw: sources.stock_history(raw, shift), shift
+            ),
             option_inventory=load("option_inventory"),
             products=sources.product_statuses(load("products")),
             brands=sources.brands(
@@ -48,17 +53,22 @@ class Inputs:
                 language=shop.language,
             ),
             exposures=sources.exposure_history(load("exposures")),
-            reviews=sources.reviews(
+            reviews=sources.EpochHistory(
                 load("posts"),
-                load("ratings"),
-                load("messages"),
-                load("threads"),
-                load("product_names"),
-                language=shop.language,
-                shift_hours=shift,
-                since=start,
+                lambda posts: sources.reviews(
+                    posts,
+                    load("ratings"),
+                    load("messages"),
+                    load("threads"),
+                    load("product_names"),
+                    language=shop.language,
+                    shift_hours=shift,
+                ),
+                shift,
+            ),
+            searches=sources.EpochHistory(
+                load("searches"), lambda raw: sources.search_history(raw, shift), shift
             ),
-            searches=sources.search_history(load("searches"), shift),
             own_prices=sources.own_prices(load("items"), load("item_prices")),
             competitor_prices=competitor_prices,
             crawls=sources.crawl_status(load("crawls"), competitor_prices),
@@ -98,7 +108,7 @@ class Signals:
     @cached_property
     def _pinned_stock(self) -> DataFrame:
         barcodes = sources.option_barcodes(self.inputs.option_inventory, self.shop.pinned_product)
-        return stock.any_in_stock(self.inputs.stock, barcodes)
+        return stock.any_in_stock(self.inputs.stock.all(), barcodes)
 
     @cached_property
     def pinned_in_stock(self) -> bool:
@@ -184,7 +194,7 @@ class Signals:
             self.sellable, ["product_name", "category_m", "category_s"], self.as_of
         ).withColumn("sellable", F.lit(True))
         turnover = stock.stock_turnover(
-            inputs.stock, self.options, self._last_days[0], alias=shop.product_alias
+            inputs.stock.newest(), self.options, self._last_days[0], alias=shop.product_alias
         )
         matrix = prices.price_matrix(
             inputs.own_prices, inputs.competitor_prices, inputs.crawls, shop.competitors
@@ -208,7 +218,7 @@ class Signals:
     ) -> DataFrame:
         low = self.as_of - timedelta(days=latest_days + compare_days)
         in_stock = growth.stock_days(
-            self.inputs.stock, sales.barcode_map(self.options), low, self.as_of
+            self.inputs.stock.since(low), sales.barcode_map(self.options), low, self.as_of
         )
         return growth.weekly_growth(
             sales.daily_sales(self.sellable),

@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans are built from thousands of small expressions; noting the Python line of each one
+    # takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

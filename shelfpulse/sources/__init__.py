@@ -1,3 +1,4 @@
+from shelfpulse.sources.history import DayHistory, EpochHistory, History
 from shelfpulse.sources.market import competitor_prices, crawl_status, own_prices
 from shelfpulse.sources.shop import (
     brands,
@@ -15,6 +16,9 @@ from shelfpulse.sources.shop import (
 from shelfpulse.sources.tables import Tables
 
 __all__ = [
+    "DayHistory",
+    "EpochHistory",
+    "History",
     "Tables",
     "brands",
     "cart_rows",

@@ -72,15 +72,12 @@ def reviews(
     *,
     language: str = "ko",
     shift_hours: int = 14,
-    since: date | None = None,
 ) -> DataFrame:
     """Product reviews with rating and text.
 
-    The three post tables are joined on the post first, where no key is hot; threads and
-    names are product-sized and come last. `since` drops older posts at the scan.
+    The three post tables are joined on the post first, where no key is hot. Threads and
+    names are product-sized and joined to each other, so the posts meet them in one join.
     """
-    if since is not None:
-        posts = posts.filter(F.col("timestamp") >= epoch_of(since, shift_hours))
     product_threads = threads.filter(F.col("object_type") == "P").select("thread_id", "object_id")
     named = names.filter(F.col("lang_code") == language).select(
         F.col("product_id").alias("object_id"), "product"
@@ -89,8 +86,7 @@ def reviews(
     return (
         posts.join(ratings, post)
         .join(messages, post)
-        .join(product_threads, "thread_id")
-        .join(named, "object_id")
+        .join(product_threads.join(named, "object_id"), "thread_id")
         .select(
             "post_id",
             "thread_id",

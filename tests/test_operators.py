@@ -21,6 +21,7 @@ from shelfpulse.operators import (
     stock,
     trend,
 )
+from shelfpulse.sources.market import on_latest
 
 T = date(2024, 3, 31)
 SALES = (
@@ -195,20 +196,20 @@ def test_top_two_options(spark):
         *[(b, ago(0), 12) for b in ("10", "11", "12", "20", "30", None, "60")],
         ("50", ago(1), 12),
     )
-    found = by_product(stock.stock_turnover(held, options_of(spark, *lines), T))
+    found = by_product(stock.stock_turnover(on_latest(held, "day"), options_of(spark, *lines), T))
     assert set(found) == {1, 2, 3, 6}
     assert (found[1].opt1_barcode, found[1].opt1_share, found[1].opt1_dsi) == ("10", 0.75, 2.0)
     assert (found[1].opt2_barcode, found[1].opt2_share, found[1].opt2_dsi) == ("11", 0.25, 6.0)
     assert (found[2].opt1_share, found[2].opt2_barcode, found[2].opt2_dsi) == (1.0, None, 0.0)
     assert (found[3].opt1_share, found[3].opt1_dsi) == (None, 12.0)
-    moved = by_product(stock.stock_turnover(held, options_of(spark, *lines), T, alias=[(6, 2)]))
+    moved = by_product(stock.stock_turnover(on_latest(held, "day"), options_of(spark, *lines), T, alias=[(6, 2)]))
     assert 6 not in moved and moved[2].opt2_barcode == "60" and moved[2].opt2_share == 1.0
 
 
 def test_equal_shares_resolve_by_barcode(spark):
     lines = [(1, 1, ago(0), 2.0, code, "v") for code in ("9", "8", "7")]
     held = stocked(spark, *[(code, ago(0), 1) for code in ("9", "8", "7")])
-    found = by_product(stock.stock_turnover(held, options_of(spark, *lines), T))
+    found = by_product(stock.stock_turnover(on_latest(held, "day"), options_of(spark, *lines), T))
     assert (found[1].opt1_barcode, found[1].opt2_barcode) == ("7", "8")
 
 

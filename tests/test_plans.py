@@ -23,7 +23,7 @@ from shelfpulse.plans.publish import (
     REPURCHASE_COLUMNS,
 )
 from shelfpulse.session import Staging
-from shelfpulse.sources import Tables
+from shelfpulse.sources import DayHistory, Tables
 from shelfpulse.sources.schemas import SCHEMAS
 
 LIBRARY = Path(shelfpulse.__file__).parent
@@ -99,6 +99,25 @@ def test_weekly_job_writes_four_tables(raw_tables, spark, tmp_path):
     assert set(folders.glob("shelfpulse-*")) <= before, "runs clean up"
 
 
+def pushed(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return " ".join(re.findall(r"PushedFilters: \[(.*?)\]", plan))
+
+
+def test_day_limits_reach_the_scan(raw_tables, spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    inputs = Inputs.from_tables(Tables(spark, root=raw_tables), RUN_DATE, SHOP)
+    assert "GreaterThanOrEqual(timestamp,9" in pushed(inputs.stock.since(RUN_DATE))
+    assert "GreaterThanOrEqual(timestamp,9" in pushed(inputs.searches.since(RUN_DATE))
+    assert "GreaterThanOrEqual(timestamp,9" in pushed(inputs.reviews.since(RUN_DATE))
+    assert "GreaterThanOrEqual(timestamp,ScalarSubquery" in pushed(inputs.stock.newest())
+    assert "GreaterThanOrEqual(purchased_at,1999-08-01" in pushed(inputs.sales)
+    newest = {r.day for r in inputs.stock.newest().select("day").distinct().collect()}
+    assert newest == {RUN_DATE}
+    recent = inputs.stock.since(RUN_DATE - timedelta(days=2)).select("day").distinct()
+    assert {r.day for r in recent.collect()} == {RUN_DATE - timedelta(days=n) for n in range(3)}
+
+
 def test_lists_do_not_overlap(spark, sf_dir):
     signals = Run(spark, sf_dir).signals()
     lists = exclusive_lists(
@@ -166,15 +185,19 @@ def small_shop(spark, *, pinned_amount, pinned_sells=0):
 
     inputs = Inputs(
         sales=lines,
-        stock=stock,
+        stock=DayHistory(stock),
         option_inventory=lines.select("product_id", "barcode"),
         products=empty("product_id bigint, status string"),
         brands=empty("product_id bigint, brand string"),
         exposures=empty("product_id bigint, day date, popularity double, main_rec_category string"),
-        reviews=empty(
-            "product_id bigint, post_id bigint, rating_value bigint, message string, post_day date"
+        reviews=DayHistory(
+            empty(
+                "product_id bigint, post_id bigint, rating_value bigint, message string, "
+                "post_day date"
+            ),
+            "post_day",
         ),
-        searches=empty("idx bigint, product_id bigint, day date"),
+        searches=DayHistory(empty("idx bigint, product_id bigint, day date")),
         own_prices=empty("product_id bigint, price_own double"),
         competitor_prices=empty(
             "date date, competitor string, product_id bigint, krw_price double, usd_price double"
