@@ -77,7 +77,7 @@ class Run:
 
     @property
     def daily(self) -> DataFrame:
-        return sales.daily_sales(self.options)
+        return sales.line_days(self.lines)
 
     @property
     def stock(self) -> DataFrame:

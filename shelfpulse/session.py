@@ -65,7 +65,7 @@ class Staging:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` under `name` and read it back."""
-        path = f"{self.path}/{name}"
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
