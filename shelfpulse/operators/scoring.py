@@ -100,6 +100,7 @@ def with_benchmark(items: DataFrame, mean_columns: Sequence[str]) -> DataFrame:
     """The items and, as a row of kind 'benchmark', the two-digit means of numeric columns."""
     items = items.withColumns({c: F.col(c).cast("double") for c in mean_columns})
     means = items.agg(*[np_round(exact_mean(F.col(c)), 2).alias(c) for c in mean_columns])
-    return means.withColumn("row_kind", F.lit(BENCHMARK)).unionByName(
+    listed = means.withColumn("row_kind", F.lit(BENCHMARK)).unionByName(
         items.withColumn("row_kind", F.lit(ITEM)), allowMissingColumns=True
     )
+    return listed.select("row_kind", *items.columns)

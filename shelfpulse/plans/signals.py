@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +40,9 @@ class Inputs:
         start = sources.history_start(run_date, shop.history_months)
         competitor_prices = sources.competitor_prices(load("competitor_prices"))
         return cls(
-            sales=sources.sales_lines(load("sales"), start, run_date),
+            sales=sources.sales_lines(load("sales", start, run_date), start, run_date),
             stock=sources.EpochHistory(
-                load("stock"), lambda raw: sources.stock_history(raw, shift), shift
+                partial(load, "stock"), lambda raw: sources.stock_history(raw, shift), shift
             ),
             option_inventory=load("option_inventory"),
             products=sources.product_statuses(load("products")),
@@ -54,7 +54,7 @@ class Inputs:
             ),
             exposures=sources.exposure_history(load("exposures")),
             reviews=sources.EpochHistory(
-                load("posts"),
+                partial(load, "posts"),
                 lambda posts: sources.reviews(
                     posts,
                     load("ratings"),
@@ -67,7 +67,7 @@ class Inputs:
                 shift,
             ),
             searches=sources.EpochHistory(
-                load("searches"), lambda raw: sources.search_history(raw, shift), shift
+                partial(load, "searches"), lambda raw: sources.search_history(raw, shift), shift
             ),
             own_prices=sources.own_prices(load("items"), load("item_prices")),
             competitor_prices=competitor_prices,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,25 +18,33 @@ class EpochHistory:
     """A raw table with epoch seconds in `timestamp`, and the reader that makes it clean.
 
     Day limits are put on the raw column, where they reach the scan and skip row groups; on
-    the day that the reader derives they could not.
+    the day that the reader derives they could not. `load` gets the first unshifted day too,
+    to leave out the folders of earlier days.
     """
 
-    def __init__(self, raw: DataFrame, read: Callable[[DataFrame], DataFrame], shift_hours: int):
-        self.raw, self.read, self.shift_hours = raw, read, shift_hours
+    def __init__(
+        self,
+        load: Callable[[date | None], DataFrame],
+        read: Callable[[DataFrame], DataFrame],
+        shift_hours: int,
+    ):
+        self.load, self.read, self.shift_hours = load, read, shift_hours
 
     def all(self) -> DataFrame:
-        return self.read(self.raw)
+        return self.read(self.load(None))
 
     def since(self, day: date) -> DataFrame:
         first = epoch_of(day, self.shift_hours)
-        return self.read(self.raw.filter(F.col("timestamp") >= F.lit(first)))
+        raw = self.load(day - timedelta(days=math.ceil(max(self.shift_hours, 0) / 24)))
+        return self.read(raw.filter(F.col("timestamp") >= F.lit(first)))
 
     def newest(self) -> DataFrame:
         """Rows of the newest day: those from its first second on."""
         shift = self.shift_hours * 3600
         days = F.floor((F.max("timestamp") + shift) / SECONDS_PER_DAY)
-        first = self.raw.agg((days * SECONDS_PER_DAY - shift).cast("bigint")).scalar()
-        return self.read(self.raw.filter(F.col("timestamp") >= first))
+        raw = self.load(None)
+        first = raw.agg((days * SECONDS_PER_DAY - shift).cast("bigint")).scalar()
+        return self.read(raw.filter(F.col("timestamp") >= first))
 
 
 class DayHistory:

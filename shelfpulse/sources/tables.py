@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shelfpulse.functions import within
 from shelfpulse.sources.schemas import SCHEMAS
 
 
@@ -17,6 +19,9 @@ class Tables:
     `root` is a folder with one data set per table. With `jdbc`, the options of a Spark
     JDBC read, tables come from a database; `splits` then gives per table the numeric
     column and bounds for a parallel read: ``{"sales": ("order_id", 1, 9_000_000, 64)}``.
+
+    `day_columns` names the partition column of tables whose files are laid out by the day of
+    their time stamp: ``{"sales": "sold_day"}``. Day limits then leave out whole folders.
     """
 
     def __init__(
@@ -26,16 +31,23 @@ class Tables:
         fmt: str = "parquet",
         jdbc: Mapping[str, str] | None = None,
         splits: Mapping[str, tuple[str, int, int, int]] | None = None,
+        day_columns: Mapping[str, str] | None = None,
     ):
         if (root is None) == (jdbc is None):
             raise ValueError("give either a folder or JDBC options")
         self.spark, self.root, self.fmt = spark, root, fmt
-        self.jdbc, self.splits = jdbc, splits or {}
+        self.jdbc, self.splits, self.day_columns = jdbc, splits or {}, day_columns or {}
 
-    def load(self, name: str) -> DataFrame:
+    def load(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
+        """The table's declared columns; all rows of the days in between, perhaps others too."""
         schema = StructType.fromDDL(SCHEMAS[name])
         if self.jdbc is None:
-            return self.spark.read.schema(schema).format(self.fmt).load(f"{self.root}/{name}")
+            day = self.day_columns.get(name)
+            found = StructType(schema.fields).add(day, "date") if day else schema
+            loaded = self.spark.read.schema(found).format(self.fmt).load(f"{self.root}/{name}")
+            if day:
+                loaded = loaded.filter(within(F.col(day), since, until))
+            return loaded.select(*schema.names)
         reader = self.spark.read.format("jdbc").options(**self.jdbc).option("dbtable", name)
         if name in self.splits:
             column, low, high, parts = self.splits[name]

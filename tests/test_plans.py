@@ -23,7 +23,7 @@ from shelfpulse.plans.publish import (
     REPURCHASE_COLUMNS,
 )
 from shelfpulse.session import Staging
-from shelfpulse.sources import DayHistory, Tables
+from shelfpulse.sources import DayHistory, EpochHistory, Tables, stock_history
 from shelfpulse.sources.schemas import SCHEMAS
 
 LIBRARY = Path(shelfpulse.__file__).parent
@@ -118,6 +118,30 @@ def test_day_limits_reach_the_scan(raw_tables, spark):
     assert {r.day for r in recent.collect()} == {RUN_DATE - timedelta(days=n) for n in range(3)}
 
 
+def test_day_limits_leave_out_folders(raw_tables, spark, tmp_path):
+    plain = Tables(spark, root=raw_tables)
+    utc_day = F.date_from_unix_date(F.floor(F.col("timestamp") / 86400).cast("int"))
+    layout = {"sales": ("sold_day", F.to_date("purchased_at")), "stock": ("day", utc_day)}
+    for name, (column, day) in layout.items():
+        frame = plain.load(name).withColumn(column, day).filter(F.col(column) >= "2001-07-20")
+        frame.write.partitionBy(column).parquet(f"{tmp_path}/{name}")
+    columns = {name: column for name, (column, _) in layout.items()}
+    tables = Tables(spark, root=str(tmp_path), day_columns=columns)
+    sales = tables.load("sales", RUN_DATE - timedelta(days=2), RUN_DATE)
+    assert sales.columns == plain.load("sales").columns
+    assert "PartitionFilters: [isnotnull(sold_day" in sales._jdf.queryExecution().toString()
+    days = {r.d for r in sales.select(F.to_date("purchased_at").alias("d")).distinct().collect()}
+    assert days == {RUN_DATE - timedelta(days=n) for n in range(3)}
+    stock = EpochHistory(
+        lambda since: tables.load("stock", since), lambda raw: stock_history(raw, 14), 14
+    )
+    whole = Inputs.from_tables(plain, RUN_DATE, SHOP).stock
+    for n in (0, 3):
+        since = RUN_DATE - timedelta(days=n)
+        assert rows_of(stock.since(since)) == rows_of(whole.since(since))
+    assert rows_of(stock.newest()) == rows_of(whole.newest())
+
+
 def test_lists_do_not_overlap(spark, sf_dir):
     signals = Run(spark, sf_dir).signals()
     lists = exclusive_lists(
