@@ -7,7 +7,6 @@ from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from shelfpulse.operators import (
     exposure,
