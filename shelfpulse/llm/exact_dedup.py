@@ -53,19 +53,15 @@ class DigestIndex:
         groups = rows.groupBy("digest").agg(
             F.min("doc_id").alias("first_id"), F.count("*").alias("group_size")
         )
-        known = self.table().withColumnRenamed("keep_id", "known_id").withColumn("known", F.lit(True))
-        groups = scratch.table(
-            groups.hint("merge").join(known, "digest", "left").select(
-                "digest",
-                "group_size",
-                F.coalesce("known", F.lit(False)).alias("known"),
-                F.when(F.col("known"), F.col("known_id")).otherwise(F.col("first_id")).alias("keep_id"),
-            ),
-            "groups",
-        )
-        new = groups.filter(~F.col("known")).select("digest", "keep_id")
+        groups = scratch.table(groups, "groups")
+        new = groups.hint("merge").join(self.table(), "digest", "left_anti")
         # One task per bucket, so that each append adds one sorted file to it.
-        new.repartition(self.buckets, "digest").write.insertInto(self.name)
+        (
+            new.select("digest", F.col("first_id").alias("keep_id"))
+            .repartition(self.buckets, "digest")
+            .write.insertInto(self.name)
+        )
+        groups = groups.hint("merge").join(self.table(), "digest")
         return rows.join(groups, "digest").select(
             "doc_id",
             "keep_id",
