@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfpulse.llm import exact_dedup
-from shelfpulse.llm.common import Scratch
+from shelfpulse.llm import exact_dedup, substring_dedup, suffix_dedup
+from shelfpulse.llm.common import Scratch, one_space
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,3 +42,83 @@ SELECT doc_id,
 FROM digests
 WINDOW same AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring_dedup.remove_repeats(docs, Scratch(spark))
+    kept = F.regexp_replace(one_space(F.col("text")), "^ | $", "")
+    return done.select(
+        "doc_id",
+        F.col("n_units").alias("n_words"),
+        "n_removed",
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
+ORACLE_SQL["op3_substring_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), words AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i,
+           unnest(list_transform(range(len(words)), p -> CASE WHEN p + 50 <= len(words)
+               THEN md5(array_to_string(words[p + 1 : p + 50], ' ')) END)) AS name
+    FROM texts
+), owned AS (
+    SELECT *, name IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY name) AS repeats FROM words
+), marked AS (
+    SELECT *, bool_or(repeats) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM owned
+), kept AS (
+    SELECT doc_id, count(*) AS n_words, count_if(gone) AS n_removed,
+           string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, Scratch(spark))
+    return done.select(
+        "doc_id",
+        F.col("n_units").alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+ORACLE_SQL["op4_suffix_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), bytes AS (
+    SELECT doc_id, digits, unnest(range(length(digits) // 2)) AS i FROM texts
+), named AS (
+    SELECT doc_id, i, substr(digits, 2 * i + 1, 2) AS byte,
+           CASE WHEN 2 * i + 100 <= length(digits) THEN md5(substr(digits, 2 * i + 1, 100)) END AS name
+    FROM bytes
+), owned AS (
+    SELECT *, name IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY name) AS repeats FROM named
+), marked AS (
+    SELECT *, bool_or(repeats) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM owned
+), edges AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins
+    FROM marked
+), kept AS (
+    SELECT doc_id, count(*) AS n_bytes, count_if(gone) AS n_removed, count_if(begins) AS n_spans,
+           string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS digits
+    FROM edges GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
