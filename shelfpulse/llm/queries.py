@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpulse.llm import exact_dedup, substring_dedup, suffix_dedup
+from shelfpulse.llm import exact_dedup, simhash_dedup, substring_dedup, suffix_dedup
 from shelfpulse.llm.common import Scratch, one_space
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,13 @@ SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0)::BIGINT A
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.digits, ''))) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash_dedup.near_duplicates(docs, Scratch(spark)).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
