@@ -62,7 +62,7 @@ WITH texts AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), words AS (
     SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i,
-           unnest(list_transform(range(len(words)), p -> CASE WHEN p + 50 <= len(words)
+           unnest(list_transform(range(len(words)), lambda p: CASE WHEN p + 50 <= len(words)
                THEN md5(array_to_string(words[p + 1 : p + 50], ' ')) END)) AS name
     FROM texts
 ), owned AS (

@@ -91,7 +91,7 @@ def _all_runs(unit: Unit) -> Callable:
 def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, pa.StructArray]:
     """Where the list of each row begins, and all entries; a null list is empty."""
     lists = batch.column(name)
-    lengths = pc.fill_null(pc.list_value_lengths(lists), 0).to_numpy()
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
     return np.concatenate(([0], np.cumsum(lengths))), lists.flatten()
 
 
