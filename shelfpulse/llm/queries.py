@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpulse.llm import exact_dedup, simhash_dedup, substring_dedup, suffix_dedup
+from shelfpulse.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_model,
+    line_dedup,
+    packing,
+    pieces,
+    quality,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+)
 from shelfpulse.llm.common import Scratch, one_space
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +143,36 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_held_out(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    return quality.classify(docs.select("doc_id", "text"), labels, Scratch(spark))
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+@query
+def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_dedup.drop_recurring(docs, Scratch(spark))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
