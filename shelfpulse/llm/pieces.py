@@ -4,8 +4,8 @@ The lattice of a text has a node between any two characters and an edge for each
 score is the sum of the pieces' scores. No piece holds a blank behind another character, so the
 lattice falls apart at blanks and line feeds, and each distinct chunk is worked on once per task:
 
-- forward: the Viterbi score of every node, and with the backward scores the gap between the
-  best path and the second best;
+- forward: the Viterbi score of every node, with the score of the second best path to it, and
+  so the gap between the best and the second best path of the chunk;
 - backward: A-star from the end, with the forward scores as exact estimates of what is left, so
   that paths complete in order of their scores and no other path is finished.
 
@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -91,37 +92,42 @@ class Pieces:
                 found.append(piece)
             else:
                 found.extend(self.byte_ids[b] for b in chunk[i:j].encode())
-        return np.array(found, dtype="<i4").tobytes()
+        return pack(f"<{len(found)}i", *found)
 
     def best(self, chunk: str) -> tuple[float, bytes, float]:
         """Score and ids of the best path, and how far behind the second is (infinite if none)."""
         found = self.known.get(chunk)
         if found is not None:
             return found
-        edges, n = self.edges(chunk), len(chunk)
-        ahead, come = [0.0] + [-np.inf] * n, [None] * (n + 1)
-        for edge in edges:
-            i, j, score, _ = edge
-            score += ahead[i]
-            if score > ahead[j]:
-                ahead[j] = score
-                come[j] = edge
-        path, at, chosen = [], n, set()
+        get, n, none = self.table.get, len(chunk), -np.inf
+        ahead, second, come = [none] * (n + 1), [none] * (n + 1), [None] * (n + 1)
+        ahead[0] = 0.0
+        for i in range(n):  # as `edges`, but used at once
+            here, other = ahead[i], second[i]
+            j = i + 1
+            piece = get(chunk[i:j])
+            single = piece is None or piece[0] < 0
+            while single or piece is not None:
+                number, score = (-1, self.spelt) if single else piece
+                if single or number >= 0:
+                    reached = here + score
+                    if reached > ahead[j]:
+                        second[j] = max(ahead[j], other + score)
+                        ahead[j] = reached
+                        come[j] = (i, j, number)
+                    elif reached > second[j]:
+                        second[j] = reached
+                if single:
+                    single = False
+                    if piece is None:
+                        break
+                j += 1
+                piece = get(chunk[i:j]) if j <= n else None
+        path, at = [], n
         while at:
-            edge = come[at]
-            path.append((edge[0], edge[1], edge[3]))
-            chosen.add(edge)
-            at = edge[0]
-        behind = [-np.inf] * n + [0.0]
-        second = -np.inf
-        for edge in reversed(edges):
-            i, j, score, _ = edge
-            score += behind[j]
-            if score > behind[i]:
-                behind[i] = score
-            if edge not in chosen and score + ahead[i] > second:
-                second = score + ahead[i]
-        found = (ahead[n], self.ids(chunk, path[::-1]), max(ahead[n] - second, 0.0))
+            path.append(come[at])
+            at = come[at][0]
+        found = (ahead[n], self.ids(chunk, path[::-1]), ahead[n] - second[n])
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         self.known[chunk] = found
