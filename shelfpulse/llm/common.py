@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,18 +19,12 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_own_root: list[str] = []
-
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none, as in tests,
-    one temporary folder per process."""
+    """The folder that driver and executors share; where the session names none, as in tests,
+    one beside its tables."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root
-    if not _own_root:
-        _own_root.append(tempfile.mkdtemp(prefix="llm-"))
-    return _own_root[0]
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 class Scratch:
@@ -43,14 +37,26 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.staging = Staging(spark, shared_root(spark))
+        self.paths: dict[int, str] = {}
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
         before = self.spark.conf.get(CLEAN_SHUFFLES, "false")
         self.spark.conf.set(CLEAN_SHUFFLES, "true")
         try:
-            return self.staging.table(df, name)
+            df.write.parquet(path)
         finally:
             self.spark.conf.set(CLEAN_SHUFFLES, before)
+        written = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(written)] = path
+        return written
+
+    def discard(self, *written: DataFrame) -> None:
+        """Delete tables that nothing will read any more."""
+        context = self.spark.sparkContext
+        for df in written:
+            path = context._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
     def folder(self, name: str) -> str:
         return f"{self.staging.path}/{name}"

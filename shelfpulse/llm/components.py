@@ -15,7 +15,7 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Of edges (a, b): every node that has one, with the smallest node reachable from it.
+    """Of edges (a, b): every node from which a smaller one is reachable, with the smallest.
 
     Alternating stars: every node links its larger neighbours to its smallest one, then every
     node its smaller neighbours to the smallest. Rounds grow with the logarithm of the longest

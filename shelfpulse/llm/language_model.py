@@ -348,21 +348,26 @@ def train(docs: DataFrame, scratch: Scratch, min_pair: int = MIN_PAIR) -> Model:
     pairs = scratch.table(pairs.applyInArrow(_store_pairs(folder, buckets, min_pair), _SENT), "pairs")
     contexts = stored(pairs, "contexts", 4)
     continuations = stored(pairs, "continuations", 1)
-    # One row of six numbers per bucket, added up before the driver sees them.
-    stats = scratch.table(
-        words.unionByName(contexts).unionByName(continuations), "stats"
-    ).groupBy("kind").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(6)))
-    total = {r["kind"]: [r[f"s{i}"] for i in range(6)] for r in stats.collect()}
-    n, tokens, *_ = total.get("words", [0] * 6)
-    kinds, types, *counted = total.get("continuations", [0] * 6)
+    # Six numbers per bucket and kind, added up to one row before the driver sees them.
+    stats = scratch.table(words.unionByName(contexts).unionByName(continuations), "stats")
+    sums = stats.agg(
+        *(
+            F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("stats")[i])), F.lit(0)).alias(f"{kind}{i}")
+            for kind in ("words", "continuations")
+            for i in range(6)
+        )
+    ).first()
+    total = {kind: [sums[f"{kind}{i}"] for i in range(6)] for kind in ("words", "continuations")}
+    n, tokens, *_ = total["words"]
+    kinds, types, *counted = total["continuations"]
     own = pairs.filter("kind = 'pairs'").select(F.element_at("parts", 1).alias("p"))
     sums = own.mapInArrow(_read_stats, "s array<bigint>").agg(
         *(F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(6))
     ).first()
     pair_counts = [x or 0 for x in sums][2:]
-    word_d = discounts(*counted) if counted else (0.5, 1.0, 1.5)
+    word_d = discounts(*counted)
     pair_d = discounts(*pair_counts)
-    ones, twos = (counted + [0, 0])[:2]
+    ones, twos = counted[:2]
     kept = word_d[0] * ones + word_d[1] * twos + word_d[2] * (kinds - ones - twos)
     return Model(folder, buckets, tokens, n, types, word_d, pair_d, kept / types if types else 1.0, min_pair)
 

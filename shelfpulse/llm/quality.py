@@ -190,9 +190,9 @@ def fit(
         .select("label", COLUMN)
     )
     sample = scratch.table(sample.coalesce(4), "labelled")
-    kinds = [r["label"] for r in sample.select("label").distinct().collect()]
-    if len(kinds) < 2:
-        return RuleEnsemble({1.0: 50.0, 0.0: -50.0}.get(kinds[0], 0.0) if kinds else 0.0, ())
+    low, high = sample.agg(F.min("label"), F.max("label")).first()
+    if low == high:
+        return RuleEnsemble({1.0: 50.0, 0.0: -50.0, None: 0.0}[low], ())
     rows = sample.select("label", array_to_vector(COLUMN).alias("features"), COLUMN).cache()
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="sqrt", seed=7, maxBins=64

@@ -164,14 +164,14 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner")), "owners"
     )
     several = owners.groupBy("anchor").agg((F.count("*") > 1).alias("several"))
-    owners = owners.join(several, "anchor")
     found = scratch.table(
-        shared.join(owners, ["anchor", "reach"])
+        shared.join(owners.join(several, "anchor"), ["anchor", "reach"])
         .select("*", (F.col("doc_id") > F.col("owner")).alias("repeats"))
         .filter("repeats OR several")
         .drop("owner", "several", "reach"),
         "found",
     )
+    scratch.discard(anchors, shared, owners)
     whole = found.filter("repeats").select("doc_id", "text_key", "first", "last")
 
     left_open = found.filter("NOT repeats")
@@ -181,9 +181,14 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         ),
         "windows",
     )
-    owners = windows.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner"))
-    single = windows.join(owners, ["anchor", "reach"]).filter("doc_id > owner")
-    return scratch.table(whole.unionByName(single.select(*whole.columns)), "repeated")
+    held = windows.groupBy("anchor", "reach").agg(
+        F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")
+    )
+    held = scratch.table(held.filter("owner < high").drop("high"), "held")
+    single = windows.join(held, ["anchor", "reach"]).filter("doc_id > owner")
+    spans = scratch.table(whole.unionByName(single.select(*whole.columns)), "repeated")
+    scratch.discard(found, windows, held)
+    return spans
 
 
 def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
@@ -193,7 +198,10 @@ def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     count at all: such a row keeps its text. Null text counts as empty and comes back empty.
     """
     docs = docs.drop(*ADDED, _KEY, _FOUND)
-    keyed = docs.withColumn(_KEY, F.xxhash64("text"))
+    # Rows are told apart by their ids, and by their texts where an id has several.
+    several = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(1).alias(_KEY))
+    keyed = docs.join(scratch.table(several, "several"), "doc_id", "left")
+    keyed = keyed.withColumn(_KEY, F.when(F.col(_KEY).isNull(), 0).otherwise(F.xxhash64("text")))
     spans = repeated(keyed, unit, scratch)
     names = [*docs.columns, *ADDED]
     kind = "binary" if unit.binary else "string"

@@ -27,7 +27,7 @@ from shelfpulse.llm.naming import BYTE_VALUES, anchored, pair
 from shelfpulse.llm.repeats import Unit, covered, remove, stretches
 
 WINDOW = 50
-DEPTH = 16
+DEPTH = 24
 
 
 def refine(data: np.ndarray, depths: tuple[int, ...]) -> list[np.ndarray]:
