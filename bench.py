@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from queries.catalog import QUERIES
@@ -33,6 +34,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         **{
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "7g"),
+            "spark.checkpoint.dir": os.environ.get("BENCH_STAGING") or tempfile.mkdtemp(),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
+from contextlib import suppress
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queries.views import CART_END, CART_START, RUN_DATE, SHOP, Fixtures
-from shelfpulse import sources
-from shelfpulse.functions import exact_mean, np_round, one_line, within
+from queries.views import CART_END, CART_START, RUN_DATE, SHOP, Fixtures, raw_frames
+from shelfpulse import ShopConfig, sources
+from shelfpulse.functions import np_round, one_line, pdiv, steady_mean, within
 from shelfpulse.operators import (
     exposure,
     feedback,
@@ -36,12 +39,16 @@ from shelfpulse.plans import (
     repurchase_list,
 )
 from shelfpulse.plans.publish import publish_placement
-from shelfpulse.session import Staging
+from shelfpulse.session import CHECKPOINT_DIR, Staging
+from shelfpulse.sources import Tables
 from shelfpulse.sources.market import on_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Products of the test tables in these states; a test checks that they are.
+PIN_APPLIES, PIN_SOLD_OUT = 10, 22
+
 # The test tables have few repurchases within 90 days.
 REPURCHASE_OPTIONS = {"min_repurchase": 3, "min_repurchase_user": 2}
 
@@ -54,13 +61,26 @@ def query(fn: Callable[[Run], DataFrame]) -> Callable[[Run], DataFrame]:
     return fn
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where the session names no shared folder: beside its tables, which all executors reach."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging"
+
+
+def drop_quietly(staging: Staging) -> None:
+    """At the end of the process the session may be gone already."""
+    with suppress(Exception):
+        staging.drop()
+
+
 class Run:
     """What one query execution works on."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.fx = Fixtures(spark, sf_dir)
-        self.staging = Staging(spark)
+        # Results are read after the query returns, so what it staged goes when the process ends.
+        self.staging = Staging(spark, spark.conf.get(CHECKPOINT_DIR, None) or own_folder(spark))
+        atexit.register(drop_quietly, self.staging)
 
     @property
     def history(self) -> DataFrame:
@@ -92,7 +112,11 @@ class Run:
 
     @property
     def crawls(self) -> DataFrame:
-        return sources.crawl_status(self.fx["fx_crawl"], self.fx["fx_cmpt"])
+        return sources.crawl_status(self.fx["fx_crawl"], self.competitor_prices)
+
+    @property
+    def competitor_prices(self) -> DataFrame:
+        return sources.competitor_prices(self.fx["fx_cmpt"])
 
     def staged(self, df: DataFrame, name: str) -> DataFrame:
         return self.staging.table(df, name)
@@ -100,6 +124,16 @@ class Run:
     def staged_daily(self) -> DataFrame:
         return self.staged(self.daily, "daily")
 
+    def from_tables(self, shop: ShopConfig = SHOP) -> Inputs:
+        """The inputs as the readers make them of a folder of raw tables."""
+        root = f"{self.staging.path}/raw"
+        for name, frame in raw_frames(self.fx).items():
+            frame.write.parquet(f"{root}/{name}")
+        return Inputs.from_tables(Tables(self.spark, root), RUN_DATE, shop, self.staging)
+
+    def signals_from_tables(self, shop: ShopConfig = SHOP) -> Signals:
+        return Signals(self.spark, self.from_tables(shop), shop, RUN_DATE, staging=self.staging)
+
     def signals(self) -> Signals:
         """The inputs of a whole run; sales and stock exist as tables, as they do in a shop."""
         fx = self.fx
@@ -116,7 +150,7 @@ class Run:
             reviews=sources.DayHistory(fx["fx_review"], "post_day"),
             searches=sources.DayHistory(fx["fx_search"]),
             own_prices=fx["fx_own"],
-            competitor_prices=fx["fx_cmpt"],
+            competitor_prices=self.competitor_prices,
             crawls=self.crawls,
         )
         return Signals(self.spark, inputs, SHOP, RUN_DATE, staging=self.staging)
@@ -209,7 +243,7 @@ def semi_join_recent_sellers(run: Run) -> DataFrame:
 @query
 def filter_substitutes(run: Run) -> DataFrame:
     losers = sales.substitute_losers(
-        run.lines, SHOP.substitutes, RUN_DATE, SHOP.substitute_days
+        run.staged(run.options, "options"), SHOP.substitutes, RUN_DATE, SHOP.substitute_days
     )
     return sales.without_products(run.daily, losers)
 
@@ -231,7 +265,7 @@ def np_rounding(run: Run) -> DataFrame:
 
 @query
 def case_price_status(run: Run) -> DataFrame:
-    return prices.price_status(run.fx["fx_cmpt"], run.crawls)
+    return prices.price_status(run.competitor_prices, run.crawls)
 
 
 # --- joins -----------------------------------------------------------------------------
@@ -310,7 +344,7 @@ def agg_conditional_count(run: Run) -> DataFrame:
 
 @query
 def pivot_prices(run: Run) -> DataFrame:
-    statuses = prices.price_status(run.fx["fx_cmpt"], run.crawls)
+    statuses = prices.price_status(run.competitor_prices, run.crawls)
     return prices.pivot_prices(statuses, SHOP.competitors)
 
 
@@ -321,13 +355,26 @@ def fill_null_mean(run: Run) -> DataFrame:
         "ratings",
     )
     reviewed = ratings.filter("product_id % 3 <> 0")
-    mean = reviewed.agg(exact_mean(F.col("avg_rating"))).scalar()
+    mean = reviewed.agg(steady_mean(F.col("avg_rating"))).scalar()
     products = run.fx["fx_sales"].select("product_id").distinct()
     return products.join(reviewed, "product_id", "left").select(
         "product_id", np_round(F.coalesce("avg_rating", mean), 4).alias("avg_rating")
     )
 
 
+@query
+def mean_extremes(run: Run) -> DataFrame:
+    """Means that meet infinite, very large and very small values."""
+    never = F.when((F.dayofmonth("day") == 1) & (F.col("product_id") % 7 == 0), 0.0).otherwise(1.0)
+    values = {
+        "rate": pdiv(F.col("qty"), never),
+        "huge": F.col("qty") * 2.0**64,
+        "tiny": F.col("qty") / 2.0**40,
+    }
+    means = [steady_mean(v).alias(name) for name, v in values.items()]
+    return run.staged_daily().groupBy("product_id").agg(*means)
+
+
 @query
 def monthly_sales(run: Run) -> DataFrame:
     return trend.monthly_sales(run.staged_daily())
@@ -462,7 +509,7 @@ def search_inflow(run: Run) -> DataFrame:
 @query
 def price_matrix(run: Run) -> DataFrame:
     return prices.price_matrix(
-        run.fx["fx_own"], run.fx["fx_cmpt"], run.crawls, SHOP.competitors
+        run.fx["fx_own"], run.competitor_prices, run.crawls, SHOP.competitors
     )
 
 
@@ -549,8 +596,8 @@ def list_ranking(run: Run) -> DataFrame:
     return ranking_list(run.signals(), min_turnover=0, head_num=SHOP.list_size)
 
 
-def _lists(run: Run):
-    signals = run.signals()
+def _lists(run: Run, signals: Signals | None = None):
+    signals = signals or run.signals()
     options = {"min_turnover": 2, **REPURCHASE_OPTIONS}
     return signals, exclusive_lists(signals, repurchase_options=options)
 
@@ -574,17 +621,81 @@ def placement(run: Run) -> DataFrame:
 
 @query
 def published_ranking(run: Run) -> DataFrame:
-    return publish_ranking(_lists(run)[1].ranking, RUN_DATE)
+    return publish_ranking(_lists(run)[1].ranking, RUN_DATE, SHOP)
 
 
 @query
 def published_repurchase(run: Run) -> DataFrame:
-    return publish_repurchase(_lists(run)[1].repurchase, RUN_DATE)
+    return publish_repurchase(_lists(run)[1].repurchase, RUN_DATE, SHOP)
 
 
 @query
 def published_growth(run: Run) -> DataFrame:
-    return publish_growth(_lists(run)[1].growth, RUN_DATE)
+    return publish_growth(_lists(run)[1].growth, RUN_DATE, SHOP)
+
+
+# --- from raw tables -------------------------------------------------------------------
+
+RECENT = RUN_DATE - timedelta(days=9)
+
+
+@query
+def src_products(run: Run) -> DataFrame:
+    return run.from_tables().products
+
+
+@query
+def src_stock(run: Run) -> DataFrame:
+    return run.from_tables().stock.since(RECENT).select("barcode", "amount", "day")
+
+
+@query
+def src_stock_newest(run: Run) -> DataFrame:
+    return run.from_tables().stock.newest().select("barcode", "amount", "day")
+
+
+@query
+def src_exposure(run: Run) -> DataFrame:
+    return run.from_tables().exposures
+
+
+@query
+def src_search(run: Run) -> DataFrame:
+    return run.from_tables().searches.since(RECENT)
+
+
+@query
+def list_repurchase_60(run: Run) -> DataFrame:
+    """A period that the shared totals do not cover."""
+    options = {"min_turnover": 2, "target_period": 60, **REPURCHASE_OPTIONS}
+    return repurchase_list(run.signals_from_tables(), **options)
+
+
+@query
+def placement_from_tables(run: Run) -> DataFrame:
+    signals, lists = _lists(run, run.signals_from_tables())
+    return publish_placement(placement_list(signals, lists))
+
+
+@query
+def placement_exclusive(run: Run) -> DataFrame:
+    signals, lists = _lists(run, run.signals_from_tables())
+    return publish_placement(placement_list(signals, lists, exclusive=True))
+
+
+@query
+def placement_pinned(run: Run) -> DataFrame:
+    """The pinned product is in stock and in no zone."""
+    shop = replace(SHOP, pinned_product=PIN_APPLIES)
+    signals, lists = _lists(run, run.signals_from_tables(shop))
+    return publish_placement(placement_list(signals, lists))
+
+
+@query
+def placement_pinned_sold_out(run: Run) -> DataFrame:
+    shop = replace(SHOP, pinned_product=PIN_SOLD_OUT)
+    signals, lists = _lists(run, run.signals_from_tables(shop))
+    return publish_placement(placement_list(signals, lists))
 
 
 # Keys under the names of the coverage list.

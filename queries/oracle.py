@@ -20,7 +20,16 @@ def rd(x: str, digits: int) -> str:
 
 
 def mean(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(28,9))) AS DOUBLE) / COUNT({x}))"
+    """The mean; a compensated sum unless a value is infinite, which it would not survive."""
+    return (
+        f"(CASE WHEN BOOL_OR(ISINF({x})) THEN AVG({x}) "
+        f"ELSE FSUM(CAST({x} AS DOUBLE)) / COUNT({x}) END)"
+    )
+
+
+def mean_of_cents(x: str) -> str:
+    """The mean of values that have two digits, over their exact sum."""
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({x}))"
 
 
 def ieee(a: str, b: str) -> str:
@@ -34,6 +43,9 @@ CTES: dict[str, str] = {}
 
 # --- sales ------------------------------------------------------------------------------
 CTES["hist"] = f"SELECT * FROM fx_sales WHERE purchased_at BETWEEN {FIRST_DAY} AND {RUN_DAY}"
+CTES["cmpt"] = """
+SELECT DISTINCT competitor, product_id, krw_price, usd_price FROM fx_cmpt
+WHERE date = (SELECT MAX(date) FROM fx_cmpt)"""
 CTES["lines"] = "SELECT * FROM hist WHERE category_m IS NULL OR category_m <> 'excluded'"
 CTES["all_daily"] = (
     "SELECT product_id, purchased_at AS day, SUM(product_qty) AS qty FROM lines GROUP BY ALL"
@@ -343,14 +355,14 @@ SELECT product_id, {rd("AVG(rating_value)", 2)} AS r FROM fx_review WHERE produc
 # --- prices -----------------------------------------------------------------------------
 CTES["crawled"] = """
 SELECT competitor, product_id, sale_or_not FROM fx_crawl
-WHERE competitor IN (SELECT competitor FROM fx_cmpt)
+WHERE competitor IN (SELECT competitor FROM cmpt)
 QUALIFY ROW_NUMBER() OVER (PARTITION BY competitor, product_id ORDER BY update_date DESC, sale_or_not) = 1"""
 CTES["statuses"] = """
 SELECT competitor, product_id, status, CASE WHEN status = '정상수집' THEN krw_price END AS price FROM (
  SELECT COALESCE(p.competitor, c.competitor) AS competitor, COALESCE(p.product_id, c.product_id) AS product_id, krw_price,
   CASE WHEN sale_or_not = 0 THEN '미판매' WHEN krw_price = -1 OR usd_price = 0 OR krw_price IS NULL THEN '수집오류'
    ELSE '정상수집' END AS status
- FROM fx_cmpt p FULL JOIN crawled c ON p.competitor = c.competitor AND p.product_id = c.product_id)"""
+ FROM cmpt p FULL JOIN crawled c ON p.competitor = c.competitor AND p.product_id = c.product_id)"""
 _COMPETITORS = ("11st", "Coupang", "Iherb", "Ople")
 
 
@@ -368,7 +380,7 @@ def _pivot_columns() -> str:
 
 
 CTES["pivoted"] = f"SELECT product_id, {_pivot_columns()} FROM statuses GROUP BY product_id"
-_ALL_FOUND = "(SELECT COUNT(DISTINCT competitor) = 4 FROM fx_cmpt)"
+_ALL_FOUND = "(SELECT COUNT(DISTINCT competitor) = 4 FROM cmpt)"
 _MATRIX = ", ".join(
     f"CASE WHEN {_ALL_FOUND} THEN price_{n.lower()} END AS price_{n.lower()}, "
     f"CASE WHEN {_ALL_FOUND} THEN COALESCE(price_{n.lower()}_status, '미수집') ELSE '수집오류' END "
@@ -495,7 +507,7 @@ _FILLED = {
     **{c: f"COALESCE({c}, 0)" for c in ("search_count", "negative_reviews")},
     "category_s": "COALESCE(category_s, '-')",
     "negative_case": "COALESCE(negative_case, '-')",
-    "avg_rating": rd(f"COALESCE(avg_rating, (SELECT {mean('avg_rating')} FROM rank_found))", 4),
+    "avg_rating": f"COALESCE(avg_rating, (SELECT {mean_of_cents('avg_rating')} FROM rank_found))",
 }
 CTES["rank_items"] = f"""
 SELECT {cells(RANKING_BASE, RANKING_NUMBERS)} FROM (
@@ -642,8 +654,12 @@ SELECT product_id, COUNT(CASE WHEN rating_value <= 3 THEN 1 END) AS negative, CO
 FROM fx_review GROUP BY product_id""",
     "pivot_prices": "SELECT * FROM pivoted",
     "fill_null_mean": f"""
-SELECT p.product_id, {rd(f"COALESCE(r, (SELECT {mean('r')} FROM rated))", 4)} AS avg_rating
+SELECT p.product_id, {rd(f"COALESCE(r, (SELECT {mean_of_cents('r')} FROM rated))", 4)} AS avg_rating
 FROM (SELECT DISTINCT product_id FROM fx_sales) p LEFT JOIN rated ON p.product_id = rated.product_id""",
+    "mean_extremes": f"""
+SELECT product_id, AVG({ieee("qty", "CAST(CASE WHEN DAY(day) = 1 AND product_id % 7 = 0 THEN 0 ELSE 1 END AS DOUBLE)")}) AS rate,
+ AVG(qty * 18446744073709551616e0) AS huge, AVG(qty / 1099511627776e0) AS tiny
+FROM all_daily GROUP BY product_id""",
     "monthly_sales": "SELECT * FROM all_monthly",
     "win_latest_stock": """
 SELECT barcode, amount FROM (
@@ -720,28 +736,66 @@ SELECT product_id AS PRODUCT_ID, {RUN_DAY} AS DATE, zone AS MAIN_REC_CATEGORY, C
 }
 
 
-def _publish() -> None:
-    from shelfpulse.plans.publish import GROWTH_COLUMNS, RANKING_COLUMNS, REPURCHASE_COLUMNS
-
-    QUERIES["published_ranking"] = published("rank_top", RANKING_COLUMNS)
-    QUERIES["published_repurchase"] = published("rep_top", REPURCHASE_COLUMNS)
-    QUERIES["published_growth"] = published("growth_top", GROWTH_COLUMNS)
-
-
-_publish()
-
-
-def _text(name: str) -> str:
-    return CTES[name] if name in CTES else view_text(name, "duckdb")
+# The published columns in order, each with the column it shows.
+_PUBLISHED = {
+    ("published_ranking", "rank_top"): """
+BRAND brand, PRODUCT_NAME_KOR product_name, SCORE_TOTAL score, SCORE_AVG_QTY last_avg_qty_grade,
+SCORE_GRWRATE_WEEK growth_rate_grade, SCORE_GRWRATE_QUT qoq_rate_grade,
+SCORE_GRWRATE_YEAR yoy_rate_grade, SCORE_REPCHS repurchase_index_grade,
+SCORE_SEARCH search_count_grade, SCORE_NEG_RVW negative_reviews, PRICE_MZ price_own,
+PRICE_11ST price_11st, PRICE_COUPANG price_coupang, PRICE_IHERB price_iherb,
+PRICE_OPLE price_ople, LAST_AVG_QTY last_avg_qty, PAST_AVG_QTY past_avg_qty,
+GRWRATE_WEEK growth_rate, GRWRATE_QUT qoq_rate, GRWRATE_YEAR yoy_rate,
+REPCHS_INDEX repurchase_index, REPCHS_CNT repurchase_count, PCHS_CNT purchase_count,
+REPCHS_CNT_RATE repurchase_rate, REPCHS_USER repurchase_users,
+REPCHS_USER_RATE repurchase_user_rate, AVG_RATING avg_rating, RVW_CNT review_count,
+RVW_LENGTH review_length, NEG_RVW_CASE negative_case, OOS_DAYS oos_days, OOS_RATE oos_rate,
+SEARCH_NUM search_count, PRODUCT_ID product_id, CATEGORY_M category_m, CATEGORY_S category_s,
+OPTION_BARCODE_1ST opt1_barcode, OPTION_NAME_1ST opt1_name, OPTION_SALE_RATE_1ST opt1_share,
+OPTION_STCK_1ST opt1_stock, OPTION_DSI_1ST opt1_dsi, OPTION_BARCODE_2ND opt2_barcode,
+OPTION_NAME_2ND opt2_name, OPTION_SALE_RATE_2ND opt2_share, OPTION_STCK_2ND opt2_stock,
+OPTION_DSI_2ND opt2_dsi, MAIN_REC_LAST_CATEGORY main_rec_category,
+MAIN_REC_START_DATE exposure_start, MAIN_REC_GRWRATE exposure_uplift, DATE date, RANK_NUM rank""",
+    ("published_repurchase", "rep_top"): """
+BRAND brand, PRODUCT_NAME_KOR product_name, SCORE_TOTAL score,
+SCORE_REPCHS_CNT_RATE repurchase_rate_grade, SCORE_REPCHS_USER_RATE repurchase_user_rate_grade,
+SCORE_AVG_QTY last_avg_qty_grade, REPCHS_INDEX repurchase_index, PRICE_MZ price_own,
+PRICE_11ST price_11st, PRICE_COUPANG price_coupang, PRICE_IHERB price_iherb,
+PRICE_OPLE price_ople, REPCHS_CNT_RATE repurchase_rate, REPCHS_USER_RATE repurchase_user_rate,
+REPCHS_CNT repurchase_count, PCHS_CNT purchase_count, REPCHS_USER repurchase_users,
+LAST_AVG_QTY last_avg_qty, OPTION_STCK_1ST opt1_stock, OPTION_DSI_1ST opt1_dsi,
+OPTION_SALE_RATE_1ST opt1_share, OPTION_STCK_2ND opt2_stock, OPTION_DSI_2ND opt2_dsi,
+OPTION_SALE_RATE_2ND opt2_share, PRODUCT_ID product_id, OPTION_BARCODE_1ST opt1_barcode,
+OPTION_BARCODE_2ND opt2_barcode, CATEGORY_M category_m, CATEGORY_S category_s,
+OPTION_NAME_1ST opt1_name, OPTION_NAME_2ND opt2_name, MAIN_REC_LAST_CATEGORY main_rec_category,
+MAIN_REC_START_DATE exposure_start, MAIN_REC_GRWRATE exposure_uplift, DATE date, RANK_NUM rank""",
+    ("published_growth", "growth_top"): """
+BRAND brand, PRODUCT_NAME_KOR product_name, GRWRATE growth_rate, LAST_AVG_QTY last_avg_qty,
+PAST_AVG_QTY past_avg_qty, PRICE_MZ price_own, PRICE_11ST price_11st,
+PRICE_COUPANG price_coupang, PRICE_IHERB price_iherb, PRICE_OPLE price_ople,
+LT_GRWRATE lt_growth, OPTION_NAME_1ST opt1_name, OPTION_STCK_1ST opt1_stock,
+OPTION_DSI_1ST opt1_dsi, OPTION_SALE_RATE_1ST opt1_share, OPTION_NAME_2ND opt2_name,
+OPTION_STCK_2ND opt2_stock, OPTION_DSI_2ND opt2_dsi, OPTION_SALE_RATE_2ND opt2_share,
+PRODUCT_ID product_id, OPTION_BARCODE_1ST opt1_barcode, OPTION_BARCODE_2ND opt2_barcode,
+MAIN_REC_LAST_CATEGORY main_rec_category, MAIN_REC_START_DATE exposure_start,
+MAIN_REC_GRWRATE exposure_uplift, DATE date, RANK_NUM rank""",
+}
+for (_key, _source), _columns in _PUBLISHED.items():
+    QUERIES[_key] = published(_source, dict(c.split() for c in _columns.split(",")))
 
 
-def statement(query: str) -> str:
-    """The query with all the expressions it needs, each after those it uses."""
+def statement(query: str, other: dict[str, str] | None = None) -> str:
+    """The query with all the expressions it needs, each after those it uses. `other` has texts
+    to be used in place of the usual ones."""
     order: list[str] = []
+    known = CTES | (other or {})
+
+    def _text(name: str) -> str:
+        return known[name] if name in known else view_text(name, "duckdb")
 
     def need(text: str, owner: str | None = None) -> None:
         for word in dict.fromkeys(re.findall(r"[a-zA-Z_][a-zA-Z0-9_]*", text)):
-            if (word in CTES or word in VIEWS) and word != owner and word not in order:
+            if (word in known or word in VIEWS) and word != owner and word not in order:
                 need(_text(word), word)
                 order.append(word)
 
@@ -753,5 +807,42 @@ def statement(query: str) -> str:
     return f"WITH RECURSIVE {', '.join(parts)} {query}" if parts else query
 
 
+# Reviews and brands as the readers find them: joined from their tables, not the views that
+# those were made of.
+CTES["raw_reviews"] = QUERIES["src_reviews"]
+_FROM_TABLES = {
+    "ok_reviews": CTES["ok_reviews"].replace("fx_review", "raw_reviews"),
+    "fx_brand": QUERIES["src_brand"],
+}
+CTES["ok_totals_60"] = totals("ok_lines", "(SELECT t FROM ok_top)", 60)
+_NEWEST = "(SELECT MAX(day) FROM fx_stock)"
+_PLACEMENT = QUERIES["placement_list"]
+
+
+def pinned(text: str, product: int) -> str:
+    """The same with another pinned product; its number stands nowhere else."""
+    return re.sub(r"(?<![\d.-])31(?![\d.])", str(product), text)
+
+
+STATEMENTS = {
+    "src_products": statement(
+        "SELECT product_id, CAST(NULL AS VARCHAR) AS is_edp, status, CAST(NULL AS VARCHAR) AS hash_tag FROM fx_status"
+    ),
+    "src_stock": statement(f"SELECT * FROM fx_stock WHERE day >= {RUN_DAY} - 9"),
+    "src_stock_newest": statement(f"SELECT * FROM fx_stock WHERE day = {_NEWEST}"),
+    "src_exposure": statement("SELECT * FROM fx_exposure"),
+    "src_search": statement(f"SELECT * FROM fx_search WHERE day >= {RUN_DAY} - 9"),
+    "list_repurchase_60": statement(
+        QUERIES["list_repurchase"], _FROM_TABLES | {"ok_index_90": index("ok_totals_60", 3, 2)}
+    ),
+    "placement_from_tables": statement(_PLACEMENT, _FROM_TABLES),
+    "placement_exclusive": statement(
+        _PLACEMENT, _FROM_TABLES | {"growth_placed": "SELECT product_id, rank FROM growth_top WHERE rank <= 15"}
+    ),
+    "placement_pinned": pinned(statement(_PLACEMENT, _FROM_TABLES), 10),
+    "placement_pinned_sold_out": pinned(statement(_PLACEMENT, _FROM_TABLES), 22),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(text) for name, text in QUERIES.items()}
+    return {name: statement(text) for name, text in QUERIES.items()} | STATEMENTS

@@ -9,6 +9,7 @@ import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfpulse.config import ShopConfig
 
@@ -30,8 +31,14 @@ _COMPETITOR = (
 )
 
 VIEWS = {
+    # Some products sell only since a day, or rarely: their other lines are ten years older.
     "fx_sales": """
-SELECT * FROM (
+SELECT order_id, user_id, product_id, product_name, barcode, variant_name, category_m, category_s,
+ CASE WHEN (product_id % 10 = 7 AND ordered_at < DATE '2000-11-01')
+   OR (product_id % 10 = 3 AND ordered_at < DATE '2001-04-20')
+   OR (product_id % 10 = 9 AND line_no <> 1) THEN CAST(ordered_at - INTERVAL 10 YEAR AS DATE)
+  ELSE ordered_at END AS purchased_at, product_qty, line_no, product_price, marked_down_price
+FROM (
  SELECT CAST(l_orderkey*10 + l_linenumber AS BIGINT) AS order_id, CAST(o_custkey % 40 AS BIGINT) AS user_id,
   CAST(l_partkey % 60 AS BIGINT) AS product_id, CONCAT('product ', CAST(l_partkey % 60 AS VARCHAR(10))) AS product_name,
   CAST((l_partkey % 60)*10 + CASE WHEN (l_partkey % 60) % 5 = 0 THEN 0 ELSE l_suppkey % 3 END AS VARCHAR(10)) AS barcode,
@@ -39,17 +46,18 @@ SELECT * FROM (
   CASE WHEN (l_partkey % 60) = 59 THEN 'excluded' WHEN (l_partkey % 60) = 58 THEN NULL
        ELSE CONCAT('cat', CAST((l_partkey % 60) % 6 AS VARCHAR(10))) END AS category_m,
   CONCAT('sub', CAST((l_partkey % 60) % 9 AS VARCHAR(10))) AS category_s,
-  CAST(o_orderdate AS DATE) AS purchased_at, l_quantity AS product_qty, l_linenumber AS line_no,
+  CAST(o_orderdate AS DATE) AS ordered_at, l_quantity AS product_qty, l_linenumber AS line_no,
   l_extendedprice AS product_price, l_extendedprice * (1 - l_discount) AS marked_down_price
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey) s
-WHERE (product_id % 10 <> 7 OR purchased_at >= DATE '2000-11-01')
-  AND (product_id % 10 <> 3 OR purchased_at >= DATE '2001-04-20')
-  AND (product_id % 10 <> 9 OR line_no = 1)""",
-    "fx_days": "SELECT DISTINCT purchased_at AS day FROM fx_sales WHERE purchased_at >= DATE '2001-06-20'",
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey) s""",
+    # Every line is a delivery on one of 43 days; some products' stock has barcodes never sold.
     "fx_stock": """
-SELECT b.barcode, d.day, CAST(CASE WHEN (CAST(b.barcode AS BIGINT)*7 + EXTRACT(DAY FROM d.day)*5) % 11 < 2 THEN 0
-  ELSE ((CAST(b.barcode AS BIGINT)*7 + EXTRACT(DAY FROM d.day)*5) % 11)*4 END AS BIGINT) AS amount
-FROM (SELECT DISTINCT barcode, product_id FROM fx_sales) b CROSS JOIN fx_days d WHERE b.product_id % 12 <> 11""",
+SELECT barcode, day, CAST(CASE WHEN SUM(line) % 11 < 2 THEN 0 ELSE SUM(l_quantity) END AS BIGINT) AS amount
+FROM (
+ SELECT CAST((l_partkey % 60)*10 + CASE WHEN l_partkey % 60 % 12 = 11 THEN 9000 ELSE 0 END
+   + CASE WHEN (l_partkey % 60) % 5 = 0 THEN 0 ELSE l_suppkey % 3 END AS VARCHAR(10)) AS barcode,
+  DATE '2001-06-20' + CAST((l_orderkey*7 + l_linenumber*3) % 43 AS INT) AS day,
+  l_orderkey + l_linenumber AS line, l_quantity FROM lineitem) d
+GROUP BY barcode, day""",
     "fx_brand": """
 SELECT DISTINCT product_id, CASE WHEN product_id = 4 THEN 'Jan Tana' WHEN product_id = 6 THEN NULL
   ELSE CONCAT('Brand#', CAST(product_id % 7 AS VARCHAR(10))) END AS brand FROM fx_sales""",
@@ -66,11 +74,12 @@ SELECT event_id AS post_id, product_id, CAST(FLOOR(value) AS BIGINT) % 5 + 1 AS
   CONCAT('msg ', CAST(event_id AS VARCHAR(20))) AS message, day AS post_day FROM fx_ev WHERE event_type = 'purchase'""",
     "fx_cmpt": f"""
 SELECT DISTINCT {_COMPETITOR} AS competitor,
-  CAST(l_partkey % 60 AS BIGINT) AS product_id, DATE '2001-07-01' AS date,
+  CAST(l_partkey % 60 AS BIGINT) AS product_id,
+  DATE '2001-06-12' + CAST((l_orderkey*7 + l_linenumber) % 20 AS INT) AS date,
   CAST(CASE WHEN l_partkey % 13 = 0 THEN -1.0 ELSE 100.0 + l_partkey % 60 END AS DOUBLE) AS krw_price,
   CAST(CASE WHEN l_partkey % 17 = 0 THEN 0.0 ELSE 1.0 END AS DOUBLE) AS usd_price
-FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-07-01 00:00:00'""",
-    # Daily prices of several days, for the newest-day filter.
+FROM lineitem""",
+    # Prices by ship day, of which the newest has few.
     "fx_cmpt_history": f"""
 SELECT DISTINCT {_COMPETITOR} AS competitor,
   CAST(l_partkey % 60 AS BIGINT) AS product_id, CAST(l_shipdate AS DATE) AS date,
@@ -81,7 +90,7 @@ FROM lineitem""",
 SELECT DISTINCT {_COMPETITOR} AS competitor,
   CAST(l_partkey % 60 AS BIGINT) AS product_id, CAST(l_shipdate AS DATE) AS update_date,
   CAST(CASE WHEN (l_partkey + l_suppkey) % 9 = 0 THEN 0 ELSE 1 END AS BIGINT) AS sale_or_not
-FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-07-01 00:00:00'""",
+FROM lineitem""",
     "fx_item": "SELECT DISTINCT CAST(product_id * 3 AS BIGINT) AS id, product_id FROM fx_sales",
     "fx_item_price": """
 SELECT CAST((l_partkey % 60) * 3 AS BIGINT) AS item_id, CAST(l_shipdate AS DATE) AS date,
@@ -179,6 +188,34 @@ class Fixtures:
         self._frames[name] = frame
 
 
+def raw_frames(fx: Fixtures) -> dict[str, DataFrame]:
+    """The views as a shop's raw tables, with epochs where a shop keeps them."""
+    epoch = F.unix_seconds(F.col("day").cast("timestamp")) - 14 * 3600 + 60
+    moment = F.col("purchased_at").cast("timestamp").alias("purchased_at")
+    sales = fx["fx_sales"].drop("line_no")
+    return {
+        "sales": sales.select(*[c for c in sales.columns if c != "purchased_at"], moment),
+        "stock": fx["fx_stock"].select("barcode", "amount", epoch.alias("timestamp")),
+        "products": fx["fx_status"],
+        "feature_values": fx["fx_feature"],
+        "variant_names": fx["fx_variant"],
+        "exposures": fx["fx_exposure"].select(
+            "product_id", F.col("day").cast("timestamp").alias("date"), "popularity", "main_rec_category"
+        ),
+        "searches": fx["fx_search"].select("idx", "product_id", epoch.alias("timestamp")),
+        "option_inventory": sales.select("product_id", "barcode").distinct(),
+        "posts": fx["fx_posts"],
+        "ratings": fx["fx_ratings"],
+        "messages": fx["fx_messages"],
+        "threads": fx["fx_threads"],
+        "product_names": fx["fx_names"],
+        "competitor_prices": fx["fx_cmpt"],
+        "crawls": fx["fx_crawl"].withColumn("update_date", F.col("update_date").cast("timestamp")),
+        "items": fx["fx_item"],
+        "item_prices": fx["fx_item_price"],
+    }
+
+
 def needed(text: str) -> list[str]:
     """Views and tables that a text names, in order of first mention."""
     words = re.findall(r"[a-z_]+", text)

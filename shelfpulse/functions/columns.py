@@ -86,11 +86,18 @@ def strip_tabs(text: Column) -> Column:
     return F.translate(text, "\t", "")
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean over an exact decimal sum.
+def steady_mean(value: Column) -> Column:
+    """The mean of all values that are not null, infinite ones included.
 
-    A sum of doubles depends on the order in which partitions arrive, which is enough to
-    flip a two-digit rounding. Nulls and infinite values are left out.
+    A sum of doubles depends on the order in which partitions arrive, which is enough to flip a
+    two-digit rounding. Values are therefore split: millionths add up as whole numbers, which
+    takes in all of a value that was rounded to at most six digits; what is finer or larger is
+    added as doubles. Infinities of both signs together have no mean.
     """
-    exact = value.cast("double").try_cast("decimal(28,9)")
-    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))
+    value = value.cast("double")
+    small = F.abs(value) < 1e12
+    whole = F.when(small, F.rint(value * 1e6))
+    finer = F.when(small, value - whole / 1e6).otherwise(value)
+    total = F.sum(whole.cast("decimal(18,0)")).cast("double") / 1e6
+    mean = F.try_divide(F.coalesce(total, F.lit(0.0)) + F.sum(finer), F.count(value))
+    return F.when(~F.isnan(mean), mean)

@@ -9,12 +9,8 @@ from shelfpulse.functions import np_round, pdiv
 from shelfpulse.sources.market import on_latest
 
 
-def exposure_streak(exposures: DataFrame) -> DataFrame:
-    """Products shown on the newest day, their zone, and since when without a gap.
-
-    With distinct days counted back from the newest, the n-th one lies in the unbroken run
-    exactly if it is n-1 days before it. The window holds the days of one product.
-    """
+def shown_products(exposures: DataFrame) -> DataFrame:
+    """Products shown on the newest day, with their most popular zone."""
     newest = (
         on_latest(exposures, "day")
         .filter(F.col("product_id").isNotNull())
@@ -23,12 +19,22 @@ def exposure_streak(exposures: DataFrame) -> DataFrame:
     by_popularity = Window.partitionBy("product_id").orderBy(
         F.col("popularity").desc_nulls_last(), "main_rec_category"
     )
-    shown = (
+    return (
         newest.withColumn("place", F.row_number().over(by_popularity))
         .filter(F.col("place") == 1)
         .select("product_id", "main_rec_category", "latest_day")
     )
-    days = exposures.select("product_id", "day").distinct().join(shown, "product_id")
+
+
+def exposure_streak(exposures: DataFrame, shown: DataFrame | None = None) -> DataFrame:
+    """Products shown on the newest day, their zone, and since when without a gap.
+
+    With distinct days counted back from the newest, the n-th one lies in the unbroken run
+    exactly if it is n-1 days before it. The window holds the days of one product. The history
+    meets the few products shown now (staged, where `shown` is given) before it is shuffled.
+    """
+    shown = shown_products(exposures) if shown is None else shown
+    days = exposures.select("product_id", "day").join(shown, "product_id").distinct()
     back = F.row_number().over(Window.partitionBy("product_id").orderBy(F.col("day").desc()))
     return (
         days.withColumn("back", back)
@@ -49,16 +55,18 @@ def exposure_uplift(streaks: DataFrame, daily: DataFrame, control_days: int = 7)
     treated = (day >= start) & (day <= latest)
     control = (day >= F.date_sub(start, control_days)) & (day < start)
     sums = (
-        streaks.join(daily, "product_id", "left")
-        .groupBy("product_id", "main_rec_category", "exposure_start", "latest_day")
+        daily.join(streaks, "product_id")
+        .filter(treated | control)
+        .groupBy("product_id")
         .agg(
             F.sum(F.when(treated, F.col("qty"))).alias("shown_qty"),
             F.sum(F.when(control, F.col("qty"))).alias("control_qty"),
         )
     )
+    streaks = streaks.join(sums, "product_id", "left")
     shown = F.coalesce(F.col("shown_qty") / (F.datediff(latest, start) + 1), F.lit(0.0))
     base = F.coalesce(F.col("control_qty") / (control_days + 1), F.lit(1.0))
-    return sums.select(
+    return streaks.select(
         "product_id",
         "main_rec_category",
         "exposure_start",

@@ -112,18 +112,18 @@ def recent_average(daily: DataFrame, as_of: date, days: int = 7) -> DataFrame:
 
 
 def substitute_losers(
-    sales: DataFrame, substitutes: Iterable[int], run_date: date, days: int = 90
+    options: DataFrame, substitutes: Iterable[int], run_date: date, days: int = 90
 ) -> DataFrame:
-    """Products of a substitute group that sold less than its best seller.
+    """Products of a substitute group that sold less than its best seller, from the rollup.
 
     Ties keep all, and a member without recent sales is not a loser. Both conditions are on
-    plain columns of the order lines and skip most of them at the scan.
+    plain columns and skip most of a staged rollup at the scan.
     """
     sums = (
-        sales.filter(F.col("product_id").isin(list(substitutes)))
-        .filter(within(F.col("purchased_at"), run_date - timedelta(days=days), None))
+        options.filter(F.col("product_id").isin(list(substitutes)))
+        .filter(within(F.col("day"), run_date - timedelta(days=days), None))
         .groupBy("product_id")
-        .agg(F.coalesce(F.sum("product_qty"), F.lit(0.0)).alias("qty"))
+        .agg(F.sum("qty").alias("qty"))
     )
     best = sums.agg(F.max("qty")).scalar()
     return sums.filter(F.col("qty") != best).select("product_id")
@@ -141,7 +141,7 @@ def without_products(df: DataFrame, blocked: DataFrame) -> DataFrame:
 def flag_sellable(df: DataFrame, blocked: DataFrame, excluded: Iterable[int]) -> DataFrame:
     """A `sellable` column: false for products that no list may use.
 
-    Being blocked is a property of the product, so it is attached to the rollup and the
+    Being blocked is a property of the product, so it is attached to small frames and the
     order lines need no join.
     """
     marked = blocked.select("product_id").distinct().withColumn("blocked", F.lit(True))

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.functions import exact_mean, np_round
+from shelfpulse.functions import np_round, steady_mean
 
 ITEM, BENCHMARK = "item", "benchmark"
 SLICES = range(10, 1, -1)
@@ -99,7 +99,7 @@ def final_score(
 def with_benchmark(items: DataFrame, mean_columns: Sequence[str]) -> DataFrame:
     """The items and, as a row of kind 'benchmark', the two-digit means of numeric columns."""
     items = items.withColumns({c: F.col(c).cast("double") for c in mean_columns})
-    means = items.agg(*[np_round(exact_mean(F.col(c)), 2).alias(c) for c in mean_columns])
+    means = items.agg(*[np_round(steady_mean(F.col(c)), 2).alias(c) for c in mean_columns])
     listed = means.withColumn("row_kind", F.lit(BENCHMARK)).unionByName(
         items.withColumn("row_kind", F.lit(ITEM)), allowMissingColumns=True
     )

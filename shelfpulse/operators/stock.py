@@ -12,18 +12,24 @@ from shelfpulse.functions import np_round, pdiv
 from shelfpulse.operators.sales import barcode_average, barcode_map, with_products
 
 
-def option_stock(newest: DataFrame, options: DataFrame, as_of: date, days: int = 90) -> DataFrame:
+def option_stock(
+    newest: DataFrame,
+    options: DataFrame,
+    as_of: date,
+    days: int = 90,
+    barcodes: DataFrame | None = None,
+) -> DataFrame:
     """Stock of the newest stock day per product option, its sales share and days of supply.
 
     Missing barcodes have no share and drop out, so they are left out before the joins. The
     product totals are an aggregate joined back, which a product with very many options
-    cannot concentrate in one task.
+    cannot concentrate in one task. `barcodes` is `barcode_map(options)`, where it exists.
     """
     rows = (
         newest.filter(F.col("barcode").isNotNull())
         .select("barcode", F.col("amount").alias("stock"))
         .join(barcode_average(options, as_of, days), "barcode", "left")
-        .join(barcode_map(options), "barcode")
+        .join(barcode_map(options) if barcodes is None else barcodes, "barcode")
     )
     totals = rows.groupBy("product_id").agg(F.sum("avg_qty").alias("product_avg_qty"))
     supply = pdiv(F.col("stock").cast("double"), F.coalesce("avg_qty", F.lit(1.0)))
@@ -72,6 +78,7 @@ def stock_turnover(
     *,
     days: int = 90,
     alias: Iterable[tuple[int, int]] = (),
+    barcodes: DataFrame | None = None,
 ) -> DataFrame:
     """Two best-selling options with stock, days of supply and sales share per product.
 
@@ -80,7 +87,7 @@ def stock_turnover(
     product = F.col("product_id")
     for old, new in alias:
         product = F.when(F.col("product_id") == old, F.lit(new)).otherwise(product)
-    rows = option_stock(newest, options, as_of, days)
+    rows = option_stock(newest, options, as_of, days, barcodes)
     return top_two_options(rows.withColumn("product_id", product.cast("bigint")))
 
 

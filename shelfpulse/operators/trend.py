@@ -14,7 +14,10 @@ from shelfpulse.functions import month_index, np_round
 # The robust fit's threshold and ridge penalty.
 EPSILON = 1.35
 ALPHA = 1e-4
-ROUNDS = 300
+# A fit is done when a round moves the slope by no more than this, and the scale by no more than
+# this share of it. Slopes are shares of the best month per month, published with two digits.
+TOLERANCE = 1e-8
+MAX_ROUNDS = 10_000
 
 
 def monthly_sales(daily: DataFrame) -> DataFrame:
@@ -27,18 +30,26 @@ def monthly_sales(daily: DataFrame) -> DataFrame:
     )
 
 
-def robust_slopes(x: np.ndarray, y: np.ndarray, known: np.ndarray) -> np.ndarray:
+def robust_slopes(
+    x: np.ndarray, y: np.ndarray, known: np.ndarray, max_rounds: int = MAX_ROUNDS
+) -> np.ndarray:
     """Slopes of many small series at once; each row is one series, padded where not `known`.
 
     Line, intercept and scale minimise together sum(s + s*H((x*w + c - y) / s)) + ALPHA*w^2
     with H(z) = z^2 up to EPSILON and linear beyond. Weighted least squares for the line and
-    a closed form for the scale take turns.
+    a closed form for the scale take turns until neither moves; a series that is done leaves
+    the batch. One that still moves after `max_rounds` has no slope (NaN).
     """
-    count = known.sum(axis=1)
+    found = np.full(len(x), np.nan)
+    rows = np.arange(len(x))
     slope, level = np.zeros(len(x)), np.zeros(len(x))
     scale = np.ones(len(x))
     tiny = np.finfo(float).eps * 10
-    for _ in range(ROUNDS):
+    for _ in range(max_rounds):
+        if not len(rows):
+            break
+        count = known.sum(axis=1)
+        before, width = slope, scale
         error = np.abs(x * slope[:, None] + level[:, None] - y)
         limit = EPSILON * scale[:, None]
         weight = np.where(error <= limit, 1.0, limit / np.where(error > 0, error, 1.0)) * known
@@ -56,7 +67,14 @@ def robust_slopes(x: np.ndarray, y: np.ndarray, known: np.ndarray) -> np.ndarray
         squares = (np.where(inside, error, 0.0) ** 2).sum(axis=1)
         fitted = np.sqrt(squares / np.where(spread > 0, spread, 1.0))
         scale = np.maximum(np.where(spread > 0, fitted, scale * 0.9), tiny)
-    return slope
+        still = np.abs(slope - before) <= TOLERANCE
+        done = still & (np.abs(scale - width) <= TOLERANCE * (width + TOLERANCE))
+        if done.any():
+            found[rows[done]] = slope[done]
+            x, y, known, rows, slope, level, scale = (
+                a[~done] for a in (x, y, known, rows, slope, level, scale)
+            )
+    return found
 
 
 @pandas_udf(DoubleType())
@@ -68,11 +86,13 @@ def _slope(months: pd.Series, shares: pd.Series) -> pd.Series:
     x, y = np.zeros(known.shape), np.zeros(known.shape)
     x[known] = np.concatenate(months.to_numpy())
     y[known] = np.concatenate(shares.to_numpy())
-    return pd.Series(robust_slopes(x, y, known))
+    slopes = pd.Series(robust_slopes(x, y, known))
+    return slopes.astype(object).where(slopes.notna(), None)
 
 
 def long_term_growth(daily: DataFrame, min_months: int = 3) -> DataFrame:
-    """Trend of each product's monthly share of its best month; 0 with too few months.
+    """Trend of each product's monthly share of its best month; 0 with too few months, null if
+    its fit does not settle.
 
     A product's array holds one point per month of history. The arrays go through Arrow in
     batches, and each batch is fitted as one padded matrix.

@@ -8,13 +8,13 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.functions import exact_mean, not_in_keep_null, np_round
+from shelfpulse.functions import not_in_keep_null, steady_mean
 from shelfpulse.operators import growth
 from shelfpulse.operators.feedback import review_summary, search_inflow
 from shelfpulse.operators.filters import exposure_ok, list_order, top_ranked, turnover_ok
 from shelfpulse.operators.prices import price_columns
 from shelfpulse.operators.repurchase import repurchase_index
-from shelfpulse.operators.sales import barcode_map, recent_average
+from shelfpulse.operators.sales import recent_average
 from shelfpulse.operators.scoring import ITEM, add_grades, final_score, with_benchmark
 from shelfpulse.operators.stock import out_of_stock_rate
 from shelfpulse.operators.trend import long_term_growth
@@ -87,12 +87,12 @@ def growth_list(
 
     `growth_options` are those of `weekly_growth`.
     """
-    pinned = [signals.shop.pinned_product]
-    signals.need("daily", "cards", *([] if growth_options else ["weekly"]))
+    exempt = signals.shop.exempt_products
+    signals.need("all_daily", "cards", *([] if growth_options else ["weekly"]))
     joined = (
         _with_cards(_weekly(signals, growth_options), signals)
         .join(long_term_growth(signals.daily), "product_id", "left")
-        .filter(turnover_ok(min_turnover, pinned) & exposure_ok(pinned))
+        .filter(turnover_ok(min_turnover, exempt) & exposure_ok(exempt))
     )
     items = joined.select(
         "product_id",
@@ -122,17 +122,17 @@ def repurchase_list(
     head_num: int | None = None,
 ) -> DataFrame:
     """Products that many customers buy again."""
-    pinned = [signals.shop.pinned_product]
-    signals.need("daily", "cards", "purchase_totals")
+    exempt = signals.shop.exempt_products
+    signals.need("all_daily", "cards")
     index = repurchase_index(
-        signals.purchase_totals,
+        signals.purchase_totals(target_period),
         target_period,
         min_orders=min_repurchase,
         min_users=min_repurchase_user,
     )
     recent = recent_average(signals.daily, signals.as_of, latest_days)
     joined = _with_cards(index.join(recent, "product_id"), signals).filter(
-        F.col("sellable") & turnover_ok(min_turnover, pinned)
+        F.col("sellable") & turnover_ok(min_turnover, exempt)
     )
     graded_input = signals.staging.table(
         joined.select(
@@ -186,11 +186,11 @@ def ranking_items(
 ) -> DataFrame:
     """All signals of the products that sell weekly and are bought again."""
     usual = latest_days == 7 and not growth_options
-    signals.need("daily", "cards", "purchase_totals", *(["weekly"] if usual else []))
+    signals.need("all_daily", "cards", *(["weekly"] if usual else []))
     as_of, daily, inputs = signals.as_of, signals.daily, signals.inputs
     weekly = _weekly(signals, {} if usual else {"latest_days": latest_days, **growth_options})
     index = repurchase_index(
-        signals.purchase_totals,
+        signals.purchase_totals(target_period),
         target_period,
         min_orders=min_repurchase,
         min_users=min_repurchase_user,
@@ -202,7 +202,7 @@ def ranking_items(
         inputs.reviews.since(since), as_of, latest_days=latest_days, negative_up_to=negative_up_to
     )
     oos = out_of_stock_rate(
-        inputs.stock.since(since), barcode_map(signals.sellable), as_of, latest_days
+        inputs.stock.since(since), signals.barcodes.filter("sellable"), as_of, latest_days
     )
     searched = search_inflow(inputs.searches.since(since), as_of, latest_days)
     joined = (
@@ -215,15 +215,15 @@ def ranking_items(
         .join(searched, "product_id", "left")
     )
     found = signals.staging.table(joined, "ranking_signals")
-    # Unreviewed products get the mean rating, rounded as the published table rounds it.
-    mean_rating = found.agg(exact_mean(F.col("avg_rating"))).scalar()
+    # Unreviewed products get the mean rating.
+    mean_rating = found.agg(steady_mean(F.col("avg_rating"))).scalar()
     zero = F.lit(0.0)
     filled = found.withColumns(
         {
             "yoy_rate": F.coalesce("yoy_rate", zero),
             "qoq_rate": F.coalesce("qoq_rate", zero),
             "category_s": F.coalesce("category_s", F.lit("-")),
-            "avg_rating": np_round(F.coalesce("avg_rating", mean_rating), 4),
+            "avg_rating": F.coalesce("avg_rating", mean_rating),
             "review_count": F.coalesce(F.col("review_count").cast("double"), zero),
             "review_length": F.coalesce("review_length", zero),
             "search_count": F.coalesce(F.col("search_count").cast("double"), zero),
@@ -232,7 +232,7 @@ def ranking_items(
         }
     )
     return filled.filter(
-        turnover_ok(min_turnover, [signals.shop.pinned_product])
+        turnover_ok(min_turnover, signals.shop.exempt_products)
         & F.col("product_name").isNotNull()
     )
 

@@ -44,7 +44,8 @@ def exclusive_lists(
     shop, stage = signals.shop, signals.staging.tables
     placed, size = shop.placed_per_list, shop.list_size
     ranking_options = {"min_turnover": 0, **(ranking_options or {}), "head_num": size}
-    signals.need("daily", "cards", "weekly", "purchase_totals")
+    signals.need("all_daily", "all_barcodes", "purchase_totals")
+    signals.need("cards", "weekly")
     ranked, found, grown = (
         _items(listed)
         for listed in together(

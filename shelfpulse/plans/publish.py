@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,13 @@ from pyspark.sql import functions as F
 
 from shelfpulse.config import ShopConfig
 from shelfpulse.functions import np_round
-from shelfpulse.operators.prices import display_price
+from shelfpulse.operators.prices import display_price, price_columns
 from shelfpulse.plans.placement import ListRun, exclusive_lists, placement_list
 from shelfpulse.plans.signals import Inputs, Signals
 from shelfpulse.session import Staging
 
-# Published column names, in order, each with the engine's column.
+# Published column names, in order, each with the engine's column. The prices of
+# the shop's competitors follow the own price.
 RANKING_COLUMNS = {
     "BRAND": "brand",
     "PRODUCT_NAME_KOR": "product_name",
@@ -27,10 +29,6 @@ RANKING_COLUMNS = {
     "SCORE_SEARCH": "search_count_grade",
     "SCORE_NEG_RVW": "negative_reviews",
     "PRICE_MZ": "price_own",
-    "PRICE_11ST": "price_11st",
-    "PRICE_COUPANG": "price_coupang",
-    "PRICE_IHERB": "price_iherb",
-    "PRICE_OPLE": "price_ople",
     "LAST_AVG_QTY": "last_avg_qty",
     "PAST_AVG_QTY": "past_avg_qty",
     "GRWRATE_WEEK": "growth_rate",
@@ -92,10 +90,6 @@ REPURCHASE_COLUMNS = {
     "PRODUCT_ID": "product_id",
     "OPTION_BARCODE_1ST": "opt1_barcode",
     "OPTION_BARCODE_2ND": "opt2_barcode",
-    "PRICE_11ST": "price_11st",
-    "PRICE_COUPANG": "price_coupang",
-    "PRICE_IHERB": "price_iherb",
-    "PRICE_OPLE": "price_ople",
     "CATEGORY_M": "category_m",
     "CATEGORY_S": "category_s",
     "OPTION_NAME_1ST": "opt1_name",
@@ -113,10 +107,6 @@ GROWTH_COLUMNS = {
     "LAST_AVG_QTY": "last_avg_qty",
     "PAST_AVG_QTY": "past_avg_qty",
     "PRICE_MZ": "price_own",
-    "PRICE_11ST": "price_11st",
-    "PRICE_COUPANG": "price_coupang",
-    "PRICE_IHERB": "price_iherb",
-    "PRICE_OPLE": "price_ople",
     "LT_GRWRATE": "lt_growth",
     "OPTION_NAME_1ST": "opt1_name",
     "OPTION_STCK_1ST": "opt1_stock",
@@ -145,10 +135,23 @@ PLACEMENT_COLUMNS = {
 ROUNDED = {"repurchase_index": 4, "avg_rating": 4}
 
 
-def published(df: DataFrame, columns: dict[str, str], run_date: date) -> DataFrame:
+def with_competitors(columns: dict[str, str], competitors: Sequence[str]) -> dict[str, str]:
+    """The columns, with a price column of each competitor behind the own price."""
+    found = {}
+    for target, source in columns.items():
+        found[target] = source
+        if source == "price_own":
+            prices = price_columns(competitors)
+            found |= {f"PRICE_{n.upper()}": c for n, c in zip(competitors, prices, strict=True)}
+    return found
+
+
+def published(
+    df: DataFrame, columns: dict[str, str], run_date: date, competitors: Sequence[str]
+) -> DataFrame:
     """Select by name, show prices as one cell, and round what is published rounded."""
     cells = []
-    for target, source in columns.items():
+    for target, source in with_competitors(columns, competitors).items():
         if source.startswith("price_"):
             value = display_price(source)
         elif source == "date":
@@ -161,16 +164,16 @@ def published(df: DataFrame, columns: dict[str, str], run_date: date) -> DataFra
     return df.select(*cells)
 
 
-def publish_ranking(ranking: DataFrame, run_date: date) -> DataFrame:
-    return published(ranking, RANKING_COLUMNS, run_date)
+def publish_ranking(ranking: DataFrame, run_date: date, shop: ShopConfig) -> DataFrame:
+    return published(ranking, RANKING_COLUMNS, run_date, shop.competitors)
 
 
-def publish_repurchase(repurchase: DataFrame, run_date: date) -> DataFrame:
-    return published(repurchase, REPURCHASE_COLUMNS, run_date)
+def publish_repurchase(repurchase: DataFrame, run_date: date, shop: ShopConfig) -> DataFrame:
+    return published(repurchase, REPURCHASE_COLUMNS, run_date, shop.competitors)
 
 
-def publish_growth(growth: DataFrame, run_date: date) -> DataFrame:
-    return published(growth, GROWTH_COLUMNS, run_date)
+def publish_growth(growth: DataFrame, run_date: date, shop: ShopConfig) -> DataFrame:
+    return published(growth, GROWTH_COLUMNS, run_date, shop.competitors)
 
 
 def publish_placement(placement: DataFrame) -> DataFrame:
@@ -186,12 +189,12 @@ def write_table(df: DataFrame, target: str, run_date: date) -> None:
 
 
 def published_tables(signals: Signals, lists: ListRun) -> dict[str, DataFrame]:
-    day = signals.run_date
+    day, shop = signals.run_date, signals.shop
     return {
         "placement": publish_placement(placement_list(signals, lists)),
-        "ranking": publish_ranking(lists.ranking, day),
-        "repurchase": publish_repurchase(lists.repurchase, day),
-        "growth": publish_growth(lists.growth, day),
+        "ranking": publish_ranking(lists.ranking, day, shop),
+        "repurchase": publish_repurchase(lists.repurchase, day, shop),
+        "growth": publish_growth(lists.growth, day, shop),
     }
 
 
@@ -200,13 +203,17 @@ def run(
     inputs: Inputs,
     run_date: date,
     target: str,
-    shop: ShopConfig | None = None,
+    shop: ShopConfig,
 ) -> None:
-    """The weekly job: build the lists of `run_date` and write the four tables below `target`."""
+    """The weekly job: build the lists of `run_date` and write the four tables below `target`.
+
+    All four are built before the first is published, so a failure leaves the week as it was.
+    """
     staging = Staging(spark)
     try:
-        signals = Signals(spark, inputs, shop or ShopConfig(), run_date, staging=staging)
-        for name, table in published_tables(signals, exclusive_lists(signals)).items():
+        signals = Signals(spark, inputs, shop, run_date, staging=staging)
+        tables = staging.tables(published_tables(signals, exclusive_lists(signals)))
+        for name, table in tables.items():
             write_table(table, f"{target}/{name}", run_date)
     finally:
         staging.drop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import cached_property, partial
@@ -35,10 +36,20 @@ class Inputs:
     crawls: DataFrame
 
     @classmethod
-    def from_tables(cls, tables: sources.Tables, run_date: date, shop: ShopConfig) -> Inputs:
+    def from_tables(
+        cls,
+        tables: sources.Tables,
+        run_date: date,
+        shop: ShopConfig,
+        staging: Staging | None = None,
+    ) -> Inputs:
+        """Readers over raw tables. With `staging`, small results that several frames or joins
+        need are written once."""
         load, shift = tables.load, shop.clock_shift_hours
         start = sources.history_start(run_date, shop.history_months)
         competitor_prices = sources.competitor_prices(load("competitor_prices"))
+        if staging:
+            competitor_prices = staging.table(competitor_prices, "competitor_prices")
         return cls(
             sales=sources.sales_lines(load("sales", start, run_date), start, run_date),
             stock=sources.EpochHistory(
@@ -63,6 +74,7 @@ class Inputs:
                     load("product_names"),
                     language=shop.language,
                     shift_hours=shift,
+                    stage=staging.table if staging else None,
                 ),
                 shift,
             ),
@@ -78,9 +90,9 @@ class Inputs:
 class Signals:
     """Frames that several lists share, each staged on first use.
 
-    The order lines are read in full once, for the option-day rollup. Everything else comes
-    from that rollup, but for the repurchase counts, which read the last half year again.
-    `need` stages several frames at the same time.
+    The order lines are read in full once, for the option-day rollup, and once more from the
+    first repurchase period on. Daily sales and the barcodes of products come from the rollup;
+    everything else comes from these. `need` stages several frames at the same time.
     """
 
     def __init__(
@@ -99,20 +111,20 @@ class Signals:
         self.staging = staging or Staging(spark)
         self._staged: dict[str, DataFrame] = {}
         self._plans = {
-            "daily": self._daily,
+            "all_daily": self._all_daily,
+            "all_barcodes": self._all_barcodes,
             "cards": self._cards,
             "purchase_totals": self._purchase_totals,
             "weekly": self.weekly_plan,
         }
 
-    @cached_property
-    def _pinned_stock(self) -> DataFrame:
-        barcodes = sources.option_barcodes(self.inputs.option_inventory, self.shop.pinned_product)
-        return stock.any_in_stock(self.inputs.stock.all(), barcodes)
-
     @cached_property
     def pinned_in_stock(self) -> bool:
-        return self._pinned_stock.first()[0]
+        """One flag, found once. The product's few barcodes are staged, so the stock history is
+        scanned against a table of known, small size."""
+        own = sources.option_barcodes(self.inputs.option_inventory, self.shop.pinned_product)
+        own = self.staging.table(own, "pinned_barcodes")
+        return stock.any_in_stock(self.inputs.stock.all(), own).first()[0]
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -121,29 +133,31 @@ class Signals:
 
     @cached_property
     def options(self) -> DataFrame:
-        """Option-day rollup of all products, with the flag of those that lists may use.
+        """Option-day rollup of all products.
 
         A sold-out pinned product is left out here, and thereby of every list.
         """
+        lines = self.lines
+        if not self.pinned_in_stock:
+            lines = lines.filter(F.col("product_id") != self.shop.pinned_product)
+        return self.staging.table(sales.option_days(lines), "option_days")
+
+    @cached_property
+    def _blocked(self) -> DataFrame:
         shop = self.shop
-        pinned = F.col("product_id") == shop.pinned_product
-        lines = self.lines.filter(~pinned | self._pinned_stock.scalar())
         losers = sales.substitute_losers(
-            lines, shop.substitutes, self.run_date, shop.substitute_days
+            self.options, shop.substitutes, self.run_date, shop.substitute_days
         )
         inactive = sales.inactive_products(self.inputs.products, shop.excluded_statuses)
-        flagged = sales.flag_sellable(
-            sales.option_days(lines), losers.union(inactive), shop.excluded_products
-        )
-        return self.staging.table(flagged, "option_days")
+        return self.staging.table(losers.union(inactive).distinct(), "blocked")
 
-    @property
-    def sellable(self) -> DataFrame:
-        return self.options.filter("sellable")
+    def _flagged(self, df: DataFrame) -> DataFrame:
+        """With `sellable`: whether lists may use the product."""
+        return sales.flag_sellable(df, self._blocked, self.shop.excluded_products)
 
     @cached_property
     def _last_days(self) -> tuple[date, date]:
-        row = self.options.agg(
+        row = self._get("all_daily").agg(
             F.max("day"), F.max(F.when(F.col("sellable"), F.col("day")))
         ).first()
         return row[0], row[1]
@@ -164,67 +178,92 @@ class Signals:
     @property
     def daily(self) -> DataFrame:
         """Daily sales of the products that lists may use."""
-        return self._get("daily")
+        return self._get("all_daily").filter("sellable").drop("sellable")
+
+    @property
+    def barcodes(self) -> DataFrame:
+        """Products and options of each barcode, with `sellable`."""
+        return self._get("all_barcodes")
 
     @property
     def cards(self) -> DataFrame:
         """One row per product with all that is shown beside its metrics.
 
         Name and categories (null unless `sellable`), brand, best options with their stock,
-        prices and exposure. The parts are aggregates on the product, so the joins need no
-        shuffle of their own.
+        prices and exposure.
         """
         return self._get("cards")
 
-    @property
-    def purchase_totals(self) -> DataFrame:
-        return self._get("purchase_totals")
+    def purchase_totals(self, period: int) -> DataFrame:
+        """Purchase totals that cover `period`; the usual periods share one frame."""
+        if period in self.periods:
+            return self._get("purchase_totals")
+        name = f"purchase_totals_{period}"
+        self._plans.setdefault(name, partial(self._purchase_totals, (period,)))
+        return self._get(name)
 
     @property
     def weekly(self) -> DataFrame:
         """Weekly growth with the usual windows and thresholds."""
         return self._get("weekly")
 
-    def _daily(self) -> DataFrame:
-        return sales.daily_sales(self.sellable)
+    def _all_daily(self) -> DataFrame:
+        return self._flagged(sales.daily_sales(self.options))
+
+    def _all_barcodes(self) -> DataFrame:
+        return self._flagged(sales.barcode_map(self.options))
 
     def _cards(self) -> DataFrame:
         inputs, shop = self.inputs, self.shop
+        sellable = self._flagged(self.options).filter("sellable")
         attributes = sales.last_known(
-            self.sellable, ["product_name", "category_m", "category_s"], self.as_of
+            sellable, ["product_name", "category_m", "category_s"], self.as_of
         ).withColumn("sellable", F.lit(True))
         turnover = stock.stock_turnover(
-            inputs.stock.newest(), self.options, self._last_days[0], alias=shop.product_alias
+            inputs.stock.newest(),
+            self.options,
+            self._last_days[0],
+            alias=shop.product_alias,
+            barcodes=self.barcodes.drop("sellable"),
         )
         matrix = prices.price_matrix(
             inputs.own_prices, inputs.competitor_prices, inputs.crawls, shop.competitors
         )
-        uplift = exposure.exposure_uplift(
-            exposure.exposure_streak(inputs.exposures), sales.daily_sales(self.options)
-        )
-        return (
-            attributes.join(inputs.brands, "product_id", "full")
-            .join(turnover, "product_id", "full")
-            .join(matrix, "product_id", "full")
-            .join(uplift, "product_id", "full")
-        )
+        shown = self.staging.table(exposure.shown_products(inputs.exposures), "shown")
+        streaks = self.staging.table(exposure.exposure_streak(inputs.exposures, shown), "streaks")
+        uplift = exposure.exposure_uplift(streaks, self._get("all_daily").drop("sellable"))
+        return side_by_side([attributes, inputs.brands, turnover, matrix, uplift])
 
-    def _purchase_totals(self) -> DataFrame:
-        counts = repurchase.purchase_counts(self.lines, self.as_of, self.periods)
-        return repurchase.purchase_totals(counts, self.periods)
+    def _purchase_totals(self, periods: tuple[int, ...] | None = None) -> DataFrame:
+        periods = periods or self.periods
+        counts = repurchase.purchase_counts(self.lines, self.as_of, periods)
+        return repurchase.purchase_totals(counts, periods)
 
     def weekly_plan(
         self, *, latest_days: int = 7, compare_days: int = 28, **thresholds: float
     ) -> DataFrame:
         low = self.as_of - timedelta(days=latest_days + compare_days)
         in_stock = growth.stock_days(
-            self.inputs.stock.since(low), sales.barcode_map(self.options), low, self.as_of
+            self.inputs.stock.since(low), self.barcodes, low, self.as_of
         )
         return growth.weekly_growth(
-            sales.daily_sales(self.sellable),
+            self.daily,
             in_stock,
             self.as_of,
             latest_days=latest_days,
             compare_days=compare_days,
             **thresholds,
         )
+
+
+def side_by_side(parts: Sequence[DataFrame]) -> DataFrame:
+    """Frames with at most one row per product, as one row per product that any of them has.
+
+    Stacked under one aggregate, each part is shuffled once, however many there are; a chain
+    of full joins would shuffle the growing left side again for every one.
+    """
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    columns = [c for c in stacked.columns if c != "product_id"]
+    return stacked.groupBy("product_id").agg(*[F.max(c).alias(c) for c in columns])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -58,9 +57,7 @@ class Staging:
         self.spark = spark
         root = root or spark.conf.get(CHECKPOINT_DIR, None)
         if not root:
-            if not spark.conf.get("spark.master", "local").startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-            root = tempfile.mkdtemp(prefix="shelfpulse-")
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         self.path = f"{root.rstrip('/')}/shelfpulse-{uuid.uuid4().hex}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:

@@ -24,14 +24,15 @@ def competitor_prices(prices: DataFrame) -> DataFrame:
 def crawl_status(crawls: DataFrame, prices: DataFrame) -> DataFrame:
     """Newest crawl result per competitor and product, for competitors that have prices.
 
-    Same-day results are resolved to the lowest flag. Two fixed-width aggregates, so that
-    no sort of the crawl history is needed.
+    Of results at the same time, that with flag 0 counts. Time and flag are packed into one
+    number, so a fixed-width aggregate takes the history down to one row per pair and task
+    before anything is shuffled.
     """
     key = ["competitor", "product_id"]
-    per_day = crawls.groupBy(*key, "update_date").agg(F.min("sale_or_not").alias("sale_or_not"))
-    newest = per_day.groupBy(*key).agg(
-        F.max_by("sale_or_not", "update_date").alias("sale_or_not")
-    )
+    order = F.unix_micros(F.col("update_date").cast("timestamp")) * 2 + (
+        F.col("sale_or_not") == 0
+    ).cast("int")
+    newest = crawls.groupBy(*key).agg(F.max_by("sale_or_not", order).alias("sale_or_not"))
     return newest.join(prices.select("competitor").distinct(), "competitor", "left_semi").select(
         *key, "sale_or_not"
     )

@@ -5,6 +5,8 @@ Filters are put on raw columns wherever possible so that they reach the file sca
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from datetime import date, timedelta
 
 from dateutil.relativedelta import relativedelta
@@ -72,21 +74,26 @@ def reviews(
     *,
     language: str = "ko",
     shift_hours: int = 14,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Product reviews with rating and text.
 
-    The three post tables are joined on the post first, where no key is hot. Threads and
-    names are product-sized and joined to each other, so the posts meet them in one join.
+    Posts, which callers cut to the days they need, meet the product-sized threads and names
+    first. With `stage` the result is written, so its true size is known and ratings and
+    messages are scanned against it rather than shuffled whole.
     """
     product_threads = threads.filter(F.col("object_type") == "P").select("thread_id", "object_id")
     named = names.filter(F.col("lang_code") == language).select(
         F.col("product_id").alias("object_id"), "product"
     )
     post = ["thread_id", "post_id"]
+    own = posts.join(product_threads.join(named, "object_id"), "thread_id").select(
+        *post, "object_id", "product", "timestamp", "user_id", "status"
+    )
+    own = stage(own, "posts") if stage else own
     return (
-        posts.join(ratings, post)
+        own.join(ratings, post)
         .join(messages, post)
-        .join(product_threads.join(named, "object_id"), "thread_id")
         .select(
             "post_id",
             "thread_id",

@@ -18,10 +18,12 @@ class Tables:
 
     `root` is a folder with one data set per table. With `jdbc`, the options of a Spark
     JDBC read, tables come from a database; `splits` then gives per table the numeric
-    column and bounds for a parallel read: ``{"sales": ("order_id", 1, 9_000_000, 64)}``.
+    column and bounds for a parallel read: ``{"sales": ("order_id", 1, 9_000_000, 64)}``. A
+    table without one is not read, as all of it would go through one task.
 
-    `day_columns` names the partition column of tables whose files are laid out by the day of
-    their time stamp: ``{"sales": "sold_day"}``. Day limits then leave out whole folders.
+    `day_columns` names the column with the day of the time stamp: ``{"sales": "sold_day"}``.
+    Day limits are put on it: for files laid out by it they leave out whole folders, in a
+    database they become part of its query.
     """
 
     def __init__(
@@ -48,16 +50,18 @@ class Tables:
             if day:
                 loaded = loaded.filter(within(F.col(day), since, until))
             return loaded.select(*schema.names)
-        reader = self.spark.read.format("jdbc").options(**self.jdbc).option("dbtable", name)
-        if name in self.splits:
-            column, low, high, parts = self.splits[name]
-            reader = (
-                reader.option("partitionColumn", column)
-                .option("lowerBound", low)
-                .option("upperBound", high)
-                .option("numPartitions", parts)
-            )
-        return conform(reader.load(), schema)
+        loaded = self.spark.read.format("jdbc").options(**self.jdbc_options(name)).load()
+        if name in self.day_columns:
+            loaded = loaded.filter(within(F.col(self.day_columns[name]), since, until))
+        return conform(loaded, schema)
+
+    def jdbc_options(self, name: str) -> dict[str, str]:
+        if name not in self.splits:
+            raise ValueError(f"splits has no entry for {name}, whose read would be one task")
+        column, low, high, parts = self.splits[name]
+        bounds = {"partitionColumn": column, "lowerBound": low, "upperBound": high}
+        options = {"dbtable": name, **bounds, "numPartitions": parts}
+        return {**self.jdbc, **{key: str(value) for key, value in options.items()}}
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

@@ -88,9 +88,20 @@ def test_mean_does_not_depend_on_order(spark):
     values = [(i, v) for i, v in enumerate([0.1, 0.2, 0.3, 1e6, -1e6, 0.7] * 50)]
     df = spark.createDataFrame(values, "i int, v double")
     means = {
-        part.agg(fn.exact_mean(F.col("v")).alias("m")).first().m
+        part.agg(fn.steady_mean(F.col("v")).alias("m")).first().m
         for part in (df, df.orderBy(F.desc("v")).coalesce(1), df.repartition(7, "v"))
     }
     assert len(means) == 1
-    skipped = spark.createDataFrame([(1.0,), (math.inf,), (None,), (3.0,)], "v double")
-    assert skipped.agg(fn.exact_mean(F.col("v")).alias("m")).first().m == 2.0
+
+
+def test_mean_keeps_every_value(spark):
+    def mean(*values):
+        frame = spark.createDataFrame([(v,) for v in values], "v double")
+        return frame.agg(fn.steady_mean(F.col("v")).alias("m")).first().m
+
+    assert mean(1.0, None, 3.0) == 2.0
+    assert mean(1.0, 3.0, math.inf) == math.inf
+    assert mean(math.inf, -math.inf) is None and mean(None) is None and mean() is None
+    assert mean(1e19, 3e19) == 2e19
+    assert mean(1e-10, 3e-10) == 2e-10
+    assert mean(1.0, 3.0, 1e19, 1e-10) == (1e19 + 4) / 4

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import shelfpulse
 from queries.catalog import REPURCHASE_OPTIONS, Run
-from queries.views import RUN_DATE, SHOP, Fixtures
+from queries.views import RUN_DATE, SHOP, Fixtures, raw_frames
 from shelfpulse.config import GROWTH_ZONE, ShopConfig
 from shelfpulse.plans import Inputs, Signals, exclusive_lists, growth_list, placement_list, run
 from shelfpulse.plans.placement import ListRun
@@ -21,6 +21,7 @@ from shelfpulse.plans.publish import (
     PLACEMENT_COLUMNS,
     RANKING_COLUMNS,
     REPURCHASE_COLUMNS,
+    with_competitors,
 )
 from shelfpulse.session import Staging
 from shelfpulse.sources import DayHistory, EpochHistory, Tables, stock_history
@@ -34,31 +35,7 @@ def raw_tables(spark, sf_dir, tmp_path_factory):
     """The views as a folder of raw tables, with epochs as a shop keeps them."""
     root = tmp_path_factory.mktemp("tables")
     fx = Fixtures(spark, sf_dir)
-    epoch = F.unix_seconds(F.col("day").cast("timestamp")) - 14 * 3600 + 60
-    moment = F.col("purchased_at").cast("timestamp").alias("purchased_at")
-    sales = fx["fx_sales"].drop("line_no")
-    raw = {
-        "sales": sales.select(*[c for c in sales.columns if c != "purchased_at"], moment),
-        "stock": fx["fx_stock"].select("barcode", "amount", epoch.alias("timestamp")),
-        "products": fx["fx_status"],
-        "feature_values": fx["fx_feature"],
-        "variant_names": fx["fx_variant"],
-        "exposures": fx["fx_exposure"].select(
-            "product_id", F.col("day").cast("timestamp").alias("date"), "popularity", "main_rec_category"
-        ),
-        "searches": fx["fx_search"].select("idx", "product_id", epoch.alias("timestamp")),
-        "option_inventory": sales.select("product_id", "barcode").distinct(),
-        "posts": fx["fx_posts"],
-        "ratings": fx["fx_ratings"],
-        "messages": fx["fx_messages"],
-        "threads": fx["fx_threads"],
-        "product_names": fx["fx_names"],
-        "competitor_prices": fx["fx_cmpt"],
-        "crawls": fx["fx_crawl"].withColumn("update_date", F.col("update_date").cast("timestamp")),
-        "items": fx["fx_item"],
-        "item_prices": fx["fx_item_price"],
-    }
-    for name, frame in raw.items():
+    for name, frame in raw_frames(fx).items():
         frame.write.parquet(f"{root}/{name}")
     return str(root)
 
@@ -84,6 +61,7 @@ def test_weekly_job_writes_four_tables(raw_tables, spark, tmp_path):
         "repurchase": REPURCHASE_COLUMNS,
         "growth": GROWTH_COLUMNS,
     }
+    expected = {n: with_competitors(c, SHOP.competitors) for n, c in expected.items()}
     assert [len(c) for c in expected.values()] == [4, 51, 36, 27]
     for name, columns in expected.items():
         written = spark.read.parquet(f"{target}/{name}")
@@ -228,7 +206,7 @@ def small_shop(spark, *, pinned_amount, pinned_sells=0):
         ),
         crawls=empty("competitor string, product_id bigint, sale_or_not bigint"),
     )
-    return Signals(spark, inputs, ShopConfig(), day)
+    return Signals(spark, inputs, ShopConfig(excluded_categories=()), day)
 
 
 def growth_zone(signals, lists, **options):
@@ -283,15 +261,18 @@ def test_no_rows_pass_through_the_driver():
         assert not re.search(banned, path.read_text()), path
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster(monkeypatch):
-    class Conf(dict):
-        def get(self, key, default=None):
-            return super().get(key, default)
-
+@pytest.mark.parametrize("master", ["local[8]", "yarn", None])
+def test_staging_needs_a_shared_folder(master):
     class Session:
-        conf = Conf({"spark.master": "yarn"})
+        conf = {"spark.master": master} if master else {}
 
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         Staging(Session())
     Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert Staging(Session()).path.startswith("hdfs:///shared/shelfpulse-")
+
+
+def test_library_names_no_local_folder():
+    for file in LIBRARY.rglob("*.py"):
+        if "llm" not in file.parts:
+            assert "tempfile" not in file.read_text(), file
