@@ -30,17 +30,18 @@ from pyspark.sql import functions as F
 from shelfpulse.llm.common import Scratch, text_parts
 from shelfpulse.llm.naming import ramp
 
-RUNS = "doc_id bigint, text_key bigint, anchor bigint, reach bigint, first int, last int"
+RUNS = "doc_id bigint, text_key bigint, anchor bigint, reach bigint, place bigint"
 _RUN_FIELDS = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("text_key", pa.int64()),
         ("anchor", pa.int64()),
         ("reach", pa.int64()),
-        ("first", pa.int32()),
-        ("last", pa.int32()),
+        ("place", pa.int64()),
     ]
 )
+#: A place is the first window of a run and how many follow, packed to keep shuffled rows short.
+_BITS = 16
 #: Columns that `remove` adds; input columns of these names are replaced.
 ADDED = ("n_units", "n_removed", "n_spans")
 _KEY, _FOUND = "_text_key", "_repeats"
@@ -63,12 +64,21 @@ class Unit:
     binary: bool = False
 
 
-def _rows(doc_id, text_key, anchor, reach, first, last) -> pa.RecordBatch:
-    columns = [doc_id, text_key, anchor.view(np.int64), reach.view(np.int64), first, last]
+def _rows(doc_id, text_key, anchor, reach, place) -> pa.RecordBatch:
+    columns = [doc_id, text_key, anchor.view(np.int64), reach.view(np.int64), place]
     arrays = [pa.array(c, type=f.type) for c, f in zip(columns, _RUN_FIELDS, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=_RUN_FIELDS)
 
 
+def _pack(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return first << _BITS | last - first
+
+
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = place >> _BITS
+    return first, first + (place & (1 << _BITS) - 1)
+
+
 def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").to_numpy(), batch.column(_KEY).to_numpy()
 
@@ -80,10 +90,8 @@ def _all_runs(unit: Unit) -> Callable:
             for low, _, data, begins in text_parts(batch, "text"):
                 text, anchor, reach, first, last = unit.runs(data, begins)
                 if len(text):
-                    yield _rows(
-                        doc_id[low + text], key[low + text], anchor, reach,
-                        first.astype(np.int32), last.astype(np.int32),
-                    )
+                    place = _pack(first, last)
+                    yield _rows(doc_id[low + text], key[low + text], anchor, reach, place)
 
     return run
 
@@ -100,16 +108,17 @@ def _open_windows(unit: Unit) -> Callable:
         for batch in batches:
             doc_id, key = _ids(batch)
             begin, entries = _lists(batch, _FOUND)
-            first, last, anchor = (entries.field(i).to_numpy() for i in range(3))
+            place, anchor = (entries.field(i).to_numpy() for i in range(2))
+            first, last = _unpack(place)
             for low, high, data, begins in text_parts(batch, "text"):
                 part = slice(begin[low], begin[high])
                 counts = last[part] - first[part] + 1
                 text = np.repeat(np.arange(high - low), np.diff(begin[low : high + 1]))
-                position = ramp(first[part].astype(np.int64), counts.astype(np.int64))
+                position = ramp(first[part], counts)
                 text, anchors = np.repeat(text, counts), np.repeat(anchor[part], counts)
                 names = unit.names(data, begins, text, position)
-                at = position.astype(np.int32)
-                yield _rows(doc_id[low + text], key[low + text], anchors, names, at, at)
+                place_of = _pack(position, position)
+                yield _rows(doc_id[low + text], key[low + text], anchors, names, place_of)
 
     return run
 
@@ -120,7 +129,7 @@ def _removed(unit: Unit, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             begin, entries = _lists(batch, _FOUND)
-            first, last = (entries.field(i).to_numpy() for i in range(2))
+            first, last = _unpack(entries.field(0).to_numpy())
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 done = [
@@ -151,8 +160,10 @@ def _with_lists(docs: DataFrame, spans: DataFrame, fields: list[str], how: str)
 
 
 def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
-    """Spans of windows (doc_id, text_key, first, last) that also start in a document with a
-    smaller doc_id."""
+    """Places of windows (doc_id, text_key, place) that also start in a document with a smaller
+    doc_id."""
+    if unit.window >> _BITS:
+        raise ValueError("windows of up to 65,535 units are possible")
     texts = keyed.select("doc_id", "text", _KEY).filter("doc_id IS NOT NULL")
     runs = texts.mapInArrow(_all_runs(unit), RUNS)
 
@@ -172,11 +183,11 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         "found",
     )
     scratch.discard(anchors, shared, owners)
-    whole = found.filter("repeats").select("doc_id", "text_key", "first", "last")
+    whole = found.filter("repeats").select("doc_id", "text_key", "place")
 
     left_open = found.filter("NOT repeats")
     windows = scratch.table(
-        _with_lists(texts, left_open, ["first", "last", "anchor"], "inner").mapInArrow(
+        _with_lists(texts, left_open, ["place", "anchor"], "inner").mapInArrow(
             _open_windows(unit), RUNS
         ),
         "windows",
@@ -209,7 +220,7 @@ def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         f"`{n}` {kind if n == 'text' else t}"
         for n, t in [*docs.dtypes, *((n, "bigint") for n in ADDED)]
     )
-    joined = _with_lists(keyed, spans, ["first", "last"], "left").drop(_KEY)
+    joined = _with_lists(keyed, spans, ["place"], "left").drop(_KEY)
     return joined.mapInArrow(_removed(unit, names), schema)
 
 
