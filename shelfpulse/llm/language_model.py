@@ -40,7 +40,7 @@ from shelfpulse.llm.naming import pair, word_names
 MIN_PAIR = 2
 #: Text bytes per bucket of names, and tokens that a task counts at once.
 BUCKET_BYTES = 16 << 20
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Names outside the words: the end of a document, and what stands before its first word.
 END = np.uint64(0x1F0E5D8C3B7A6991)
 START = np.uint64(0x7E3C9A5B1D2F4867)
