@@ -817,6 +817,12 @@ _FROM_TABLES = {
 CTES["ok_totals_60"] = totals("ok_lines", "(SELECT t FROM ok_top)", 60)
 _NEWEST = "(SELECT MAX(day) FROM fx_stock)"
 _PLACEMENT = QUERIES["placement_list"]
+_GROWTH_PLACED_EXCLUSIVE = """
+SELECT product_id, rank FROM growth_top WHERE rank <= 15 AND NOT (SELECT pin FROM pin_needed)
+UNION ALL SELECT 31, 1 WHERE (SELECT pin FROM pin_needed)
+UNION ALL SELECT product_id, place + 1 FROM (
+ SELECT product_id, ROW_NUMBER() OVER (ORDER BY rank) AS place FROM growth_top WHERE rank <= 15 AND product_id <> 31)
+WHERE (SELECT pin FROM pin_needed) AND place < (SELECT GREATEST(COUNT(*), 1) FROM growth_top WHERE rank <= 15)"""
 
 
 def pinned(text: str, product: int) -> str:
@@ -837,7 +843,7 @@ STATEMENTS = {
     ),
     "placement_from_tables": statement(_PLACEMENT, _FROM_TABLES),
     "placement_exclusive": statement(
-        _PLACEMENT, _FROM_TABLES | {"growth_placed": "SELECT product_id, rank FROM growth_top WHERE rank <= 15"}
+        _PLACEMENT, _FROM_TABLES | {"growth_placed": _GROWTH_PLACED_EXCLUSIVE}
     ),
     "placement_pinned": pinned(statement(_PLACEMENT, _FROM_TABLES), 10),
     "placement_pinned_sold_out": pinned(statement(_PLACEMENT, _FROM_TABLES), 22),
