@@ -23,8 +23,9 @@ from shelfpulse.plans.publish import (
     REPURCHASE_COLUMNS,
     with_competitors,
 )
+from shelfpulse.plans.signals import side_by_side
 from shelfpulse.session import Staging
-from shelfpulse.sources import DayHistory, EpochHistory, Tables, stock_history
+from shelfpulse.sources import DayHistory, EpochHistory, Tables, crawl_status, stock_history
 from shelfpulse.sources.schemas import SCHEMAS
 
 LIBRARY = Path(shelfpulse.__file__).parent
@@ -276,3 +277,54 @@ def test_library_names_no_local_folder():
     for file in LIBRARY.rglob("*.py"):
         if "llm" not in file.parts:
             assert "tempfile" not in file.read_text(), file
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cards_are_one_aggregate(spark):
+    parts = [
+        spark.range(9).selectExpr("id AS product_id", f"id * {n} AS v{n}").filter(f"id % {n} = 0")
+        for n in (1, 2, 3)
+    ]
+    cards = side_by_side(parts)
+    plan = plan_of(cards).partition("Initial Plan")[2] or plan_of(cards)
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 1
+    found = {r.product_id: (r.v1, r.v2, r.v3) for r in cards.collect()}
+    assert found[6] == (6, 12, 18) and found[4] == (4, 8, None) and found[1] == (1, None, None)
+
+
+def test_order_lines_are_read_for_two_frames_only(spark, sf_dir):
+    signals = Run(spark, sf_dir).signals_from_tables()
+    assert not signals.options.isEmpty() and not signals.daily.isEmpty()
+    reading = {name for name, plan in signals._plans.items() if "/raw/sales" in plan_of(plan())}
+    assert reading == {"purchase_totals"}
+
+
+def test_crawl_history_is_reduced_before_it_is_shuffled(raw_tables, spark):
+    tables = Tables(spark, root=raw_tables)
+    plan = plan_of(crawl_status(tables.load("crawls"), tables.load("competitor_prices")))
+    assert re.search(r"HashAggregate\(keys=\[competitor#\d+, product_id#\d+L\], functions=\[partial_max", plan)
+
+
+def test_databases_are_read_in_splits(spark):
+    tables = Tables(spark, jdbc={"url": "jdbc:x"}, splits={"sales": ("order_id", 1, 900, 8)})
+    options = tables.jdbc_options("sales")
+    assert options["dbtable"] == "sales" and options["numPartitions"] == "8"
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"]) == ("order_id", "1", "900")
+    with pytest.raises(ValueError, match="stock"):
+        tables.load("stock")
+
+
+def test_competitors_come_from_the_shop():
+    shop = ShopConfig(excluded_categories=(), competitors=("One", "Two", "Three", "Four", "Five"))
+    columns = list(with_competitors(GROWTH_COLUMNS, shop.competitors))
+    place = columns.index("PRICE_MZ")
+    assert columns[place + 1 : place + 6] == [f"PRICE_{n}" for n in ("ONE", "TWO", "THREE", "FOUR", "FIVE")]
+
+
+def test_excluded_categories_have_to_be_named():
+    with pytest.raises(TypeError):
+        ShopConfig()
+    assert ShopConfig(excluded_categories=(), bypass_products=(7,)).exempt_products == [314, 7]
