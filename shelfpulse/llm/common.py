@@ -77,19 +77,19 @@ def text_parts(
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Whole texts of a batch in runs of about `size` bytes: first row, end row, their UTF-8
     bytes, and where each text begins in them (one entry more than texts). Null is empty."""
-    column = batch.column(name).cast(pa.large_string()).fill_null("")
-    n = len(column)
-    if not n:
-        return
-    _, begins, data = column.buffers()
-    begins = np.frombuffer(begins, dtype=np.int64)[column.offset : column.offset + n + 1]
-    data = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
-    low = 0
-    while low < n:
-        high = int(np.searchsorted(begins, begins[low] + size, side="right")) - 1
-        high = min(max(high, low + 1), n)
-        yield low, high, data[begins[low] : begins[high]], begins[low : high + 1] - begins[low]
-        low = high
+    for row in range(0, batch.num_rows, 512):  # converted piece by piece, to hold few copies
+        column = batch.column(name).slice(row, 512).cast(pa.large_string()).fill_null("")
+        n = len(column)
+        _, begins, data = column.buffers()
+        begins = np.frombuffer(begins, dtype=np.int64)[column.offset : column.offset + n + 1]
+        data = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
+        low = 0
+        while low < n:
+            high = int(np.searchsorted(begins, begins[low] + size, side="right")) - 1
+            high = min(max(high, low + 1), n)
+            part = slice(begins[low], begins[high])
+            yield row + low, row + high, data[part], begins[low : high + 1] - begins[low]
+            low = high
 
 
 def word_bounds(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
