@@ -30,10 +30,11 @@ from tokenizers import Tokenizer
 
 CAPACITY = 2048
 END_ID = 1
-SENTENCE_COST = 8
-INSIDE_COST = 64
+#: Costs of a cut, in tokens of padding that it is worth.
+SENTENCE_COST = 2
+INSIDE_COST = 24
 #: Where no document or sentence ends within so many tokens, a cut inside is offered.
-GAP = 128
+GAP = 32
 #: Tokens that are planned at once; plans end at documents or full windows.
 PLAN = 1 << 20
 
