@@ -35,7 +35,7 @@ WIDTH = 2.0
 REACH = 3.5
 RECALL = 0.999
 #: Vectors per block of a cell, about.
-BLOCK = 2048
+BLOCK = 4096
 
 
 def needed_collisions(projections: int, width: float, recall: float) -> int:
@@ -103,16 +103,17 @@ def near_pairs(x: np.ndarray, y: np.ndarray | None, cosine: float) -> tuple[np.n
     window = WIDTH * spread(dimension, cosine)
     needed = needed_collisions(PROJECTIONS, WIDTH, RECALL)
     # Projections in steps of a 256th of the window; a collision is a small difference.
-    of_x, of_y = (np.round(v @ axes * (256 / window)).astype(np.int32) for v in (x, y))
+    kind = np.int16 if 2 * 256 / window < 1 << 15 else np.int32
+    of_x, of_y = (np.round(v @ axes * (256 / window)).T.astype(kind, order="C") for v in (x, y))
     limit = 256
     rows, columns = [], []
     for low in range(0, len(x), 128):
-        part = of_x[low : low + 128]
+        part = of_x[:, low : low + 128]
         first = low + 1 if within else 0
-        other = of_y[first:]
-        counts = np.zeros((len(part), len(other)), dtype=np.uint8)
+        other = of_y[:, first:]
+        counts = np.zeros((part.shape[1], other.shape[1]), dtype=np.uint8)
         for k in range(PROJECTIONS):
-            counts += np.abs(part[:, k, None] - other[None, :, k]) <= limit
+            counts += np.abs(part[k, :, None] - other[k]) <= limit
         i, j = np.nonzero(counts >= needed)
         i, j = i + low, j + first
         if within:
