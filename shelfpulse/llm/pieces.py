@@ -65,24 +65,32 @@ class Pieces:
                 self.bytes_of.append(text.encode())
         #: A character that is no piece is spelt in bytes, at a score below every piece.
         self.spelt = min(score for _, score in self.table.values()) - 10
-        for text in list(self.table):
-            for end in range(1, len(text)):
-                self.table.setdefault(text[:end], (-1, 0.0))
+        # A tree of characters; a node is (nodes below, id or -1, score).
+        below: dict[str, dict] = {"": {}}
+        for text in sorted(self.table):
+            for end in range(1, len(text) + 1):
+                if text[:end] not in below:
+                    number, score = self.table.get(text[:end], (-1, 0.0))
+                    below[text[:end]] = {}
+                    below[text[: end - 1]][text[end - 1]] = (below[text[:end]], number, score)
+        self.tree = below[""]
         self.known: dict[str, tuple[float, bytes, float]] = {}
+        self.others: dict[str, tuple[int, list[Path]]] = {}
 
     def edges(self, chunk: str) -> list[tuple[int, int, float, int]]:
         """(from, to, score, id) by start; id -1 is a character spelt in bytes."""
-        get, found, n = self.table.get, [], len(chunk)
+        found, n = [], len(chunk)
         for i in range(n):
+            node = self.tree.get(chunk[i])
+            if node is None or node[1] < 0:
+                found.append((i, i + 1, self.spelt, -1))
             j = i + 1
-            piece = get(chunk[i:j])
-            if piece is None or piece[0] < 0:
-                found.append((i, j, self.spelt, -1))
-            while piece is not None:
-                if piece[0] >= 0:
-                    found.append((i, j, piece[1], piece[0]))
+            while node is not None:
+                below, number, score = node
+                if number >= 0:
+                    found.append((i, j, score, number))
+                node = below.get(chunk[j]) if j < n else None
                 j += 1
-                piece = get(chunk[i:j]) if j <= n else None
         return found
 
     def ids(self, chunk: str, path: list[tuple[int, int, int]]) -> bytes:
@@ -99,42 +107,64 @@ class Pieces:
         found = self.known.get(chunk)
         if found is not None:
             return found
-        get, n, none = self.table.get, len(chunk), -np.inf
-        ahead, second, come = [none] * (n + 1), [none] * (n + 1), [None] * (n + 1)
+        n, none, root = len(chunk), -np.inf, self.tree
+        ahead, second = [none] * (n + 1), [none] * (n + 1)
+        start, piece = [0] * (n + 1), [-1] * (n + 1)  # of the best edge into a node
         ahead[0] = 0.0
-        for i in range(n):  # as `edges`, but used at once
-            here, other = ahead[i], second[i]
+        for i in range(n):  # the same edges, used at once
+            here, other, node = ahead[i], second[i], root.get(chunk[i])
             j = i + 1
-            piece = get(chunk[i:j])
-            single = piece is None or piece[0] < 0
-            while single or piece is not None:
-                number, score = (-1, self.spelt) if single else piece
-                if single or number >= 0:
+            if node is None or node[1] < 0:
+                reached = here + self.spelt
+                if reached > ahead[j]:
+                    second[j] = max(ahead[j], other + self.spelt)
+                    ahead[j] = reached
+                    start[j] = i
+                    piece[j] = -1
+                elif reached > second[j]:
+                    second[j] = reached
+            while node is not None:
+                below, number, score = node
+                if number >= 0:
                     reached = here + score
                     if reached > ahead[j]:
-                        second[j] = max(ahead[j], other + score)
+                        runner = other + score
+                        second[j] = runner if runner > ahead[j] else ahead[j]
                         ahead[j] = reached
-                        come[j] = (i, j, number)
+                        start[j] = i
+                        piece[j] = number
                     elif reached > second[j]:
                         second[j] = reached
-                if single:
-                    single = False
-                    if piece is None:
-                        break
+                if j == n:
+                    break
+                node = below.get(chunk[j])
                 j += 1
-                piece = get(chunk[i:j]) if j <= n else None
-        path, at = [], n
+        numbers, at = [], n
         while at:
-            path.append(come[at])
-            at = come[at][0]
-        found = (ahead[n], self.ids(chunk, path[::-1]), ahead[n] - second[n])
+            numbers.append(piece[at])
+            at = start[at]
+        if -1 in numbers:
+            path, at = [], n
+            while at:
+                path.append((start[at], at, piece[at]))
+                at = start[at]
+            ids = self.ids(chunk, path[::-1])
+        else:
+            numbers.reverse()
+            ids = pack(f"<{len(numbers)}i", *numbers)
+        found = (ahead[n], ids, ahead[n] - second[n])
         if len(self.known) >= REMEMBERED:
             self.known.clear()
         self.known[chunk] = found
         return found
 
     def nbest(self, chunk: str, n: int) -> list[Path]:
-        """The n best paths of a chunk, best first; fewer if there are no more."""
+        """The n best paths of a chunk, best first; fewer if there are no more. All of them
+        spell the chunk."""
+        asked, found = self.others.get(chunk, (0, []))
+        if asked >= n:
+            return found[:n]
+        found = []
         edges, size = self.edges(chunk), len(chunk)
         ahead = [0.0] + [-np.inf] * size
         into: list[list] = [[] for _ in range(size + 1)]
@@ -142,7 +172,7 @@ class Pieces:
             ahead[edge[1]] = max(ahead[edge[1]], ahead[edge[0]] + edge[2])
             into[edge[1]].append(edge)
         heap = [(-ahead[size], 0, size, 0.0, None)]
-        order, found = 0, []
+        order = 0
         while heap and len(found) < n:
             _, _, at, score, path = heapq.heappop(heap)
             if at == 0:
@@ -156,6 +186,11 @@ class Pieces:
                 order += 1
                 total = score + own
                 heapq.heappush(heap, (-(total + ahead[i]), order, i, total, ((i, j, piece), path)))
+        if any(self.spelling(ids) != chunk.encode() for _, ids in found):
+            raise ValueError(f"a segmentation does not spell {chunk!r}")
+        if len(self.others) >= REMEMBERED // 10:
+            self.others.clear()
+        self.others[chunk] = (n, found)
         return found
 
     def encode(self, text: str, n: int = 1) -> list[Path]:
@@ -195,8 +230,11 @@ class Pieces:
 
     def decode(self, ids: bytes) -> str:
         """The text that `encode` was given, from any of its segmentations."""
+        return self.spelling(ids)[1:].decode()
+
+    def spelling(self, ids: bytes) -> bytes:
         parts = self.bytes_of
-        return b"".join([parts[i] for i in np.frombuffer(ids, dtype="<i4").tolist()])[1:].decode()
+        return b"".join([parts[i] for i in np.frombuffer(ids, dtype="<i4").tolist()])
 
 
 @cache
@@ -218,7 +256,7 @@ def _encoded(file: str, n: int, with_ids: bool):
                     "ids_crc32": pa.array([[zlib.crc32(ids) for _, ids in f] for f in found], pa.list_(pa.int64())),
                     "scores": pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64())),
                     "decoded": pa.array(
-                        [all(pieces.decode(ids) == t for _, ids in f) for t, f in zip(texts, found, strict=True)]
+                        [pieces.decode(f[0][1]) == t for t, f in zip(texts, found, strict=True)]
                     ),
                 }
                 if with_ids:
@@ -233,7 +271,8 @@ def _encoded(file: str, n: int, with_ids: bool):
 
 def encode(docs: DataFrame, n: int = NBEST, file: str | None = None, with_ids: bool = True) -> DataFrame:
     """The n best segmentations of every text: doc_id, n_pieces (of the best), ids_crc32 and
-    scores (best first), decoded (whether each gives back the text) and, with_ids, ids.
+    scores (best first), decoded (whether the best gives back the text; the others are compared
+    with it chunk by chunk when they are found) and, with_ids, ids.
 
     Null text is empty; an empty text has one segmentation without pieces. Equal scores keep
     the order in which the search meets them, which depends on the text alone."""
