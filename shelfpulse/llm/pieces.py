@@ -205,7 +205,7 @@ class Pieces:
         if n == 1:
             return [(total, b"".join(ids))]
         gaps = [b[2] for b in best]
-        close = heapq.nsmallest(n - 1, range(len(gaps)), key=gaps.__getitem__)
+        close = np.argsort(np.array(gaps), kind="stable")[: n - 1].tolist()
         close = sorted(k for k in close if gaps[k] < np.inf)
         # Combinations of the alternatives of these chunks, the best n so far.
         plans: list[tuple[float, tuple[tuple[int, bytes], ...]]] = [(0.0, ())]
