@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ class Unit:
     names(data, begins, text, positions): the names of windows.
     remove(text bytes, first, last): the kept bytes, units, removed units, removed stretches.
     binary: whether kept text is bytes that need not be valid UTF-8.
+    passes: how many times the two largest shuffles are done, each with another part of the names;
+    a name is in one part, so only disk and time change.
     """
 
     window: int
@@ -62,6 +65,7 @@ class Unit:
     names: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     remove: Callable[[bytes, np.ndarray, np.ndarray], tuple[bytes, int, int, int]]
     binary: bool = False
+    passes: int = 1
 
 
 def _rows(doc_id, text_key, anchor, reach, place) -> pa.RecordBatch:
@@ -169,7 +173,11 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
 
     holders = runs.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     anchors = scratch.table(holders.filter("low < high").select("anchor"), "anchors")
-    shared = scratch.table(runs.join(anchors, "anchor", "left_semi"), "shared")
+    parts = [
+        scratch.table(part.join(anchors, "anchor", "left_semi"), "shared")
+        for part in _parts(runs, "anchor", unit.passes)
+    ]
+    shared = reduce(DataFrame.unionByName, parts)
 
     owners = scratch.table(
         shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner")), "owners"
@@ -182,7 +190,7 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         .drop("owner", "several", "reach"),
         "found",
     )
-    scratch.discard(anchors, shared, owners)
+    scratch.discard(anchors, *parts, owners)
     whole = found.filter("repeats").select("doc_id", "text_key", "place")
 
     left_open = found.filter("NOT repeats")
@@ -192,14 +200,24 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         ),
         "windows",
     )
-    held = windows.groupBy("anchor", "reach").agg(
-        F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")
-    )
-    held = scratch.table(held.filter("owner < high").drop("high"), "held")
-    single = windows.join(held, ["anchor", "reach"]).filter("doc_id > owner")
-    spans = scratch.table(whole.unionByName(single.select(*whole.columns)), "repeated")
-    scratch.discard(found, windows, held)
-    return spans
+    spans = [scratch.table(whole, "repeated")]
+    scratch.discard(found)
+    for part in _parts(windows, "reach", unit.passes):
+        held = part.groupBy("anchor", "reach").agg(
+            F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")
+        )
+        held = scratch.table(held.filter("owner < high").drop("high"), "held")
+        single = part.join(held, ["anchor", "reach"]).filter("doc_id > owner")
+        spans.append(scratch.table(single.select(*whole.columns), "repeated"))
+        scratch.discard(held)
+    scratch.discard(windows)
+    return reduce(DataFrame.unionByName, spans)
+
+
+def _parts(rows: DataFrame, name: str, passes: int) -> list[DataFrame]:
+    if passes == 1:
+        return [rows]
+    return [rows.filter(F.pmod(F.col(name), F.lit(passes)) == p) for p in range(passes)]
 
 
 def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:

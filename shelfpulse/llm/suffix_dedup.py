@@ -28,6 +28,8 @@ from shelfpulse.llm.repeats import Unit, covered, remove, stretches
 
 WINDOW = 50
 DEPTH = 24
+#: Passes of the two largest shuffles: two halve the disk they need.
+PASSES = 2
 
 
 def refine(data: np.ndarray, depths: tuple[int, ...]) -> list[np.ndarray]:
@@ -67,7 +69,7 @@ def _unit(window: int, depth: int) -> Unit:
         gone = covered(len(data), first, last, window)
         return data[~gone].tobytes(), len(data), int(gone.sum()), len(stretches(gone)[0])
 
-    return Unit(window, runs, names, cut, binary=True)
+    return Unit(window, runs, names, cut, binary=True, passes=PASSES)
 
 
 def remove_repeats(
