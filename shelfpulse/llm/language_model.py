@@ -39,8 +39,8 @@ from shelfpulse.llm.naming import pair, word_names
 
 MIN_PAIR = 2
 #: Text bytes per bucket of names, and tokens that a task counts at once.
-BUCKET_BYTES = 16 << 20
-CHUNK = 1 << 20
+BUCKET_BYTES = 8 << 20
+CHUNK = 1 << 19
 #: Names outside the words: the end of a document, and what stands before its first word.
 END = np.uint64(0x1F0E5D8C3B7A6991)
 START = np.uint64(0x7E3C9A5B1D2F4867)
@@ -268,9 +268,11 @@ def _store_pairs(folder: str, buckets: int, min_pair: int):
         context = c4.astype(np.uint64) << np.uint64(8) | c1
         word = w4.astype(np.uint64) << np.uint64(8) | w1
         del c4, c1, w4, w1
-        order = np.argsort(pair(context, word))
-        context, word, counts = context[order], word[order], counts[order].astype(np.int64)
         keys = pair(context, word)
+        order = np.argsort(keys)
+        keys, context, word = keys[order], context[order], word[order]
+        counts = counts[order].astype(np.int64)
+        del order
         new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         keys, context, word = keys[new], context[new], word[new]
         counts = np.add.reduceat(counts, new)
@@ -411,7 +413,7 @@ def _score(model: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, begins in text_parts(batch, "text", 1 << 21):
+            for low, high, data, begins in text_parts(batch, "text", 1 << 19):
                 names, begin = tokens(data, begins)
                 count, score = token_scores(model, names, _before(names, begin))
                 base = np.log10((count + 1) / (model.tokens + model.words + 1))
