@@ -12,8 +12,9 @@ count). Buckets hold rising ranges of names. A finished array is moved into plac
 so a repeated task leaves the same files.
 
 Scoring. Workers memory-map the arrays, which the page cache of a machine shares between them,
-and look sorted names up by bisection. Pairs seen less than `MIN_PAIR` times are counted
-everywhere but not stored: their probability goes to the lower order, so all sum to one.
+and look sorted names up by bisection. `score_held_out` stores every pair. A caller of `train`
+may store only pairs seen `min_pair` times: the others are counted everywhere, and their
+probability goes to the lower order, so all sum to one.
 
 Names of words are 64 bits, those within the pair model 40 bits (leading ones).
 """
@@ -451,6 +452,6 @@ def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
 
 
 def score_held_out(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Train on all rows that are not held out and score every row."""
+    """Train on all rows that are not held out, every pair stored, and score every row."""
     docs = docs.select("doc_id", "text", held_out().alias("held_out"))
-    return score(docs, train(docs.filter("NOT held_out"), scratch))
+    return score(docs, train(docs.filter("NOT held_out"), scratch, min_pair=1))

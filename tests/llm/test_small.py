@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -313,6 +315,46 @@ def test_model_equals_formula(spark, scratch):
         assert got[d].score == pytest.approx(want) and got[d].n_tokens == len(line) - 1
 
 
+def full_kneser_ney(texts):
+    """Modified Kneser-Ney of order 2 with nothing left out, as a function of (before, word)."""
+    pairs = Counter(p for t in texts for p in itertools.pairwise(["<", *t.lower().split(), ">"]))
+    follows, after = Counter(b for _, b in pairs), {}
+    for (a, _), n in pairs.items():
+        after.setdefault(a, []).append(n)
+    low, high = (
+        language_model.discounts(*(sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)))
+        for counts in (follows, pairs)
+    )
+    off = lambda n, d: d[min(n, 3) - 1] if n else 0.0
+    rest = sum(off(n, low) for n in follows.values()) / len(pairs) / (len(follows) + 1)
+
+    def probability(before, word):
+        lower = (follows[word] - off(follows[word], low)) / len(pairs) + rest
+        if before not in after:
+            return lower
+        n, counts = pairs[before, word], after[before]
+        return (n - off(n, high) + sum(off(c, high) for c in counts) * lower) / sum(counts)
+
+    return probability
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_scores_equal_full_formula(spark, scratch, repeated):
+    rng = random.Random(10)
+    if repeated:
+        texts = [" ".join(rng.choices("aBcdefghijklmnop", range(1, 17), k=rng.randint(0, 25))) for _ in range(70)]
+    else:  # no pair occurs twice
+        texts = [f"s{d} a{d} b e{d}" for d in range(70)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in language_model.score_held_out(docs, scratch).collect()}
+    held = {d for d in range(70) if zlib.crc32(str(d).encode()) % 7 == 2}
+    probability = full_kneser_ney([t for d, t in enumerate(texts) if d not in held])
+    for d, text in enumerate(texts):
+        line = ["<", *text.lower().split(), ">"]
+        want = sum(math.log10(probability(a, b)) for a, b in itertools.pairwise(line))
+        assert got[d].held_out == (d in held) and got[d].score == pytest.approx(want)
+
+
 def test_model_of_awkward_rows(awkward, empty, scratch):
     assert language_model.score_held_out(awkward, scratch).count() == awkward.count()
     assert language_model.score_held_out(empty, scratch).count() == 0
