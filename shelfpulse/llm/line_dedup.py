@@ -6,9 +6,8 @@ have at its position is variable too; what stays makes the template. All of it i
 joining on hashes; a leaf that a third of all lines fall into is counted like any other.
 
 A template recurs if many documents hold it that are otherwise different. Copies of one document
-share all their lines; to tell them apart, a document is known by the leaf of its longest line,
-and a template needs both many of these and one for every second document at least. The line
-stays in the document with the smallest doc_id.
+share all their lines and count once, however many they are: a document is known by the leaf of
+its longest line. The line stays in the document with the smallest doc_id.
 """
 
 from __future__ import annotations
@@ -22,8 +21,6 @@ LEADING = 3
 MIN_DOCUMENTS = 10
 #: At least this share of a template's tokens is constant.
 CONSTANT = 0.5
-#: A different document for every second one that holds the template.
-DIFFERENT = 0.5
 VARIABLE = "<*>"
 _KEY, _DROP = "_text_key", "_drop"
 ADDED = ("n_lines", "n_dropped")
@@ -49,13 +46,11 @@ def parsed_lines(keyed: DataFrame) -> DataFrame:
 
 def recurring(found: DataFrame, by: list[str], min_documents: int) -> DataFrame:
     """Groups that many otherwise different documents hold, with the first of these."""
-    different = found.groupBy(*by, "document").agg(
-        F.count_distinct("doc_id").alias("n"), F.min("doc_id").alias("first_id")
-    )
+    different = found.groupBy(*by, "document").agg(F.min("doc_id").alias("first_id"))
     return (
         different.groupBy(*by)
-        .agg(F.count("*").alias("kinds"), F.sum("n").alias("documents"), F.min("first_id").alias("first_id"))
-        .filter((F.col("kinds") >= min_documents) & (F.col("kinds") >= DIFFERENT * F.col("documents")))
+        .agg(F.count("*").alias("kinds"), F.min("first_id").alias("first_id"))
+        .filter(F.col("kinds") >= min_documents)
         .select(*by, "first_id")
     )
 

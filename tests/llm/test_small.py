@@ -405,6 +405,52 @@ def test_template_lines(spark, scratch):
     assert all(found[100 + d].n_dropped == 0 for d in range(30))  # copies of one document
 
 
+def dropped_lines(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = by_id(line_dedup.drop_recurring(docs, Scratch(spark)))
+    gone = {}
+    for d, text in enumerate(texts):
+        kept = found[d].text.split("\n") if found[d].n_dropped < len(text.split("\n")) else []
+        gone[d] = [x for x in text.split("\n") if x not in kept]
+        assert found[d].n_dropped == len(gone[d])
+    return gone
+
+
+def recurring_lines(texts, least=10):
+    """Brute force for constant lines: those that least documents with different others hold."""
+    lines = [set(t.split("\n")) for t in texts]
+    gone = {d: [] for d in range(len(texts))}
+    for line in set().union(*lines):
+        holders = [d for d, own in enumerate(lines) if line in own]
+        if len({frozenset(lines[d] - {line}) for d in holders}) >= least:
+            for d in holders[1:]:
+                gone[d].append(line)
+    return {d: sorted(x, key=texts[d].split("\n").index) for d, x in gone.items()}
+
+
+FOOTER = "read more on our site"
+
+
+def own_lines(rng, d, n=3):
+    word = lambda: "".join(rng.choices("abcdefghijk", k=7))
+    return [" ".join(word() for _ in range(i + 2)) for i in range(n)]
+
+
+@pytest.mark.parametrize("case", ["every document three times", "one document copied"])
+def test_template_lines_equal_brute_force(spark, case):
+    rng = random.Random(11)
+    pages = [[*own_lines(rng, d, 5), FOOTER] for d in range(20)]
+    copies = [[*own_lines(rng, 0, 5), FOOTER]] * 150
+    texts = {
+        "every document three times": pages * 3,
+        "one document copied": pages + copies,
+    }[case]
+    texts = ["\n".join(t) for t in texts]
+    want = recurring_lines(texts)
+    assert sum(map(len, want.values())) > 15
+    assert dropped_lines(spark, texts) == want
+
+
 def test_template_lines_of_awkward_rows(awkward, empty, scratch):
     found = line_dedup.drop_recurring(awkward, scratch)
     assert found.count() == awkward.count() and found.agg(F.sum("n_dropped")).first()[0] == 0
