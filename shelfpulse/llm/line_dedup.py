@@ -5,14 +5,16 @@ tokens, where a token with a digit counts as variable. Inside a leaf, a token th
 have at its position is variable too; what stays makes the template. All of it is grouping and
 joining on hashes; a leaf that a third of all lines fall into is counted like any other.
 
-A template recurs if many documents hold it that are otherwise different. Copies of one document
-share all their lines and count once, however many they are: a document is known by the leaf of
-its longest line. The line stays in the document with the smallest doc_id.
+A template recurs if many documents hold it that are otherwise different; copies of one document
+count once, however many they are, and further copies never lower the count. A document is known
+by its lines outside the tested leaf: the longest of them as it stands, and all of them without
+their digits. One that has no others is known by all its lines as they stand. The line stays in
+the document with the smallest doc_id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.llm.common import Scratch, plain_text
@@ -44,6 +46,43 @@ def parsed_lines(keyed: DataFrame) -> DataFrame:
     return lines.withColumn("tokens", _tokens(F.col("line"))).withColumn("leaf", _leaf(F.col("tokens")))
 
 
+def known_by(lines: DataFrame) -> DataFrame:
+    """doc_id, text key, leaf and `document`, by which holders of a leaf are told apart, once
+    per leaf of a document."""
+    exact = F.xxhash64("tokens")
+    digits = F.col("line").rlike("[0-9]")
+    plain = F.when(digits, F.xxhash64(F.translate(F.array_join("tokens", " "), "0123456789", ""))).otherwise(exact)
+    per_leaf = lines.select(
+        "doc_id",
+        _KEY,
+        "leaf",
+        # Number of tokens, then 40 bits of the line's hash: the greatest is the longest line.
+        (F.shiftleft(F.size("tokens").cast("bigint"), 40) + F.shiftrightunsigned(exact, 24)).alias("longest"),
+        exact.alias("exact"),
+        plain.alias("plain"),
+    )
+    # Sums beside the exclusive or, in which a line that comes twice would vanish.
+    per_leaf = per_leaf.groupBy("doc_id", _KEY, "leaf").agg(
+        F.max("longest").alias("longest"),
+        F.bit_xor("exact").alias("exact"),
+        F.bit_xor("plain").alias("plain"),
+        F.sum(F.shiftright("plain", 24)).alias("sum"),
+    )
+    whole = Window.partitionBy("doc_id", _KEY)
+    top = F.max(F.struct("longest", "leaf")).over(whole)
+    second = F.max(F.when(F.col("leaf") != F.col("top.leaf"), F.col("longest"))).over(whole)
+    other = F.when(F.col("leaf") != F.col("top.leaf"), F.col("top.longest")).otherwise(second)
+    all_plain, all_sum = F.bit_xor("plain").over(whole), F.sum("sum").over(whole)
+    others = F.xxhash64(other, all_plain.bitwiseXOR(F.col("plain")), all_sum - F.col("sum"))
+    found = per_leaf.withColumn("top", top)
+    return found.select(
+        "doc_id",
+        _KEY,
+        "leaf",
+        F.when(other.isNull(), F.xxhash64("exact", "sum")).otherwise(others).alias("document"),
+    )
+
+
 def recurring(found: DataFrame, by: list[str], min_documents: int) -> DataFrame:
     """Groups that many otherwise different documents hold, with the first of these."""
     different = found.groupBy(*by, "document").agg(F.min("doc_id").alias("first_id"))
@@ -58,13 +97,12 @@ def recurring(found: DataFrame, by: list[str], min_documents: int) -> DataFrame:
 def templates(keyed: DataFrame, scratch: Scratch, min_documents: int) -> tuple[DataFrame, DataFrame]:
     """Lines in leaves that recur, with their template; and the templates that recur."""
     lines = parsed_lines(keyed.filter("doc_id IS NOT NULL"))
-    longest = F.max_by("leaf", F.struct(F.size("tokens"), "leaf")).alias("document")
-    documents = scratch.table(lines.groupBy("doc_id", _KEY).agg(longest), "longest")
-    leaves = lines.select("doc_id", _KEY, "leaf").distinct().join(documents, ["doc_id", _KEY])
-    leaves = scratch.table(recurring(leaves, ["leaf"], min_documents).select("leaf"), "leaves")
+    documents = scratch.table(known_by(lines), "known-by")
+    leaves = scratch.table(recurring(documents, ["leaf"], min_documents).select("leaf"), "leaves")
+    documents = scratch.table(documents.join(leaves, "leaf", "left_semi"), "holders")
 
     shared = scratch.table(
-        lines.drop("line").join(leaves, "leaf", "left_semi").join(documents, ["doc_id", _KEY]),
+        lines.drop("line").join(leaves, "leaf", "left_semi"),
         "lines",
     )
     words = shared.select("doc_id", _KEY, "line_no", "leaf", F.posexplode("tokens").alias("at", "token"))
@@ -82,7 +120,7 @@ def templates(keyed: DataFrame, scratch: Scratch, min_documents: int) -> tuple[D
             F.avg(fixed.isNotNull().cast("int")).alias("share"),
         )
         .filter(F.col("share") >= CONSTANT)
-        .join(documents, ["doc_id", _KEY])
+        .join(documents, ["doc_id", _KEY, "leaf"])
     )
     shapes = scratch.table(shapes.select("doc_id", _KEY, "line_no", "leaf", "template", "document"), "shapes")
     return shapes, recurring(shapes, ["leaf", "template"], min_documents)

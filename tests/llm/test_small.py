@@ -428,6 +428,8 @@ def recurring_lines(texts, least=10):
     return {d: sorted(x, key=texts[d].split("\n").index) for d, x in gone.items()}
 
 
+LICENCE = "permission is hereby granted to any person to use this text for every lawful purpose"
+COOKIES = "we and our many partners keep small files on your device so that pages load faster"
 FOOTER = "read more on our site"
 
 
@@ -436,14 +438,17 @@ def own_lines(rng, d, n=3):
     return [" ".join(word() for _ in range(i + 2)) for i in range(n)]
 
 
-@pytest.mark.parametrize("case", ["every document three times", "one document copied"])
+@pytest.mark.parametrize("case", ["every document three times", "one document copied", "long lines", "all"])
 def test_template_lines_equal_brute_force(spark, case):
     rng = random.Random(11)
     pages = [[*own_lines(rng, d, 5), FOOTER] for d in range(20)]
+    long = [[LICENCE, *own_lines(rng, d), COOKIES] for d in range(20)]
     copies = [[*own_lines(rng, 0, 5), FOOTER]] * 150
     texts = {
         "every document three times": pages * 3,
         "one document copied": pages + copies,
+        "long lines": long,
+        "all": pages * 2 + long + copies,
     }[case]
     texts = ["\n".join(t) for t in texts]
     want = recurring_lines(texts)
@@ -451,6 +456,18 @@ def test_template_lines_equal_brute_force(spark, case):
     assert dropped_lines(spark, texts) == want
 
 
+def test_template_lines_without_others(spark):
+    single = [f"{LICENCE} {d}" for d in range(20)]
+    gone = dropped_lines(spark, single + [COOKIES] * 30)
+    assert [len(gone[d]) for d in range(50)] == [0] + [1] * 19 + [0] * 30  # copies stay
+    rng = random.Random(12)
+    log = lambda: f"2024-01-{rng.randint(10, 28)} 10:{rng.randint(10, 59)}:07 INFO request served in {rng.randint(1, 99)} ms"
+    start = "2024-01-10 10:00:00 INFO service has started and listens"
+    logs = ["\n".join([start, log(), log()]) for _ in range(20)]
+    gone = dropped_lines(spark, logs)
+    assert not gone[0] and all(start in gone[d] for d in range(1, 20))
+
+
 def test_template_lines_of_awkward_rows(awkward, empty, scratch):
     found = line_dedup.drop_recurring(awkward, scratch)
     assert found.count() == awkward.count() and found.agg(F.sum("n_dropped")).first()[0] == 0
