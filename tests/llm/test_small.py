@@ -18,6 +18,7 @@ from shelfpulse.llm import (
     exact_dedup,
     language_model,
     line_dedup,
+    near_copies,
     packing,
     pieces,
     quality,
@@ -193,6 +194,69 @@ def test_simhash_of_awkward_rows(awkward, empty, scratch):
     assert simhash_dedup.near_duplicates(empty, Scratch(empty.sparkSession)).count() == 0
 
 
+def shingles_of(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def near_copy_texts():
+    """Near copies around 0.8, a crowd of them, a passage in many, and short texts."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(500)]
+    passage = rng.choices(vocabulary, k=60)
+    texts = []
+
+    def edited(words, n):
+        words = list(words)
+        for i in rng.sample(range(len(words)), n):
+            words[i] = rng.choice(vocabulary)
+        return words
+
+    for _ in range(40):
+        own = rng.choices(vocabulary, k=rng.randint(30, 300))
+        texts += [own, edited(own, max(1, len(own) // 50)), edited(own, max(1, len(own) // 40)), own[: rng.randint(20, 30)]]
+    crowd = rng.choices(vocabulary, k=200)
+    texts += [edited(crowd, rng.randint(0, 5)) for _ in range(90)]
+    texts += [rng.choices(vocabulary, k=20) + passage + rng.choices(vocabulary, k=20) for _ in range(50)]
+    texts += [["one"], ["One"], ["one", "two"], [], []]
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_near_copies_equal_brute_force(spark, scratch):
+    from corpus_pipeline import one_of_each_group
+    from tests.llm.test_contract import smallest_reachable
+
+    texts = near_copy_texts()
+    sets = [shingles_of(t) for t in texts]
+    edges, partly = [], 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        shared, both = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        if both and 5 * shared >= 4 * both:
+            edges.append((a, b))
+            partly += shared < both
+    assert partly > 100
+    component = smallest_reachable(range(len(texts)), edges)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = near_copies.near_copies(docs, scratch, block=32).collect()
+    assert {r.doc_id: r.component_id for r in found if r.print} == {d: component[d] for d in component if sets[d]}
+    left = {r.doc_id for r in one_of_each_group(spark, docs, "").collect()}
+    assert left == {d for d in component if component[d] == d}
+
+
+def test_near_copies_of_awkward_rows(spark, awkward, empty):
+    from corpus_pipeline import one_of_each_group
+
+    left = [r.doc_id for r in one_of_each_group(spark, awkward, "").collect()]
+    assert sorted(left, key=lambda d: d or 0) == [None, None, 1, 2, 3, 4, 6, 6, 8, 10]
+    assert one_of_each_group(spark, empty, "").count() == 0
+    # An id that repeats with another text: only the row that is a copy goes.
+    words = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
+    docs = spark.createDataFrame([(1, words[0]), (2, words[0]), (2, words[1])], "doc_id bigint, text string")
+    assert sorted(one_of_each_group(spark, docs, "").collect()) == [(1, words[0]), (2, words[1])]
+
+
 def test_vectors(spark, scratch, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
     rng = np.random.default_rng(4)
