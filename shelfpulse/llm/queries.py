@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfpulse.llm import (
+    conversation_trie,
     embedding_dedup,
     exact_dedup,
     language_model,
@@ -16,8 +17,10 @@ from shelfpulse.llm import (
     pieces,
     quality,
     simhash_dedup,
+    spelling,
     substring_dedup,
     suffix_dedup,
+    url_filters,
 )
 from shelfpulse.llm.common import Scratch, one_space
 
@@ -176,3 +179,103 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.drop_recurring(docs, Scratch(spark))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url"), Scratch(spark))
+
+
+#: crc32 of a list of byte values.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, {}), lambda c, b: list_reduce(
+    list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"), Scratch(spark))
+
+
+ORACLE_SQL["op11_conversation_trie"] = (
+    r"""
+WITH original AS (
+    SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                         ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns,
+           """
+    + CRC32.format("list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)")
+    + r""" % 4 AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns
+    FROM original c LEFT JOIN original b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+    SELECT conv_id, d.d AS depth, turns[1 : d.d] AS path, d.d = len(turns) AS ends
+    FROM rebuilt, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d) d
+), nodes AS (
+    SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(len(regexp_extract_all(path[depth].t, '[^ 	-]+')), 0) AS words,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY depth, path
+), children AS (
+    SELECT path[1 : depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), totals AS (
+    SELECT path[1 : d.d] AS path, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+    FROM counted, LATERAL (SELECT unnest(range(depth + 1)) AS d) d GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1 : n.depth - 1]
+"""
+)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark))
+
+
+ORACLE_SQL["op13_spelling_variants"] = (
+    r"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' AS doc,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT run, hex(encode(doc || run)) AS digits, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT run, n, """
+    + CRC32.format(
+        "list_transform(range(len(digits) // 2), lambda i: ('0x' || substr(digits, (2 * i + 1)::BIGINT, 2))::BIGINT)"
+    )
+    + r""" AS h
+    FROM counted
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM hashed GROUP BY 1
+), vocabulary AS (
+    SELECT word, n FROM words WHERE length(word) >= 5 AND n >= 3
+), gaps AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM vocabulary, LATERAL (SELECT unnest(range(length(word))) AS i)
+), pairs AS (
+    SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT g.word, g.n, v.word, v.n FROM gaps g JOIN vocabulary v ON v.word = g.rest
+    UNION SELECT v.word, v.n, g.word, g.n FROM gaps g JOIN vocabulary v ON v.word = g.rest
+), best AS (
+    SELECT word, count(*) AS n_near, (list(near ORDER BY near_n DESC, near))[1] AS near, max(near_n) AS near_n
+    FROM pairs GROUP BY word
+), forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+           CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+    FROM vocabulary LEFT JOIN best USING (word)
+), chains AS (
+    SELECT word, word AS root FROM forms WHERE form IS NULL
+    UNION ALL SELECT f.word, c.root FROM forms f JOIN chains c ON f.form = c.word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN chains USING (word)
+"""
+)
