@@ -10,8 +10,9 @@ prefixes, which misses no pair.
 
 Position limits: the edit lies on one side of the shared bigram, so the bigram keeps its place
 counted from the other end, and so does everything up to that end. The index key is the bigram, its place
-counted from the start or from the end, and a hash of the text on that side. Words that meet
-differ by at most one in length and are then verified.
+counted from the start or from the end, and a hash of the text on that side, and with it the
+length: a pivot is entered under the three lengths that one edit allows. Words that meet are
+then verified.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ MIN_COUNT = 3
 RATIO = 2
 #: Of so many (document, run) pairs one loses a character.
 DAMAGE = 97
+#: Longer words are verified in time in proportion to their length.
+LONG = 256
 #: Distinct words that a task holds before it passes their counts on.
 HELD = 1 << 18
 
@@ -173,6 +176,29 @@ def _entries(rank: dict[str, int], weight: list[int]):
     return run
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether one insertion, deletion or replacement makes one word of the other. The first
+    difference is found by halving."""
+    if len(a) > len(b):
+        a, b = b, a
+    if a == b or len(b) - len(a) > 1:
+        return False
+    low, high = 0, len(a)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return a[low + (len(a) == len(b)) :] == b[low + 1 :]
+
+
+def _one_edit_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = zip(batch.column("word").to_pylist(), batch.column("near").to_pylist(), strict=True)
+        yield batch.filter(pa.array([one_edit(a, b) for a, b in words], pa.bool_()))
+
+
 def near_words(vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
     """Every pair of words at exactly one insertion, deletion or replacement, once in each
     direction: word, n, near, near_n. vocabulary: word and n, each word once and of at least
@@ -186,18 +212,23 @@ def near_words(vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
         _entries(rank, weight), "key bigint, pivot boolean, last bigint, word string, n bigint"
     )
     entries = scratch.table(entries, "grams")
-    index = entries.filter("pivot").select("key", "last", "word", "n")
+    keys, length = ["key", "length"], F.char_length("word")
+    lengths = F.explode(F.array(length - 1, length, length + 1))
+    index = entries.filter("pivot").select("key", lengths.alias("length"), "last", "word", "n")
     others = entries.filter("NOT pivot").select(
-        "key", F.col("last").alias("end"), F.col("word").alias("near"), F.col("n").alias("near_n")
-    )
-    counts = scratch.table(others.groupBy("key").agg(F.count("*").alias("n")), "gram-counts")
-    heavy = heavy_keys(counts, ["key"])
-    met = salted_join(others, index, ["key"], heavy, F.xxhash64("near"))
-    found = met.filter(
-        (F.col("last") <= F.col("end"))
-        & (F.abs(F.char_length("word") - F.char_length("near")) <= 1)
-        & (F.levenshtein("word", "near", 1) == 1)
+        "key", length.alias("length"), F.col("last").alias("end"), F.col("word").alias("near"), F.col("n").alias("near_n")
     )
+    counts = scratch.table(others.groupBy(*keys).agg(F.count("*").alias("n")), "gram-counts")
+    heavy = heavy_keys(counts, keys)
+
+    def met(kept: str) -> DataFrame:
+        both = salted_join(others.filter(kept), index.filter(kept), keys, heavy, F.xxhash64("near"))
+        return both.filter("last <= end").select("word", "n", "near", "near_n")
+
+    found = met(f"length <= {LONG}").filter(F.levenshtein("word", "near", 1) == 1)
+    if not counts.filter(f"length > {LONG}").isEmpty():
+        kinds = "word string, n bigint, near string, near_n bigint"
+        found = found.unionByName(met(f"length > {LONG}").mapInArrow(_one_edit_apart, kinds))
     ordered = F.col("word") < F.col("near")
     a, b = F.struct("word", "n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"))
     pairs = found.select(F.when(ordered, a).otherwise(b).alias("a"), F.when(ordered, b).otherwise(a).alias("b"))
