@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0xD1342543DE82EF95
-_INVERSE = pow(_BASE, -1, 1 << 64)
-#: One fixed random value per byte.
-BYTE_VALUES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)
-
-_powers: dict[int, np.ndarray] = {}
+#: Longer words are named one by one.
+_LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,38 +22,62 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _ODD + (b ^ (b >> np.uint64(32))))
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 18), base, dtype=np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
-
-
 class Spans:
-    """Names of spans of a sequence of 64-bit values, from sums of powers modulo 2^64."""
+    """Names of spans of a sequence of 64-bit values. Names of 2^k values are paired from those of
+    2^(k-1), and a span is the two names that cover it, with its length."""
 
     def __init__(self, values: np.ndarray):
-        n = len(values)
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * _power(_BASE, n), out=self.sums[1:])
-        self.back = _power(_INVERSE, n + 1)
+        self.levels = [values]
+
+    def _level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            top, half = self.levels[-1], 1 << len(self.levels) - 1
+            self.levels.append(pair(top[:-half], top[half:]))
+        return self.levels[k]
 
     def all_of(self, length: int) -> np.ndarray:
         """The span of that length at every position that has one."""
-        n = max(len(self.sums) - length, 0)
-        return mix((self.sums[length:] - self.sums[:n]) * self.back[:n] + np.uint64(length))
+        k = length.bit_length() - 1
+        level, later = self._level(k), length - (1 << k)
+        return mix(pair(level[: len(level) - later], level[later:]) + np.uint64(length))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        length = (ends - starts).astype(np.uint64)
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + length)
+        length = ends - starts
+        names = np.zeros(len(starts), dtype=np.uint64)
+        depth = np.frexp(length)[1] - 1
+        for k in np.unique(depth[length > 0]):
+            at = np.flatnonzero(depth == k)
+            level = self._level(int(k))
+            both = pair(level[starts[at]], level[ends[at] - (1 << int(k))])
+            names[at] = mix(both + length[at].astype(np.uint64))
+        return names
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on as one number, zeros behind the end."""
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
 
 
 def word_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Names of byte strings: of eight bytes at a time, with the length in front, or of the whole
+    string where it is long."""
+    length = ends - starts
+    names = mix(length.astype(np.uint64) * _ODD + np.uint64(1))
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    return Spans(BYTE_VALUES[data]).of(starts, ends)
+        return names
+    eight = eight_bytes(data)
+    left = np.flatnonzero(length <= _LONG)
+    for low in range(0, _LONG, 8):
+        left = left[length[left] > low]
+        if not len(left):
+            break
+        unused = np.maximum(8 - (length[left] - low), 0).astype(np.uint64) << np.uint64(3)
+        part = eight[starts[left] + low] << unused
+        names[left] = pair(names[left], part)
+    for i in np.flatnonzero(length > _LONG).tolist():
+        names[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return names
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
