@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +62,24 @@ class Scratch:
         return f"{self.staging.path}/{name}"
 
 
+def set_aside(
+    docs: DataFrame, own: tuple[str, ...] = ("doc_id", "text"), dropped: tuple[str, ...] = ()
+) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """`docs` with all columns but `own` under names that no operator uses, without `dropped`, and
+    a function that gives the result's columns their names and order back, with the new columns
+    named to it behind them."""
+    names = [n for n in docs.columns if n not in dropped]
+    inside = {n: n if n in own else f"_input_column_{i}" for i, n in enumerate(names)}
+
+    def quoted(name: str) -> str:
+        return f"`{name.replace('`', '``')}`"
+
+    def back(result: DataFrame, *added: str) -> DataFrame:
+        return result.select(*(F.col(i).alias(n) for n, i in inside.items()), *added)
+
+    return docs.select(*(F.col(quoted(n)).alias(i) for n, i in inside.items())), back
+
+
 def plain_text(text: str | Column) -> Column:
     """Missing text counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

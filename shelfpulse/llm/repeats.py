@@ -28,8 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import Scratch, text_parts
+from shelfpulse.llm.common import Scratch, set_aside, text_parts
 from shelfpulse.llm.naming import ramp
+from shelfpulse.llm.skew import heavy_keys, salted_join
 
 RUNS = "doc_id bigint, text_key bigint, anchor bigint, reach bigint, place bigint"
 _RUN_FIELDS = pa.schema(
@@ -43,6 +44,7 @@ _RUN_FIELDS = pa.schema(
 )
 #: A place is the first window of a run and how many follow, packed to keep shuffled rows short.
 _BITS = 16
+_SEEDS = "doc_id bigint, anchor bigint"
 #: Columns that `remove` adds; input columns of these names are replaced.
 ADDED = ("n_units", "n_removed", "n_spans")
 _KEY, _FOUND = "_text_key", "_repeats"
@@ -87,12 +89,18 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").to_numpy(), batch.column(_KEY).to_numpy()
 
 
-def _all_runs(unit: Unit) -> Callable:
+def _all_runs(unit: Unit, part: int = 0) -> Callable:
+    """Runs whose anchor is in one part of the names."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, key = _ids(batch)
             for low, _, data, begins in text_parts(batch, "text"):
-                text, anchor, reach, first, last = unit.runs(data, begins)
+                runs = unit.runs(data, begins)
+                if unit.passes > 1:
+                    own = np.flatnonzero(runs[1] % np.uint64(unit.passes) == part)
+                    runs = tuple(x[own] for x in runs)
+                text, anchor, reach, first, last = runs
                 if len(text):
                     place = _pack(first, last)
                     yield _rows(doc_id[low + text], key[low + text], anchor, reach, place)
@@ -100,6 +108,20 @@ def _all_runs(unit: Unit) -> Callable:
     return run
 
 
+def _all_anchors(unit: Unit) -> Callable:
+    """Each anchor of a text and its document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_id, _ = _ids(batch)
+            for low, _, data, begins in text_parts(batch, "text"):
+                text, anchor, *_ = unit.runs(data, begins)
+                columns = [pa.array(doc_id[low + text]), pa.array(anchor.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor"])
+
+    return run
+
+
 def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, pa.StructArray]:
     """Where the list of each row begins, and all entries; a null list is empty."""
     lists = batch.column(name)
@@ -169,28 +191,35 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     if unit.window >> _BITS:
         raise ValueError("windows of up to 65,535 units are possible")
     texts = keyed.select("doc_id", "text", _KEY).filter("doc_id IS NOT NULL")
-    runs = texts.mapInArrow(_all_runs(unit), RUNS)
-
-    holders = runs.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    anchors = scratch.table(holders.filter("low < high").select("anchor"), "anchors")
-    parts = [
-        scratch.table(part.join(anchors, "anchor", "left_semi"), "shared")
-        for part in _parts(runs, "anchor", unit.passes)
-    ]
+    holders = texts.mapInArrow(_all_anchors(unit), _SEEDS).groupBy("anchor").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")
+    )
+    anchors = scratch.table(holders.filter("low < high").select("anchor", "n"), "anchors")
+    heavy, deal = heavy_keys(anchors, ["anchor"]), F.xxhash64("doc_id", "place")
+    parts = []
+    for p in range(unit.passes):
+        runs = texts.mapInArrow(_all_runs(unit, p), RUNS)
+        held = salted_join(runs, anchors.select("anchor"), ["anchor"], heavy, deal, "left_semi")
+        parts.append(scratch.table(held, "shared"))
     shared = reduce(DataFrame.unionByName, parts)
 
     owners = scratch.table(
-        shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner")), "owners"
+        shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")), "owners"
     )
-    several = owners.groupBy("anchor").agg((F.count("*") > 1).alias("several"))
+    several = scratch.table(owners.groupBy("anchor").agg(F.count("*").alias("n")), "several")
+    # Anchors whose runs have the same reach everywhere are settled here.
+    open_owners = salted_join(
+        owners, several.select("anchor", (F.col("n") > 1).alias("several")), ["anchor"],
+        heavy_keys(several, ["anchor"]), F.xxhash64("reach"),
+    )
+    found = salted_join(shared, open_owners.drop("n"), ["anchor", "reach"], heavy_keys(owners, ["anchor", "reach"]), deal)
     found = scratch.table(
-        shared.join(owners.join(several, "anchor"), ["anchor", "reach"])
-        .select("*", (F.col("doc_id") > F.col("owner")).alias("repeats"))
+        found.select("*", (F.col("doc_id") > F.col("owner")).alias("repeats"))
         .filter("repeats OR several")
         .drop("owner", "several", "reach"),
         "found",
     )
-    scratch.discard(anchors, *parts, owners)
+    scratch.discard(anchors, *parts, owners, several)
     whole = found.filter("repeats").select("doc_id", "text_key", "place")
 
     left_open = found.filter("NOT repeats")
@@ -204,10 +233,11 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     scratch.discard(found)
     for part in _parts(windows, "reach", unit.passes):
         held = part.groupBy("anchor", "reach").agg(
-            F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")
+            F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"), F.count("*").alias("n")
         )
         held = scratch.table(held.filter("owner < high").drop("high"), "held")
-        single = part.join(held, ["anchor", "reach"]).filter("doc_id > owner")
+        same = ["anchor", "reach"]
+        single = salted_join(part, held.drop("n"), same, heavy_keys(held, same), deal).filter("doc_id > owner")
         spans.append(scratch.table(single.select(*whole.columns), "repeated"))
         scratch.discard(held)
     scratch.discard(windows)
@@ -226,7 +256,7 @@ def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     Rows with equal doc_id do not count as earlier than each other, nor does a null doc_id
     count at all: such a row keeps its text. Null text counts as empty and comes back empty.
     """
-    docs = docs.drop(*ADDED, _KEY, _FOUND)
+    docs, back = set_aside(docs, dropped=ADDED)
     # Rows are told apart by their ids, and by their texts where an id has several.
     several = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(1).alias(_KEY))
     keyed = docs.join(scratch.table(several, "several"), "doc_id", "left")
@@ -239,7 +269,7 @@ def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         for n, t in [*docs.dtypes, *((n, "bigint") for n in ADDED)]
     )
     joined = _with_lists(keyed, spans, ["place"], "left").drop(_KEY)
-    return joined.mapInArrow(_removed(unit, names), schema)
+    return back(joined.mapInArrow(_removed(unit, names), schema), *ADDED)
 
 
 def covered(n: int, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from shelfpulse.llm.common import Scratch
-from shelfpulse.llm.naming import BYTE_VALUES, anchored, pair
+from shelfpulse.llm.naming import anchored, eight_bytes, mix, pair
 from shelfpulse.llm.repeats import Unit, covered, remove, stretches
 
 WINDOW = 50
@@ -35,7 +35,11 @@ PASSES = 2
 def refine(data: np.ndarray, depths: tuple[int, ...]) -> list[np.ndarray]:
     """Bucket identifiers of every suffix at the given rising depths; a depth may be up to twice
     the power of two below it. Suffixes shorter than a depth have no identifier of it."""
-    level, depth, found = BYTE_VALUES[data], 1, []
+    if depths[0] >= 8:  # eight bytes fit into one number
+        level, depth = mix(eight_bytes(data)[: max(len(data) - 7, 0)]), 8
+    else:
+        level, depth = mix(data.astype(np.uint64)), 1
+    found = []
     for wanted in depths:
         while depth * 2 <= wanted:
             level = pair(level[:-depth], level[depth:])
