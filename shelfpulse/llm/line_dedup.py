@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import Scratch, plain_text
+from shelfpulse.llm.common import Scratch, plain_text, set_aside
+from shelfpulse.llm.skew import heavy_keys, salted_join
 
 LEADING = 3
 MIN_DOCUMENTS = 10
@@ -25,6 +26,7 @@ MIN_DOCUMENTS = 10
 CONSTANT = 0.5
 VARIABLE = "<*>"
 _KEY, _DROP = "_text_key", "_drop"
+_KEYS = ["leaf", "at", "token"]
 ADDED = ("n_lines", "n_dropped")
 
 
@@ -84,13 +86,14 @@ def known_by(lines: DataFrame) -> DataFrame:
 
 
 def recurring(found: DataFrame, by: list[str], min_documents: int) -> DataFrame:
-    """Groups that many otherwise different documents hold, with the first of these."""
-    different = found.groupBy(*by, "document").agg(F.min("doc_id").alias("first_id"))
+    """Groups that many otherwise different documents hold, with the first of these and `n`, the
+    number of rows."""
+    different = found.groupBy(*by, "document").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     return (
         different.groupBy(*by)
-        .agg(F.count("*").alias("kinds"), F.min("first_id").alias("first_id"))
+        .agg(F.count("*").alias("kinds"), F.min("first_id").alias("first_id"), F.sum("n").alias("n"))
         .filter(F.col("kinds") >= min_documents)
-        .select(*by, "first_id")
+        .select(*by, "first_id", "n")
     )
 
 
@@ -99,21 +102,25 @@ def templates(keyed: DataFrame, scratch: Scratch, min_documents: int) -> tuple[D
     lines = parsed_lines(keyed.filter("doc_id IS NOT NULL"))
     documents = scratch.table(known_by(lines), "known-by")
     leaves = scratch.table(recurring(documents, ["leaf"], min_documents).select("leaf"), "leaves")
-    documents = scratch.table(documents.join(leaves, "leaf", "left_semi"), "holders")
+    sizes = scratch.table(documents.groupBy("leaf").agg(F.count("*").alias("n")), "sizes")
+    heavy, deal = heavy_keys(sizes, ["leaf"]), F.xxhash64("doc_id", _KEY)
+    documents = scratch.table(salted_join(documents, leaves, ["leaf"], heavy, deal, "left_semi"), "holders")
 
     shared = scratch.table(
-        lines.drop("line").join(leaves, "leaf", "left_semi"),
+        salted_join(lines.drop("line"), leaves, ["leaf"], heavy, deal, "left_semi"),
         "lines",
     )
     words = shared.select("doc_id", _KEY, "line_no", "leaf", F.posexplode("tokens").alias("at", "token"))
     words = words.withColumn("token", F.xxhash64("token"))
-    constant = (
-        words.groupBy("leaf", "at", "token").agg(F.count_distinct("doc_id").alias("n"))
-        .filter(F.col("n") >= min_documents).select("leaf", "at", "token", F.lit(1).alias("fixed"))
+    constant = scratch.table(
+        words.groupBy(*_KEYS).agg(F.count_distinct("doc_id").alias("n"))
+        .filter(F.col("n") >= min_documents).select(*_KEYS, F.lit(1).alias("fixed"), "n"),
+        "constant",
     )
+    heavy = heavy_keys(constant, _KEYS)
     fixed = F.when(F.col("fixed") == 1, F.col("token"))
     shapes = (
-        words.join(constant, ["leaf", "at", "token"], "left")
+        salted_join(words, constant.drop("n"), _KEYS, heavy, deal, "left")
         .groupBy("doc_id", _KEY, "line_no", "leaf")
         .agg(
             F.xxhash64(F.array_sort(F.collect_list(F.struct("at", fixed.alias("fixed"))))).alias("template"),
@@ -123,7 +130,8 @@ def templates(keyed: DataFrame, scratch: Scratch, min_documents: int) -> tuple[D
         .join(documents, ["doc_id", _KEY, "leaf"])
     )
     shapes = scratch.table(shapes.select("doc_id", _KEY, "line_no", "leaf", "template", "document"), "shapes")
-    return shapes, recurring(shapes, ["leaf", "template"], min_documents)
+    found = recurring(shapes, ["leaf", "template"], min_documents)
+    return shapes, scratch.table(found, "recurring")
 
 
 def drop_recurring(
@@ -135,11 +143,13 @@ def drop_recurring(
     equal doc_id count as one document; a row with a null doc_id keeps its lines. Input columns
     named like the added ones are replaced.
     """
-    docs = docs.drop(*ADDED, _KEY, _DROP)
+    docs, back = set_aside(docs, dropped=ADDED)
     keyed = docs.withColumn("text", plain_text("text")).withColumn(_KEY, F.xxhash64("text"))
     shapes, found = templates(keyed.select("doc_id", "text", _KEY), scratch, min_documents)
+    by = ["leaf", "template"]
+    held = salted_join(shapes, found.drop("n"), by, heavy_keys(found, by), F.xxhash64("doc_id", "line_no"))
     drops = (
-        shapes.join(found, ["leaf", "template"]).filter("doc_id > first_id")
+        held.filter("doc_id > first_id")
         .groupBy("doc_id", _KEY).agg(F.collect_set("line_no").alias(_DROP))
         .select(F.col("doc_id").alias("_drop_id"), F.col(_KEY).alias("_drop_key"), _DROP)
     )
@@ -153,8 +163,9 @@ def drop_recurring(
     n_dropped = F.when(F.col(_DROP).isNull(), 0).otherwise(n_dropped).cast("bigint")
     text = F.when(F.col(_DROP).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col("text") == "", 0).otherwise(F.size(lines)).cast("bigint")
-    return joined.select(
+    done = joined.select(
         *[text.alias("text") if n == "text" else F.col(n) for n in docs.columns],
         n_lines.alias("n_lines"),
         n_dropped.alias("n_dropped"),
     )
+    return back(done, *ADDED)
