@@ -33,10 +33,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         large = scratch.table(large.distinct(), "large-star")
+        scratch.discard(state)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), "m")
         small = moved.unionByName(least).select("u", F.col("m").alias("v"))
         state = scratch.table(small.distinct(), "small-star")
+        scratch.discard(large)
         now = _signature(state)
         if now == seen:
             return state.select(F.col("u").alias("node"), F.col("v").alias("component"))

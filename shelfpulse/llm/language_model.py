@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from shelfpulse.llm.common import Scratch, text_parts, word_bounds
 from shelfpulse.llm.naming import pair, word_names
 
-MIN_PAIR = 2
+MIN_PAIR = 1
 #: Text bytes per bucket of names, and tokens that a task counts at once.
 BUCKET_BYTES = 8 << 20
 CHUNK = 1 << 19

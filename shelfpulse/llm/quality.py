@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import Scratch, text_parts, word_bounds
+from shelfpulse.llm.common import Scratch, set_aside, text_parts, word_bounds
 from shelfpulse.llm.naming import word_names
 
 #: Labelled documents used for learning, at most: those with the smallest hash of their id.
@@ -209,7 +209,9 @@ def fit(
 
 
 def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row."""
+    """doc_id, held_out, score and predicted of every row, whatever its id: rows with equal doc_id
+    are scored each by its own text, and in learning each counts with the label of the id.
+    Further columns are left out."""
     measured = scratch.table(with_statistics(docs, ["doc_id"]), "statistics")
     model = fit(measured, labels, scratch)
     return measured.select(
@@ -220,8 +222,9 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of `docs` whose score reaches the threshold, with their columns."""
-    measured = scratch.table(with_statistics(docs, ["doc_id"]), "statistics")
+    """The rows of `docs` whose score reaches the threshold, with all their columns as they are.
+    Rows with equal doc_id are scored each by its own text."""
+    docs, back = set_aside(docs)
+    measured = scratch.table(with_statistics(docs), "statistics")
     model = fit(measured, labels, scratch)
-    scored = with_statistics(docs).filter(model.score() >= THRESHOLD)
-    return scored.select(*docs.columns)
+    return back(measured.filter(model.score() >= THRESHOLD))

@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import Scratch
+from shelfpulse.llm.common import Scratch, plain_text, set_aside
 from shelfpulse.llm.components import components
+from shelfpulse.llm.skew import heavy_keys, salted_join
 
 SHINGLE = 4
 SEED = 42
@@ -55,16 +56,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(shingle: int):
+def _fingerprints(shingle: int, *kept: str):
+    names = ["doc_id", *kept]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             found = np.fromiter(
                 (fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts)
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "print"]
-            )
+            columns = [*(batch.column(n) for n in names), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "print"])
 
     return run
 
@@ -98,12 +100,9 @@ def cells(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        node = batch.column("node").to_numpy()
         prints = batch.column("print").to_numpy()
         row, cell = cells(prints)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell), pa.array(node[row]), pa.array(prints[row])], ["cell", "node", "print"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(prints[row])], ["cell", "print"])
 
 
 def forest(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -122,7 +121,7 @@ def forest(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _compare(max_bits: int):
-    def links(group: np.ndarray, node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    def links(group: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         size = np.diff(np.append(begin, len(group)))
         a, b = [], []
@@ -140,12 +139,13 @@ def _compare(max_bits: int):
                 a.append(pairs[:, 0])
                 b.append(pairs[:, 1])
         a, b = np.concatenate(a), np.concatenate(b)
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+        ends = prints.view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ends[a]), pa.array(ends[b])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple[np.ndarray, ...] | None = None
         for batch in batches:  # sorted by group; the last group may go on in the next batch
-            now = tuple(batch.column(c).to_numpy() for c in ("group", "node", "print"))
+            now = tuple(batch.column(c).to_numpy() for c in ("group", "print"))
             if kept is not None:
                 now = tuple(np.concatenate(x) for x in zip(kept, now, strict=True))
             if not len(now[0]):
@@ -153,23 +153,23 @@ def _compare(max_bits: int):
             cut = int(np.searchsorted(now[0], now[0][-1]))
             kept = tuple(x[cut:] for x in now)
             if cut:
-                yield links(now[0][:cut], now[1][:cut], now[2][:cut].view(np.uint64))
+                yield links(now[0][:cut], now[1][:cut].view(np.uint64))
         if kept is not None:
-            yield links(kept[0], kept[1], kept[2].view(np.uint64))
+            yield links(kept[0], kept[1].view(np.uint64))
 
     return run
 
 
 def link(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect all fingerprints within `max_bits` (4 at most) bits of each
-    other. prints: node, print; every print once.
+    other. prints: print, each once; they are the nodes of the edges.
 
     Per group of fingerprints that are compared, the edges are a spanning forest, so thousands
     of near copies make thousands of edges, not millions.
     """
     if max_bits > 4:
         raise ValueError("cells find differences of up to 4 bits")
-    entries = prints.mapInArrow(_enter, "cell bigint, node bigint, print bigint")
+    entries = prints.select("print").mapInArrow(_enter, "cell bigint, print bigint")
     crowded = (
         entries.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > block)
         .select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
@@ -184,7 +184,6 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
             F.when(F.col("blocks").isNull(), F.col("cell")).otherwise(
                 F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other"))
             ).alias("group"),
-            "node",
             "print",
         )
     )
@@ -202,16 +201,41 @@ def near_duplicates(
     """One row per row of `docs`: doc_id, print, component_id (the smallest doc_id reachable
     over links of at most `max_bits` differing bits, itself included).
 
-    Null text is empty; all texts without words share the fingerprint zero. A null doc_id is
-    no component's id: such a row gets the id of its component, or null where no row of the
-    component has one.
+    Null text is empty; all texts without words share the fingerprint zero. Rows are linked by
+    their fingerprints alone, so a row with a null doc_id links others as any row does; it gets
+    the id of its component, or null where no row of the component has one. Rows with equal
+    doc_id and different texts are each in the component of their own fingerprint.
     """
     rows = scratch.table(fingerprints(docs, shingle), "prints")
-    prints = rows.groupBy("print").agg(F.min("doc_id").alias("node"))
-    prints = scratch.table(prints, "nodes")
-    named = prints.filter("node IS NOT NULL")
-    found = components(link(named, max_bits), scratch)
-    classes = prints.join(found, "node", "left").select(
-        "print", F.coalesce("component", "node").alias("component_id")
+    return classified(rows, scratch, max_bits).select("doc_id", "print", "component_id")
+
+
+def classified(rows: DataFrame, scratch: Scratch, max_bits: int = MAX_BITS) -> DataFrame:
+    """`rows` (a written table of doc_id, print and others) with component_id."""
+    prints = rows.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    prints = scratch.table(prints, "distinct-prints")
+    found = components(link(prints, max_bits), scratch).withColumnRenamed("node", "print")
+    named = prints.join(found, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    firsts = named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    firsts = scratch.table(firsts, "components")
+    own = salted_join(
+        named.select("print", "component"), firsts.drop("n"), ["component"], heavy_keys(firsts, ["component"]),
+        F.xxhash64("print"),
+    ).select("print", "component_id")
+    return salted_join(rows, own, ["print"], heavy_keys(prints, ["print"]), F.xxhash64("doc_id"))
+
+
+def keep_one(
+    docs: DataFrame, scratch: Scratch, shingle: int = SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, that have the smallest doc_id of their
+    component. Rows with a null doc_id stay, as they are no document's copy; of rows with equal
+    doc_id each stays or goes by its own text."""
+    docs, back = set_aside(docs)
+    keyed = docs.withColumn("text_key", F.xxhash64(plain_text("text")))
+    rows = keyed.select("doc_id", "text_key", "text").mapInArrow(
+        _fingerprints(shingle, "text_key"), "doc_id bigint, text_key bigint, print bigint"
     )
-    return rows.join(classes, "print").select("doc_id", "print", "component_id")
+    found = classified(scratch.table(rows, "prints"), scratch, max_bits)
+    copies = found.filter("doc_id <> component_id").select("doc_id", "text_key").distinct()
+    return back(keyed.join(scratch.table(copies, "copies"), ["doc_id", "text_key"], "left_anti"))

@@ -18,15 +18,16 @@ from shelfpulse.llm import (
     exact_dedup,
     language_model,
     line_dedup,
-    near_copies,
+    naming,
     packing,
     pieces,
     quality,
     simhash_dedup,
+    skew,
     substring_dedup,
     suffix_dedup,
 )
-from shelfpulse.llm.common import Scratch
+from shelfpulse.llm.common import Scratch, word_bounds
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
 PASSAGE = " ".join(f"p{i}" for i in range(60))
@@ -171,9 +172,10 @@ def test_simhash_links(spark, scratch):
         for _ in range(120):
             prints.add(c ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 4), replace=False)))
     values = np.array(sorted(prints), dtype=np.uint64)
-    rows = [(i, int(v)) for i, v in enumerate(values.view(np.int64))]
-    frame = spark.createDataFrame(rows, "node bigint, print bigint")
+    place = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    frame = spark.createDataFrame([(v,) for v in place], "print bigint")
     edges = simhash_dedup.link(frame, block=32)
+    edges = spark.createDataFrame([(place[r.a], place[r.b]) for r in edges.collect()], "a bigint, b bigint")
     found = {r.node: r.component for r in components.components(edges, scratch).collect()}
     near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
     label = np.arange(len(values))
@@ -194,67 +196,108 @@ def test_simhash_of_awkward_rows(awkward, empty, scratch):
     assert simhash_dedup.near_duplicates(empty, Scratch(empty.sparkSession)).count() == 0
 
 
-def shingles_of(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+def test_simhash_links_through_rows_without_id(spark, scratch):
+    prints = [(1, 0), (None, 15), (2, 255), (3, 4095), (4, 255 << 40), (4, 0)]
+    rows = spark.createDataFrame(prints, "doc_id bigint, print bigint")
+    found = simhash_dedup.classified(scratch.table(rows, "prints"), scratch).collect()
+    assert {(r.doc_id, r.print): r.component_id for r in found} == {
+        (1, 0): 1, (None, 15): 1, (2, 255): 1, (3, 4095): 1, (4, 0): 1, (4, 255 << 40): 4
+    }
 
 
-def near_copy_texts():
-    """Near copies around 0.8, a crowd of them, a passage in many, and short texts."""
-    rng = random.Random(13)
-    vocabulary = [f"w{i}" for i in range(500)]
-    passage = rng.choices(vocabulary, k=60)
-    texts = []
+def test_one_of_each_simhash_group_stays(spark, awkward, empty):
+    left = simhash_dedup.keep_one(awkward, Scratch(spark))
+    assert left.columns == awkward.columns
+    assert sorted((r.doc_id or 0 for r in left.collect())) == [0, 0, 1, 4, 6, 6, 8, 10]  # 7 shares nearly all shingles with 6
+    assert simhash_dedup.keep_one(empty, Scratch(spark)).count() == 0
+    # An id that repeats with another text: only the row that is a copy goes.
+    words = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
+    docs = spark.createDataFrame([(1, words[0]), (2, words[0]), (2, words[1])], "doc_id bigint, text string")
+    assert sorted(simhash_dedup.keep_one(docs, Scratch(spark)).collect()) == [(1, words[0]), (2, words[1])]
 
-    def edited(words, n):
-        words = list(words)
-        for i in rng.sample(range(len(words)), n):
-            words[i] = rng.choice(vocabulary)
-        return words
-
-    for _ in range(40):
-        own = rng.choices(vocabulary, k=rng.randint(30, 300))
-        texts += [own, edited(own, max(1, len(own) // 50)), edited(own, max(1, len(own) // 40)), own[: rng.randint(20, 30)]]
-    crowd = rng.choices(vocabulary, k=200)
-    texts += [edited(crowd, rng.randint(0, 5)) for _ in range(90)]
-    texts += [rng.choices(vocabulary, k=20) + passage + rng.choices(vocabulary, k=20) for _ in range(50)]
-    texts += [["one"], ["One"], ["one", "two"], [], []]
-    texts = [" ".join(t) for t in texts]
-    rng.shuffle(texts)
-    return texts
-
-
-def test_near_copies_equal_brute_force(spark, scratch):
-    from corpus_pipeline import one_of_each_group
-    from tests.llm.test_contract import smallest_reachable
-
-    texts = near_copy_texts()
-    sets = [shingles_of(t) for t in texts]
-    edges, partly = [], 0
-    for a, b in itertools.combinations(range(len(texts)), 2):
-        shared, both = len(sets[a] & sets[b]), len(sets[a] | sets[b])
-        if both and 5 * shared >= 4 * both:
-            edges.append((a, b))
-            partly += shared < both
-    assert partly > 100
-    component = smallest_reachable(range(len(texts)), edges)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = near_copies.near_copies(docs, scratch, block=32).collect()
-    assert {r.doc_id: r.component_id for r in found if r.print} == {d: component[d] for d in component if sets[d]}
-    left = {r.doc_id for r in one_of_each_group(spark, docs, "").collect()}
-    assert left == {d for d in component if component[d] == d}
 
+PRIVATE = ("_text_key", "_drop", "_repeats", "_statistics", "n_lines", "N_DROPPED", "print", "score", "a.b", "text_key")
 
-def test_near_copies_of_awkward_rows(spark, awkward, empty):
-    from corpus_pipeline import one_of_each_group
 
-    left = [r.doc_id for r in one_of_each_group(spark, awkward, "").collect()]
-    assert sorted(left, key=lambda d: d or 0) == [None, None, 1, 2, 3, 4, 6, 6, 8, 10]
-    assert one_of_each_group(spark, empty, "").count() == 0
-    # An id that repeats with another text: only the row that is a copy goes.
-    words = [" ".join(f"{c}{i}" for i in range(20)) for c in "ab"]
-    docs = spark.createDataFrame([(1, words[0]), (2, words[0]), (2, words[1])], "doc_id bigint, text string")
-    assert sorted(one_of_each_group(spark, docs, "").collect()) == [(1, words[0]), (2, words[1])]
+def test_stages_keep_clashing_columns(spark):
+    from corpus_pipeline import STAGES
+
+    rng = random.Random(5)
+    texts = [f"{' '.join(own_lines(rng, d))}\n{FOOTER}\n{PASSAGE}" for d in range(12)]
+    rows = [(d, t, *(f"{n}{d}" for n in PRIVATE)) for d, t in enumerate([*texts, texts[0]])]
+    schema = ", ".join(["doc_id bigint", "text string", *(f"`{n}` string" for n in PRIVATE)])
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(d, 1, 0) for d in range(13)], "doc_id bigint, quality int, toxic int")
+    stages = [(name, stage(spark, docs, "")) for name, stage in STAGES[1:4]]
+    for name, done in [*stages, ("quality classifier", quality.keep_good(docs, labels, Scratch(spark)))]:
+        assert done.columns == docs.columns, name
+        for row in done.collect():
+            assert list(row)[2:] == [f"{n}{row.doc_id}" for n in PRIVATE], name
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_names_of_thue_morse_words_differ(spark, scratch, size):
+    words = [thue_morse(size), thue_morse(size).translate(str.maketrans("ab", "ba"))]
+    head = " ".join(f"w{i}" for i in range(49))
+    texts = [f"{head} {w}" for w in words]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert docs.count() == substring_dedup.remove_repeats(docs, scratch).filter("n_removed = 0").count()
+    data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
+    assert len(set(naming.word_names(data, starts, ends).tolist())) == 2
+    assert quality.measure(data, np.array([0, len(data)]))[0][quality.STATISTICS.index("distinct")] == 1.0
+    # Runs of single letters in the same order, as words, are told apart as well.
+    spelled = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], docs.schema)
+    want = repeats([(i, " ".join(w)) for i, w in enumerate(words)], str.split, 50)
+    found = by_id(substring_dedup.remove_repeats(spelled, Scratch(spark)))
+    assert [found[i].n_removed for i in range(2)] == [len(want[i][1]) for i in range(2)]
+    model = language_model.train(docs, Scratch(spark))
+    assert model.words == 52
+
+
+def test_word_names():
+    rng = np.random.default_rng(3)
+    words = {rng.integers(33, 36, n).astype(np.uint8).tobytes() for n in rng.integers(1, 90, 4000)}
+    words |= {w + b"!" for w in words} | {b"", b"\0", b"\0\0"}
+    words = sorted(words)
+    data = np.frombuffer(b"".join(words) * 2, dtype=np.uint8)
+    ends = np.cumsum([len(w) for w in words] * 2)
+    starts = ends - [len(w) for w in words] * 2
+    names = naming.word_names(data, starts, ends)
+    assert (names[: len(words)] == names[len(words) :]).all()
+    assert len(set(names.tolist())) == len(words)
+
+
+def test_span_names():
+    values = np.random.default_rng(4).integers(0, 3, 300).astype(np.uint64)
+    spans = naming.Spans(values)
+    starts, ends = (x.ravel() for x in np.meshgrid(np.arange(200), np.arange(200)))
+    keep = starts <= ends
+    named = {}
+    for a, b, name in zip(starts[keep], ends[keep], spans.of(starts[keep], ends[keep]).tolist(), strict=True):
+        assert named.setdefault(tuple(values[a:b]), name) == name
+    assert len(set(named.values())) == len(named)
+    for n in (1, 2, 7, 50):
+        at = np.arange(300 - n + 1)
+        assert (spans.all_of(n) == spans.of(at, at + n)).all()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_salted_join_equals_join(spark, scratch, how):
+    rows = [(i % 7 if i < 300 else 0, i) for i in range(6000)] + [(None, -1)]
+    many = spark.createDataFrame(rows, "key bigint, i bigint")
+    few = spark.createDataFrame([(0, "a"), (3, "b"), (9, "c"), (None, "d")], "key bigint, value string")
+    counts = scratch.table(many.groupBy("key").agg(F.count("*").alias("n")), "counts")
+    heavy = skew.heavy_keys(counts, ["key"])
+    assert [r.key for r in heavy.collect()] == [0]
+    found = skew.salted_join(many, few, ["key"], heavy, F.xxhash64("i"), how)
+    plain = many.join(few, ["key"], how)
+    assert found.columns == plain.columns
+    assert sorted(found.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
 def test_vectors(spark, scratch, monkeypatch):
