@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shelfpulse.llm import line_dedup, near_copies, packing, quality, substring_dedup
-from shelfpulse.llm.common import Scratch, plain_text
+from shelfpulse.llm import line_dedup, packing, quality, simhash_dedup, substring_dedup
+from shelfpulse.llm.common import Scratch, set_aside
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-SHINGLE = 5
-
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
@@ -23,23 +20,20 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of templates that recur; none is dropped."""
-    return line_dedup.drop_recurring(docs, Scratch(spark)).select(*docs.columns)
+    own, back = set_aside(docs)
+    return back(line_dedup.drop_recurring(own, Scratch(spark)))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies (similarity of five-word shingles 0.8 or more), the document with the
-    smallest doc_id. Documents without a word are not copies of each other and stay, as do those
-    without an id."""
-    found = near_copies.near_copies(docs, Scratch(spark), shingle=SHINGLE)
-    key = near_copies.TEXT_KEY
-    copies = found.filter("doc_id <> component_id AND print <> 0").select("doc_id", key).distinct()
-    keyed = docs.withColumn(key, F.xxhash64(plain_text("text")))
-    return keyed.join(copies, ["doc_id", key], "left_anti").select(*docs.columns)
+    """Of documents linked by fingerprints of four-word shingles at most 4 bits apart, the one
+    with the smallest doc_id; rows without an id stay."""
+    return simhash_dedup.keep_one(docs, Scratch(spark))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 words that an earlier one has."""
-    return substring_dedup.remove_repeats(docs, Scratch(spark)).select(*docs.columns)
+    own, back = set_aside(docs)
+    return back(substring_dedup.remove_repeats(own, Scratch(spark)))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", good_documents),
     ("line dedup", without_template_lines),
-    ("near-copy dedup", one_of_each_group),
+    ("SimHash near-dedup", one_of_each_group),
     ("substring dedup", without_repeated_passages),
     ("packing", packed),
 ]
