@@ -39,6 +39,7 @@ from shelfpulse.plans import (
     repurchase_list,
 )
 from shelfpulse.plans.publish import publish_placement
+from shelfpulse.plans.rollup import KeptRollup
 from shelfpulse.session import CHECKPOINT_DIR, Staging
 from shelfpulse.sources import Tables
 from shelfpulse.sources.market import on_latest
@@ -311,6 +312,16 @@ def agg_daily_sales(run: Run) -> DataFrame:
     return run.daily
 
 
+@query
+def rollup_kept(run: Run) -> DataFrame:
+    """Daily sales from a rollup that an earlier run, two weeks before, has begun."""
+    kept = KeptRollup(run.spark, f"{run.staging.path}/kept-rollup")
+    for day in (RUN_DATE - timedelta(days=14), RUN_DATE):
+        start = sources.history_start(day, SHOP.history_months)
+        options = kept.update(lambda a, b: sources.sales_lines(run.fx["fx_sales"], a, b), start, day)
+    return sales.daily_sales(sales.keep_categories(options, SHOP.excluded_categories))
+
+
 @query
 def agg_barcode_avg(run: Run) -> DataFrame:
     options = run.staged(run.options, "options")

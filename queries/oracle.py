@@ -642,6 +642,7 @@ SELECT p.product_id, s.day, s.amount FROM (
 JOIN (SELECT DISTINCT product_id, CASE WHEN CAST(barcode AS BIGINT) % 7 <> 0 THEN barcode END AS barcode FROM hist) p
  ON s.barcode IS NOT DISTINCT FROM p.barcode""",
     "agg_daily_sales": "SELECT * FROM all_daily",
+    "rollup_kept": "SELECT * FROM all_daily",
     "agg_barcode_avg": "SELECT * FROM all_barcode_avg",
     "agg_windowed_avg": """
 SELECT product_id, AVG(qty) FILTER (WHERE day BETWEEN t - 7 AND t) AS avg_7,

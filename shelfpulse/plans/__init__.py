@@ -4,11 +4,14 @@ from shelfpulse.plans.lists import (
     repurchase_list,
 )
 from shelfpulse.plans.placement import exclusive_lists, placement_list
-from shelfpulse.plans.publish import publish_growth, publish_ranking, publish_repurchase, run
+from shelfpulse.plans.publish import Published, publish_growth, publish_ranking, publish_repurchase, run
+from shelfpulse.plans.rollup import KeptRollup
 from shelfpulse.plans.signals import Inputs, Signals
 
 __all__ = [
     "Inputs",
+    "KeptRollup",
+    "Published",
     "Signals",
     "exclusive_lists",
     "growth_list",

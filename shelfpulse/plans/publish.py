@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from shelfpulse.operators.prices import display_price, price_columns
 from shelfpulse.plans.placement import ListRun, exclusive_lists, placement_list
 from shelfpulse.plans.signals import Inputs, Signals
 from shelfpulse.session import Staging
+from shelfpulse.sources.ledger import Ledger
 
 # Published column names, in order, each with the engine's column. The prices of
 # the shop's competitors follow the own price.
@@ -180,12 +182,69 @@ def publish_placement(placement: DataFrame) -> DataFrame:
     return placement.select(*[F.col(c).alias(n) for n, c in PLACEMENT_COLUMNS.items()])
 
 
-def write_table(df: DataFrame, target: str, run_date: date) -> None:
-    """Replace one run's partition of a published table; at most a list of rows, one file.
+#: Versions of a week that stay readable: the current one, and the one that readers who began
+#: before it may still read.
+KEPT_VERSIONS = 2
+LEDGER = "_published"
 
-    The partition's folder is named, so that an empty list replaces an earlier one too.
+
+class Published:
+    """The published tables below one folder, each week in versions.
+
+    A version is one folder per table, `<table>/run_date=<day>/version=<name>`. It counts from
+    the moment on that its record is in the week's ledger, and with it all tables change
+    together: whatever fails before, readers find the week as it was.
     """
-    df.coalesce(1).write.mode("overwrite").parquet(f"{target}/run_date={run_date.isoformat()}")
+
+    def __init__(self, spark: SparkSession, target: str):
+        self.spark, self.target = spark, target.rstrip("/")
+
+    def _ledger(self, run_date: str) -> Ledger:
+        return Ledger(self.spark, f"{self.target}/{LEDGER}/run_date={run_date}")
+
+    def _folder(self, name: str, run_date: str, version: str = "") -> str:
+        return f"{self.target}/{name}/run_date={run_date}" + (f"/version={version}" if version else "")
+
+    def write(self, tables: Mapping[str, DataFrame], run_date: date) -> None:
+        """Publish one week; each table is a list of some dozens of rows, so one file."""
+        day, version = run_date.isoformat(), uuid.uuid4().hex
+        for name, df in tables.items():
+            write_table(df, self._folder(name, day, version))
+        ledger = self._ledger(day)
+        ledger.add({"version": version, "tables": list(tables)})
+        self._drop_old(ledger, day)
+
+    def _drop_old(self, ledger: Ledger, day: str) -> None:
+        """Delete what neither of the last versions holds, parts of failed runs too."""
+        kept = [ledger.read(n) for n in ledger.numbers()[:KEPT_VERSIONS]]
+        names = {f"version={record['version']}" for record in kept}
+        for name in {table for record in kept for table in record["tables"]}:
+            folder = self._folder(name, day)
+            for old in set(ledger.folders(folder)) - names:
+                ledger.delete(f"{folder}/{old}")
+
+    def days(self) -> list[str]:
+        """The published weeks."""
+        root = Ledger(self.spark, f"{self.target}/{LEDGER}")
+        return [n.removeprefix("run_date=") for n in root.folders(root.path)]
+
+    def read(self, name: str, run_date: date | None = None) -> DataFrame:
+        """A published table with its column `run_date`, of one week or of all."""
+        days = [run_date.isoformat()] if run_date else self.days()
+        records = {day: self._ledger(day).newest() for day in days}
+        paths = [
+            self._folder(name, day, record["version"])
+            for day, record in records.items()
+            if record and name in record["tables"]
+        ]
+        if not paths:
+            raise ValueError(f"{name} is not published" + (f" for {run_date}" if run_date else ""))
+        found = self.spark.read.option("basePath", f"{self.target}/{name}").parquet(*paths)
+        return found.drop("version").withColumn("run_date", F.to_date("run_date"))
+
+
+def write_table(df: DataFrame, folder: str) -> None:
+    df.coalesce(1).write.mode("errorifexists").parquet(folder)
 
 
 def published_tables(signals: Signals, lists: ListRun) -> dict[str, DataFrame]:
@@ -207,13 +266,13 @@ def run(
 ) -> None:
     """The weekly job: build the lists of `run_date` and write the four tables below `target`.
 
-    All four are built before the first is published, so a failure leaves the week as it was.
+    All four are built before the first is written, and take effect together (see `Published`):
+    a failure at any point leaves the week as it was.
     """
     staging = Staging(spark)
     try:
         signals = Signals(spark, inputs, shop, run_date, staging=staging)
         tables = staging.tables(published_tables(signals, exclusive_lists(signals)))
-        for name, table in tables.items():
-            write_table(table, f"{target}/{name}", run_date)
+        Published(spark, target).write(tables, run_date)
     finally:
         staging.drop()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfpulse import sources
 from shelfpulse.config import ShopConfig
 from shelfpulse.operators import exposure, growth, prices, repurchase, sales, stock
+from shelfpulse.plans.rollup import KeptRollup
 from shelfpulse.session import Staging
 
 
@@ -34,6 +35,8 @@ class Inputs:
     own_prices: DataFrame
     competitor_prices: DataFrame
     crawls: DataFrame
+    #: Option days of all order lines, kept between runs; without it they are aggregated anew.
+    option_days: DataFrame | None = None
 
     @classmethod
     def from_tables(
@@ -42,16 +45,24 @@ class Inputs:
         run_date: date,
         shop: ShopConfig,
         staging: Staging | None = None,
+        kept: KeptRollup | None = None,
     ) -> Inputs:
         """Readers over raw tables. With `staging`, small results that several frames or joins
-        need are written once."""
+        need are written once. With `kept`, the rollup of earlier runs is brought up to date, and
+        only the order lines of new days are aggregated."""
         load, shift = tables.load, shop.clock_shift_hours
         start = sources.history_start(run_date, shop.history_months)
         competitor_prices = sources.competitor_prices(load("competitor_prices"))
         if staging:
             competitor_prices = staging.table(competitor_prices, "competitor_prices")
+
+
+        def lines(since: date, until: date) -> DataFrame:
+            return sources.sales_lines(load("sales", since, until), since, until)
+
         return cls(
-            sales=sources.sales_lines(load("sales", start, run_date), start, run_date),
+            option_days=kept.update(lines, start, run_date) if kept else None,
+            sales=lines(start, run_date),
             stock=sources.EpochHistory(
                 partial(load, "stock"), lambda raw: sources.stock_history(raw, shift), shift
             ),
@@ -137,10 +148,11 @@ class Signals:
 
         A sold-out pinned product is left out here, and thereby of every list.
         """
-        lines = self.lines
+        kept = self.inputs.option_days
+        found = self.lines if kept is None else sales.keep_categories(kept, self.shop.excluded_categories)
         if not self.pinned_in_stock:
-            lines = lines.filter(F.col("product_id") != self.shop.pinned_product)
-        return self.staging.table(sales.option_days(lines), "option_days")
+            found = found.filter(F.col("product_id") != self.shop.pinned_product)
+        return self.staging.table(sales.option_days(found) if kept is None else found, "option_days")
 
     @cached_property
     def _blocked(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -14,7 +14,19 @@ import shelfpulse
 from queries.catalog import REPURCHASE_OPTIONS, Run
 from queries.views import RUN_DATE, SHOP, Fixtures, raw_frames
 from shelfpulse.config import GROWTH_ZONE, ShopConfig
-from shelfpulse.plans import Inputs, Signals, exclusive_lists, growth_list, placement_list, run
+from shelfpulse.functions import within
+from shelfpulse.operators.sales import option_days
+from shelfpulse.plans import (
+    Inputs,
+    KeptRollup,
+    Published,
+    Signals,
+    exclusive_lists,
+    growth_list,
+    placement_list,
+    publish,
+    run,
+)
 from shelfpulse.plans.placement import ListRun
 from shelfpulse.plans.publish import (
     GROWTH_COLUMNS,
@@ -22,10 +34,12 @@ from shelfpulse.plans.publish import (
     RANKING_COLUMNS,
     REPURCHASE_COLUMNS,
     with_competitors,
+    write_table,
 )
 from shelfpulse.plans.signals import side_by_side
 from shelfpulse.session import Staging
 from shelfpulse.sources import DayHistory, EpochHistory, Tables, crawl_status, stock_history
+from shelfpulse.sources.ledger import Ledger
 from shelfpulse.sources.schemas import SCHEMAS
 
 LIBRARY = Path(shelfpulse.__file__).parent
@@ -65,19 +79,145 @@ def test_weekly_job_writes_four_tables(raw_tables, spark, tmp_path):
     expected = {n: with_competitors(c, SHOP.competitors) for n, c in expected.items()}
     assert [len(c) for c in expected.values()] == [4, 51, 36, 27]
     for name, columns in expected.items():
-        written = spark.read.parquet(f"{target}/{name}")
+        written = Published(spark, target).read(name)
         assert written.columns == [*columns, "run_date"]
         if name == "repurchase":  # the usual thresholds leave none on the test tables
             assert written.isEmpty()
         else:
             days = {r.run_date for r in written.select("run_date").distinct().collect()}
             assert days == {RUN_DATE, RUN_DATE - timedelta(days=7)}
-    ranking = spark.read.parquet(f"{target}/ranking").filter(F.col("run_date") == RUN_DATE)
-    ranks = sorted(r.RANK_NUM for r in ranking.collect())
+    ranks = sorted(r.RANK_NUM for r in Published(spark, target).read("ranking", RUN_DATE).collect())
     assert ranks == list(range(1, len(ranks) + 1))
     assert set(folders.glob("shelfpulse-*")) <= before, "runs clean up"
 
 
+def test_a_failed_week_stays_as_it_was(spark, tmp_path, monkeypatch):
+    published = Published(spark, str(tmp_path))
+    names = ["placement", "ranking", "repurchase", "growth"]
+
+    def week(value):
+        return {n: spark.createDataFrame([(n, value)], "name string, value int") for n in names}
+
+    def seen():
+        return {n: [tuple(r) for r in published.read(n, RUN_DATE).collect()] for n in names}
+
+    def versions():
+        return [len(list(tmp_path.glob(f"{n}/run_date=*/version=*"))) for n in names]
+
+    published.write(week(1), RUN_DATE)
+    published.write({n: df.limit(0) for n, df in week(0).items()}, RUN_DATE - timedelta(days=7))
+    old = seen()
+    assert old == {n: [(n, 1, RUN_DATE)] for n in names}
+    written = []
+
+    def third_fails(df, folder):
+        written.append(folder)
+        if len(written) == 3:
+            raise OSError("lost")
+        write_table(df, folder)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "write_table", third_fails)
+        with pytest.raises(OSError):
+            published.write(week(2), RUN_DATE)
+    assert len(written) == 3 and seen() == old and versions() == [3, 3, 2, 2]
+    with monkeypatch.context() as patch:  # all written, but not entered
+        patch.setattr(publish.Ledger, "add", lambda self, record: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            published.write(week(2), RUN_DATE)
+    assert seen() == old
+    published.write(week(3), RUN_DATE)
+    assert seen() == {n: [(n, 3, RUN_DATE)] for n in names}
+    assert versions() == [3] * 4, "the current and the last version of one week, one of the other"
+    assert published.days() == sorted(d.isoformat() for d in (RUN_DATE, RUN_DATE - timedelta(days=7)))
+    assert published.read("growth").count() == 1
+    with pytest.raises(ValueError):
+        published.read("growth", RUN_DATE + timedelta(days=7))
+
+
+def test_a_record_is_never_replaced(spark, tmp_path):
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    assert ledger.newest() is None
+    assert [ledger.add({"n": i}) for i in range(3)] == [1, 2, 3]
+    ledger.numbers = lambda: [2]  # another run took number 3 meanwhile
+    with pytest.raises(Exception, match="exist"):
+        ledger.add({"n": 9})
+    assert Ledger(spark, ledger.path).newest() == {"n": 2}
+
+
+SOLD = "product_id long, barcode string, variant_name string, product_name string, category_m string, category_s string, purchased_at timestamp, product_qty double"
+
+
+def sold(spark, days):
+    """One line per product and number of the day, some of them at midnight."""
+    rows = [
+        (p, f"b{p}", None, f"n{p}", "c", None, datetime(2024, 1, 1) + timedelta(days=d, hours=7 * (p % 3)), q)
+        for p, d, q in days
+    ]
+    return spark.createDataFrame(rows, SOLD)
+
+
+def test_kept_rollup_reads_new_days_only(spark, tmp_path):
+    first_day, lines = date(2024, 1, 1), sold(spark, [(p, d, float(d)) for p in range(5) for d in range(60)])
+    asked = []
+
+    def between(table):
+        def load(since, until):
+            asked.append(((since - first_day).days, (until - first_day).days))
+            return table.filter(within(F.col("purchased_at"), since, until))
+
+        return load
+
+    def whole(table, start, end):
+        return rows_of(option_days(between(table)(start, end)))
+
+    def at(n):
+        return first_day + timedelta(days=n)
+
+    kept = KeptRollup(spark, str(tmp_path / "rollup"))
+    assert rows_of(kept.update(between(lines), at(0), at(30))) == whole(lines, at(0), at(30))
+    # A week later: the new days, the last seven and the running one are read; late lines count.
+    late = lines.unionByName(sold(spark, [(1, 25, 100.0), (9, 26, 1.0)]))
+    asked.clear()
+    found = kept.update(between(late), at(4), at(37))
+    assert asked == [(23, 37), (37, 37)]
+    assert rows_of(found) == whole(late, at(4), at(37))
+    folders = set(re.findall(r"batch=\w+/day=([-\d]+)", " ".join(kept.read(at(23), at(36)).inputFiles())))
+    assert folders == {at(n).isoformat() for n in range(23, 37)}, "days of replaced batches are not opened"
+    # The same week again, an earlier one, one after a long pause, and one that begins earlier.
+    for start, end in ((4, 37), (2, 31), (20, 60), (0, 60), (58, 60)):
+        again = KeptRollup(spark, str(tmp_path / "rollup")).update(between(late), at(start), at(end))
+        assert rows_of(again) == whole(late, at(start), at(end)), (start, end)
+    empty = KeptRollup(spark, str(tmp_path / "none"))
+    assert empty.update(between(lines.limit(0)), at(0), at(9)).isEmpty()
+
+
+def test_kept_rollup_survives_a_failed_run(spark, tmp_path, monkeypatch):
+    lines = sold(spark, [(p, d, 1.0) for p in range(3) for d in range(20)])
+    load = lambda a, b: lines.filter(within(F.col("purchased_at"), a, b))
+    kept = KeptRollup(spark, str(tmp_path))
+    start, end = date(2024, 1, 1), date(2024, 1, 11)
+    before = rows_of(kept.update(load, start, end))
+    with monkeypatch.context() as patch:
+        patch.setattr(kept.ledger, "add", lambda record: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            kept.update(load, start, end + timedelta(days=7))
+    assert rows_of(kept.update(load, start, end)) == before
+
+
+def test_lists_from_a_kept_rollup(raw_tables, spark, tmp_path):
+    kept = KeptRollup(spark, str(tmp_path / "rollup"))
+    tables = Tables(spark, root=raw_tables)
+    Inputs.from_tables(tables, RUN_DATE - timedelta(days=7), SHOP, kept=kept)
+    found = []
+    for rollup in (None, kept):
+        staging = Staging(spark)
+        signals = Signals(spark, Inputs.from_tables(tables, RUN_DATE, SHOP, kept=rollup), SHOP, RUN_DATE, staging=staging)
+        found.append(rows_of(signals.options))
+        staging.drop()
+    assert found[0] == found[1]
+
+
 def pushed(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return " ".join(re.findall(r"PushedFilters: \[(.*?)\]", plan))
