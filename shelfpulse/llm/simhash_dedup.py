@@ -174,6 +174,9 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
         entries.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > block)
         .select("cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     )
+    # A cell that does not exist: the plan is the same with and without crowded cells.
+    none = prints.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("cell"), F.lit(1).alias("blocks"))
+    crowded = crowded.unionByName(none)
     own = F.pmod(F.xxhash64("print"), F.coalesce("blocks", F.lit(1))).cast("int")
     others = F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)
     dealt = (

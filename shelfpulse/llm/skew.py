@@ -12,29 +12,29 @@ LEAST = 2048
 #: Tasks over which the rows of a heavy key are dealt.
 SALTS = 64
 
-_HEAVY, _SALT = "_heavy_key", "_salt"
+_SALT = "_salt"
 
 
-def heavy_keys(counts: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Keys that hold at least one in `SHARE` of all rows, so at most `SHARE` of them, or None.
+def heavy_keys(counts: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the keys that hold at least one in `SHARE` of all rows: at most `SHARE` numbers.
 
     counts: a written table of the keys and `n`, their number of rows."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    heavy = counts.filter(F.col("n") >= max(LEAST, -(-total // SHARE))).select(*keys)
-    return None if heavy.isEmpty() else heavy
+    heavy = counts.filter(F.col("n") >= max(LEAST, -(-total // SHARE)))
+    return [row.hash for row in heavy.select(F.xxhash64(*keys).alias("hash")).collect()]
 
 
 def salted_join(
-    many: DataFrame, few: DataFrame, keys: list[str], heavy: DataFrame | None, deal: Column, how: str = "inner"
+    many: DataFrame, few: DataFrame, keys: list[str], heavy: list[int], deal: Column, how: str = "inner"
 ) -> DataFrame:
     """`many` joined with `few` on `keys`, where `many` may hold a large share of its rows under
-    the keys in `heavy`: those rows are dealt over `SALTS` copies of the key by `deal`, a hash
-    of the row. how: inner, left or left_semi. Null keys match nothing."""
-    if heavy is None:
-        return many.join(few, keys, how)
-    marked = F.broadcast(heavy.withColumn(_HEAVY, F.lit(True)))  # `SHARE` rows at most
-    salt = F.when(F.col(_HEAVY), F.pmod(deal, F.lit(SALTS)).cast("int")).otherwise(0)
-    dealt = many.join(marked, keys, "left").withColumn(_SALT, salt).drop(_HEAVY)
-    every = F.when(F.col(_HEAVY), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = few.join(marked, keys, "left").withColumn(_SALT, F.explode(every)).drop(_HEAVY)
-    return dealt.join(copied, [*keys, _SALT], how).drop(_SALT)
+    the keys with a hash in `heavy`: those rows are dealt over `SALTS` copies of the key by
+    `deal`, a hash of the row. how: inner, left or left_semi. Null keys match nothing.
+
+    Both sides tell heavy keys by the same hash, so a key that is taken for heavy by chance is
+    joined as right as any. The plan is the same whether there are heavy keys or not."""
+    is_heavy = F.xxhash64(*keys).isin(heavy or [0])
+    salt = F.when(is_heavy, F.pmod(deal, F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = few.withColumn(_SALT, F.explode(every))
+    return many.withColumn(_SALT, salt).join(copied, [*keys, _SALT], how).drop(_SALT)
