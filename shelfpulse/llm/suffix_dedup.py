@@ -1,20 +1,17 @@
-"""Removal of long byte strings that an earlier document holds, by bucket-pointer refinement.
-
-A suffix is kept in a bucket with all suffixes that share its first bytes, and the bucket's
-identifier names those bytes. Identifiers of depth 2d come from the identifiers of depth d at
-the suffix and d bytes later; each level reuses the one before (1, 2, 4, ... 32, then 50 from two
-overlapping ones of 32). Because an identifier is a 64-bit name of its bytes, not a rank, a task
-refines the suffixes of its own texts alone and all tasks agree on the result; only buckets that
-are still shared have to meet in Spark:
-
-1. initial buckets of depth q, of one suffix per run of windows (a suffix array over all bytes
-   would move ten times the text; the chosen suffixes are a tenth of them and every 50-byte
-   window contains one). Buckets of one document are finished;
-2. shared buckets are refined by identifiers of later offsets over the whole reach of the run;
-3. suffixes still undecided are refined to depth 50 at every offset of their windows.
-
-Buckets are sorted on (initial bucket, refined bucket), so two different strings are taken for
-one only if both 64-bit names agree.
+"""Removal of long byte strings that an earlier document holds, by names of winnowed suffixes.
+
+One suffix per run of windows is kept, chosen by content, so that every window contains one and
+equal windows contain the same one. Byte strings have 64-bit names: names of depth 2d are paired
+from those of depth d at the suffix and d bytes later, and each level reuses the one before (8, 16,
+24, 32, then 50 from two overlapping ones of 32). A name is no rank, so a task names the suffixes
+of its own texts alone and all tasks agree; only strings that are still shared meet in Spark:
+
+1. names of depth 24 at the chosen suffixes. Those of one document are finished;
+2. shared ones are compared by the names of the whole reach of their run;
+3. what is left open is compared by the names of depth 50 of every window.
+
+Two different strings are taken for one only if both names, that of the suffix and that of the
+longer string, agree.
 """
 
 from __future__ import annotations
