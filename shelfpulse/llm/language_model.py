@@ -8,11 +8,14 @@ of text, so a bucket has a bounded size whatever the words are.
 Storage. Each bucket becomes sorted arrays in the shared folder:
 words (64-bit name, count), continuations (name, number of distinct words before it), contexts
 (name, tokens after it, numbers of successors seen once, twice, more often) and pairs (name,
-count). Buckets hold rising ranges of names. A finished array is moved into place as a whole,
-so a repeated task leaves the same files.
-
-Scoring. Workers memory-map the arrays, which the page cache of a machine shares between them,
-and look sorted names up by bisection. `score_held_out` stores every pair. A caller of `train`
+count). Buckets hold rising ranges of names, so that neighbours can be appended: when all are
+there, their arrays are joined to about as many files as the square root of their number. An
+array is moved into place as a whole, so a repeated task leaves the same files.
+
+Scoring. Workers memory-map the files, which the page cache of a machine shares between them,
+and look sorted names up by bisection. A map holds no file handle (from Python 3.13 on), and a
+worker has eleven for every file range: 700 with 30 GB of text, 39,000 with 100 TB. The shared
+folder has to be mounted on the workers. `score_held_out` stores every pair. A caller of `train`
 may store only pairs seen `min_pair` times: the others are counted everywhere, and their
 probability goes to the lower order, so all sum to one.
 
@@ -22,12 +25,13 @@ Names of words are 64 bits, those within the pair model 40 bits (leading ones).
 from __future__ import annotations
 
 import io
-import os
-import tempfile
+import mmap
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
-from functools import cache
+from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -67,41 +71,93 @@ def save_array(folder: str, name: str, array: np.ndarray) -> None:
         system.delete_file(part)
 
 
-@cache
+def _header(stream) -> tuple[np.dtype, int]:
+    """Type and length of a stored array; the stream is left at its first value."""
+    np.lib.format.read_magic(stream)
+    (length,), _, kind = np.lib.format.read_array_header_1_0(stream)
+    return kind, length
+
+
+def join_arrays(folder: str, sources: list[str], name: str) -> None:
+    """Append the stored arrays `sources`, those that there are, under `name`, one at a time,
+    and delete them. A repeated or second attempt finds the result and is content with it."""
+    system, root = fs.FileSystem.from_uri(folder)
+    path, part = f"{root}/{name}.npy", f"{root}/{name}-{uuid.uuid4().hex}.part"
+    paths = [f"{root}/{source}.npy" for source in sources]
+    paths = [i.path for i in system.get_file_info(paths) if i.type == fs.FileType.File]
+    if paths and system.get_file_info(path).type == fs.FileType.NotFound:
+        heads = []
+        for source in paths:
+            with system.open_input_stream(source) as stream:
+                heads.append(_header(stream))
+        kind = np.result_type(*(k for k, _ in heads))
+        head = {"descr": kind.str, "fortran_order": False, "shape": (sum(n for _, n in heads),)}
+        with system.open_output_stream(part) as out:
+            np.lib.format.write_array_header_1_0(out, head)
+            for source in paths:
+                with system.open_input_stream(source) as stream:
+                    own, _ = _header(stream)
+                    out.write(np.frombuffer(stream.read(), dtype=own).astype(kind).tobytes())
+        system.move(part, path)
+    for source in paths:
+        if system.get_file_info(source).type == fs.FileType.File:
+            system.delete_file(source)
+
+
+#: Maps that a worker keeps, below the usual limit of 65,530 per process.
+MAPS = 48_000
+
+
+@lru_cache(MAPS)
 def _mapped(folder: str, name: str) -> np.ndarray:
-    """The array, mapped from the shared folder where that is mounted, else from one copy."""
+    """The array, mapped from the shared folder without keeping a file handle."""
     system, root = fs.FileSystem.from_uri(folder)
+    if not isinstance(system, fs.LocalFileSystem):
+        raise ValueError(f"{folder} is not mounted on the workers, which map the model's files")
     path = f"{root}/{name}.npy"
-    if system.get_file_info(path).type == fs.FileType.NotFound:  # no name fell into this bucket
+    if system.get_file_info(path).type == fs.FileType.NotFound:  # no name fell into this range
         return np.zeros(0, dtype=np.uint64)
-    if not isinstance(system, fs.LocalFileSystem):
-        handle, local = tempfile.mkstemp(suffix=".npy")
-        os.close(handle)
-        fs.copy_files(path, local, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
-        path = local
-    return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
+    with open(path, "rb") as stream:
+        kind, length = _header(stream)
+        if not length:
+            return np.zeros(0, dtype=kind)
+        handles = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+        data = mmap.mmap(stream.fileno(), 0, access=mmap.ACCESS_READ, **handles)
+        return np.frombuffer(data, dtype=kind, count=length, offset=stream.tell())
 
 
 class Table:
-    """One sorted table of names over all its buckets, with its value columns."""
+    """One sorted table of names over all its files, with its value columns."""
 
     def __init__(self, folder: str, kind: str, columns: int, buckets: int):
         self.folder, self.kind, self.columns, self.buckets = folder, kind, columns, buckets
+        self.files = isqrt(buckets)
+
+    def parts(self) -> list[str]:
+        return ["names", *map(str, range(self.columns))]
+
+    def join_file(self, file: int) -> None:
+        """Append the arrays of the buckets that belong to a file."""
+        first, end = (-(-f * self.buckets // self.files) for f in (file, file + 1))
+        for part in self.parts():
+            sources = [f"{self.kind}-{b:06d}-{part}" for b in range(first, end)]
+            join_arrays(self.folder, sources, f"{self.kind}-file-{file:06d}-{part}")
 
     def find(self, names: np.ndarray, bits: int) -> list[np.ndarray]:
         """The values of sorted names; absent names have zeros."""
         found = [np.zeros(len(names), dtype=np.int64) for _ in range(self.columns)]
-        limits = np.searchsorted(bucket_of(names, self.buckets, bits), np.arange(self.buckets + 1))
-        for b in np.flatnonzero(np.diff(limits)):
-            keys = _mapped(self.folder, f"{self.kind}-{b:06d}-names")
+        file = bucket_of(names, self.buckets, bits) * np.uint64(self.files) // np.uint64(self.buckets)
+        limits = np.searchsorted(file, np.arange(self.files + 1))
+        for f in np.flatnonzero(np.diff(limits)):
+            keys = _mapped(self.folder, f"{self.kind}-file-{f:06d}-names")
             if not len(keys):
                 continue
-            part = names[limits[b] : limits[b + 1]]
+            part = names[limits[f] : limits[f + 1]]
             at = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
             hit = np.flatnonzero(keys[at] == part)
             for i in range(self.columns):
-                values = _mapped(self.folder, f"{self.kind}-{b:06d}-{i}")
-                found[i][limits[b] + hit] = values[at[hit]]
+                values = _mapped(self.folder, f"{self.kind}-file-{f:06d}-{i}")
+                found[i][limits[f] + hit] = values[at[hit]]
         return found
 
 
@@ -220,6 +276,22 @@ def _count_pairs(buckets: int):
     return run
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """In four bytes where they suffice, as nearly always."""
+    return counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64)
+
+
+def _gather_sums(table: pa.Table) -> list[np.ndarray]:
+    """Names, and their counts of four or eight bytes."""
+    columns = []
+    for names, *values in table.column("parts").to_pylist():
+        names = np.frombuffer(names, dtype=np.uint64)
+        short = [len(v) == 4 * len(names) for v in values]
+        counts = [np.frombuffer(v, np.uint32 if s else np.int64) for v, s in zip(values, short, strict=True)]
+        columns.append([names, *(c.astype(np.int64) for c in counts)])
+    return [np.concatenate(c) for c in zip(*columns, strict=True)]
+
+
 def _gather(table: pa.Table, types: tuple) -> list[np.ndarray]:
     rows = table.column("parts").to_pylist()
     return [
@@ -244,16 +316,15 @@ def _bucket(table: pa.Table) -> int:
     return table.column("bucket")[0].as_py()
 
 
-def _store_sums(folder: str, kind: str, columns: int):
+def _store_sums(folder: str, kind: str):
     """Adds up the arrays of one bucket and stores them."""
 
     def run(table: pa.Table) -> pa.Table:
         b = _bucket(table)
-        keys, *values = _gather(table, (np.uint64, *[np.uint32] * columns))
-        keys, *values = _summed(keys, *(v.astype(np.int64) for v in values))
+        keys, *values = _summed(*_gather_sums(table))
         save_array(folder, f"{kind}-{b:06d}-names", keys)
         for i, v in enumerate(values):
-            save_array(folder, f"{kind}-{b:06d}-{i}", v.astype(np.uint32 if v.max() < 1 << 32 else np.int64))
+            save_array(folder, f"{kind}-{b:06d}-{i}", _narrow(v))
         return _stats_table(kind, _counts_of_counts(values[0]))
 
     return run
@@ -279,7 +350,7 @@ def _store_pairs(folder: str, buckets: int, min_pair: int):
         counts = np.add.reduceat(counts, new)
         often = counts >= min_pair
         save_array(folder, f"pairs-{b:06d}-names", keys[often])
-        save_array(folder, f"pairs-{b:06d}-0", counts[often].astype(np.uint32))
+        save_array(folder, f"pairs-{b:06d}-0", _narrow(counts[often]))
         once, twice = (counts == 1).astype(np.int64), (counts == 2).astype(np.int64)
         rows = list(_send_sums("contexts", buckets, context, counts, once, twice, 1 - once - twice))
         rows += _send_sums("continuations", buckets, word, np.ones(len(word), dtype=np.int64))
@@ -297,7 +368,7 @@ def _store_pairs(folder: str, buckets: int, min_pair: int):
 
 def _send_sums(kind: str, buckets: int, keys: np.ndarray, *values: np.ndarray) -> Iterator:
     keys, *values = _summed(keys, *values)
-    yield from _send(kind, buckets, 40, keys, keys, *(v.astype(np.uint32) for v in values))
+    yield from _send(kind, buckets, 40, keys, keys, *map(_narrow, values))
 
 
 # --- the model -------------------------------------------------------------------------
@@ -327,8 +398,23 @@ class Model:
     min_pair: int
 
     def tables(self) -> tuple[Table, Table, Table, Table]:
-        kinds = (("words", 1), ("continuations", 1), ("contexts", 4), ("pairs", 1))
-        return tuple(Table(self.folder, kind, n, self.buckets) for kind, n in kinds)
+        return stored_tables(self.folder, self.buckets)
+
+
+def stored_tables(folder: str, buckets: int) -> tuple[Table, Table, Table, Table]:
+    kinds = (("words", 1), ("continuations", 1), ("contexts", 4), ("pairs", 1))
+    return tuple(Table(folder, kind, n, buckets) for kind, n in kinds)
+
+
+def _join_files(folder: str, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = stored_tables(folder, buckets)
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                tables[i % len(tables)].join_file(i // len(tables))
+            yield batch
+
+    return run
 
 
 def train(docs: DataFrame, scratch: Scratch, min_pair: int = MIN_PAIR) -> Model:
@@ -339,18 +425,18 @@ def train(docs: DataFrame, scratch: Scratch, min_pair: int = MIN_PAIR) -> Model:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, -(-size // BUCKET_BYTES))
 
-    def stored(sent: DataFrame, kind: str, columns: int) -> DataFrame:
+    def stored(sent: DataFrame, kind: str) -> DataFrame:
         return (
             sent.filter(F.col("kind") == kind).groupBy("bucket")
-            .applyInArrow(_store_sums(folder, kind, columns), _STATS)
+            .applyInArrow(_store_sums(folder, kind), _STATS)
         )
 
-    words = stored(texts.mapInArrow(_count_words(buckets), _SENT), "words", 1)
+    words = stored(texts.mapInArrow(_count_words(buckets), _SENT), "words")
     words = scratch.table(words, "words")
     pairs = texts.mapInArrow(_count_pairs(buckets), _SENT).groupBy("bucket")
     pairs = scratch.table(pairs.applyInArrow(_store_pairs(folder, buckets, min_pair), _SENT), "pairs")
-    contexts = stored(pairs, "contexts", 4)
-    continuations = stored(pairs, "continuations", 1)
+    contexts = stored(pairs, "contexts")
+    continuations = stored(pairs, "continuations")
     # Six numbers per bucket and kind, added up to one row before the driver sees them.
     stats = scratch.table(words.unionByName(contexts).unionByName(continuations), "stats")
     sums = stats.agg(
@@ -368,6 +454,11 @@ def train(docs: DataFrame, scratch: Scratch, min_pair: int = MIN_PAIR) -> Model:
         *(F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(6))
     ).first()
     pair_counts = [x or 0 for x in sums][2:]
+    scratch.discard(words, pairs, stats)
+    # One task per file; neighbouring buckets are read one at a time.
+    files = isqrt(buckets) * 4
+    each = texts.sparkSession.range(0, files, 1, files)
+    each.mapInArrow(_join_files(folder, buckets), "id bigint").write.format("noop").mode("overwrite").save()
     word_d = discounts(*counted)
     pair_d = discounts(*pair_counts)
     ones, twos = counted[:2]

@@ -5,10 +5,12 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import resource
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -413,7 +415,7 @@ def test_model_equals_formula(spark, scratch):
     rng = random.Random(7)
     texts = [" ".join(rng.choices("aBcdefgh", range(1, 9), k=rng.randint(0, 25))) for _ in range(50)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    model = language_model.train(docs, scratch)
+    model = language_model.train(docs, scratch, min_pair=2)  # what kneser_ney computes
     rows = [(1, False, "a b h new c"), (2, True, ""), (3, False, None), (None, None, "a")]
     frame = spark.createDataFrame(rows, "doc_id bigint, held_out boolean, text string")
     got = {r.doc_id: r for r in language_model.score(frame, model).collect()}
@@ -463,6 +465,53 @@ def test_scores_equal_full_formula(spark, scratch, repeated):
         assert got[d].held_out == (d in held) and got[d].score == pytest.approx(want)
 
 
+def test_files_of_many_buckets_need_few_handles(tmp_path):
+    buckets = 5000
+    (table,) = (t for t in language_model.stored_tables(str(tmp_path), buckets) if t.kind == "contexts")
+    names = np.unique(np.random.default_rng(5).integers(0, 1 << 40, 20_000, dtype=np.uint64))
+    values = [(names % np.uint64(k)).astype(np.int64) + 1 for k in (3, 5, 7, 11)]
+    values[2][77] = 1 << 40  # a count that four bytes cannot hold
+    limits = np.searchsorted(language_model.bucket_of(names, buckets, 40), np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(limits)):
+        cut = slice(limits[b], limits[b + 1])
+        for part, v in zip(table.parts(), (names, *map(language_model._narrow, (v[cut] for v in values)))):
+            language_model.save_array(str(tmp_path), f"contexts-{b:06d}-{part}", v[cut] if part == "names" else v)
+    for f in range(table.files):
+        table.join_file(f)
+    before = {p.name: p.read_bytes() for p in tmp_path.iterdir()}
+    assert len(before) == 5 * table.files <= 5 * math.sqrt(buckets)
+    table.join_file(3)  # a second attempt
+    assert before == {p.name: p.read_bytes() for p in tmp_path.iterdir()}
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, hard))
+    try:
+        asked = np.unique(np.concatenate((names, names + np.uint64(1))))
+        found = table.find(asked, 40)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    known = np.isin(asked, names)
+    for got, want in zip(found, values, strict=True):
+        assert (got[known] == want).all() and (got[~known] == 0).all()
+
+
+def test_model_of_many_files_scores_as_one_of_few(spark, scratch, monkeypatch):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(60)) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    few = {r.doc_id: r.score for r in language_model.score_held_out(docs, scratch).collect()}
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", 600)
+    many = {r.doc_id: r.score for r in language_model.score_held_out(docs, scratch).collect()}
+    assert few.keys() == many.keys() and all(many[d] == pytest.approx(few[d]) for d in few)
+
+
+def test_large_counts_keep_their_value(tmp_path):
+    keys = np.array([3, 1 << 39], dtype=np.uint64)
+    sent = [list(language_model._send_sums("words", 1, keys, np.array([n, 2]))) for n in (1 << 32, 5)]
+    batches = [language_model._sent_batch(rows) for rows in sent]
+    language_model._store_sums(str(tmp_path), "words")(pa.Table.from_batches(batches))
+    assert np.load(tmp_path / "words-000000-0.npy").tolist() == [(1 << 32) + 5, 4]
+
+
 def test_model_of_awkward_rows(awkward, empty, scratch):
     assert language_model.score_held_out(awkward, scratch).count() == awkward.count()
     assert language_model.score_held_out(empty, scratch).count() == 0
