@@ -6,7 +6,8 @@ import atexit
 from collections.abc import Callable
 from contextlib import suppress
 from dataclasses import replace
-from datetime import timedelta
+from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from shelfpulse.plans import (
     Signals,
     exclusive_lists,
     growth_list,
+    kept_crawls,
+    kept_stock,
     placement_list,
     publish_growth,
     publish_ranking,
@@ -50,6 +53,9 @@ QUERIES: dict[str, Query] = {}
 # Products of the test tables in these states; a test checks that they are.
 PIN_APPLIES, PIN_SOLD_OUT = 10, 22
 
+# Before all histories, and a day in the middle of the crawl results.
+EARLY, CRAWLS_SEEN = date(1900, 1, 1), date(1997, 1, 1)
+
 # The test tables have few repurchases within 90 days.
 REPURCHASE_OPTIONS = {"min_repurchase": 3, "min_repurchase_user": 2}
 
@@ -206,6 +212,17 @@ def latest_crawl_status(run: Run) -> DataFrame:
     return run.crawls
 
 
+@query
+def crawl_kept(run: Run) -> DataFrame:
+    """Newest crawl results from a table that an earlier run, which saw a part, has begun."""
+    kept = kept_crawls(run.spark, f"{run.staging.path}/kept-crawls")
+    history = sources.DayHistory(run.fx["fx_crawl"], "update_date")
+    for seen in (CRAWLS_SEEN, RUN_DATE):
+        part = sources.DayHistory(history.between(EARLY, seen), "update_date")
+        newest = kept.update(part, seen)
+    return sources.with_prices(newest, run.competitor_prices)
+
+
 @query
 def own_price(run: Run) -> DataFrame:
     return sources.own_prices(run.fx["fx_item"], run.fx["fx_item_price"])
@@ -399,6 +416,16 @@ def win_latest_stock(run: Run) -> DataFrame:
     return stock.latest_stock(run.stock)
 
 
+@query
+def stock_kept(run: Run) -> DataFrame:
+    """Newest amounts from a table that an earlier run, two weeks before, has begun."""
+    kept = kept_stock(run.spark, f"{run.staging.path}/kept-stock")
+    history = sources.DayHistory(run.stock)
+    for day in (RUN_DATE - timedelta(days=14), RUN_DATE):
+        newest = kept.update(sources.DayHistory(history.between(EARLY, day)), day)
+    return newest.select("barcode", "amount")
+
+
 @query
 def win_top2_options(run: Run) -> DataFrame:
     options = run.staged(run.options, "options")
@@ -445,6 +472,14 @@ def exposure_streak(run: Run) -> DataFrame:
     return exposure.exposure_streak(run.fx["fx_exposure"])
 
 
+@query
+def exposure_steps(run: Run) -> DataFrame:
+    """The same streaks, read back in steps that begin with two days."""
+    history = sources.DayHistory(run.fx["fx_exposure"])
+    shown = run.staged(exposure.popular_zones(history.newest()), "shown")
+    return exposure.streaks_by_steps(history.between, shown, partial(run.staged, name="streaks"), first_step=2)
+
+
 @query
 def exposure_uplift(run: Run) -> DataFrame:
     return exposure.exposure_uplift(exposure.exposure_streak(run.fx["fx_exposure"]), run.daily)
@@ -667,7 +702,7 @@ def src_stock_newest(run: Run) -> DataFrame:
 
 @query
 def src_exposure(run: Run) -> DataFrame:
-    return run.from_tables().exposures
+    return run.from_tables().exposures.all()
 
 
 @query

@@ -603,6 +603,7 @@ SELECT product_id, REPLACE(variant, CHR(9), '') AS brand FROM (
 SELECT DISTINCT date, competitor, product_id, krw_price, usd_price FROM fx_cmpt_history
 WHERE date = (SELECT MAX(date) FROM fx_cmpt_history)""",
     "latest_crawl_status": "SELECT * FROM crawled",
+    "crawl_kept": "SELECT * FROM crawled",
     "own_price": """
 SELECT product_id, MIN(krw_price) AS price_own FROM fx_item i JOIN fx_item_price p ON i.id = p.item_id
 WHERE date = (SELECT MAX(date) FROM fx_item_price) GROUP BY product_id""",
@@ -665,6 +666,10 @@ FROM all_daily GROUP BY product_id""",
     "win_latest_stock": """
 SELECT barcode, amount FROM (
  SELECT barcode, amount, ROW_NUMBER() OVER (PARTITION BY barcode ORDER BY day DESC, amount DESC) AS rn FROM fx_stock)
+WHERE rn = 1""",
+    "stock_kept": """
+SELECT barcode, amount FROM (
+ SELECT barcode, amount, ROW_NUMBER() OVER (PARTITION BY barcode ORDER BY day DESC, amount DESC) AS rn FROM fx_stock)
 WHERE rn = 1""",
     "win_top2_options": top_two("all_option_stock").replace("(all_option_stock)", "all_option_stock"),
     "last_known_name": "SELECT * FROM all_names",
@@ -677,6 +682,7 @@ SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY {_ORDER.format("last_avg_qty")}) AS I
 FROM all_recent ORDER BY rank LIMIT 15""",
     "stock_turnover": "SELECT * FROM all_turnover",
     "exposure_streak": "SELECT * FROM streak",
+    "exposure_steps": "SELECT * FROM streak",
     "exposure_uplift": "SELECT * FROM all_uplift",
     "ltgr": "SELECT * FROM all_trend",
     "growth_weekly": "SELECT * FROM all_weekly",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,13 +13,18 @@ from shelfpulse.functions import np_round, pdiv
 from shelfpulse.sources.market import on_latest
 
 
+#: Days of history that the first step of a walk back reads; each further step doubles them.
+FIRST_STEP = 32
+
+
 def shown_products(exposures: DataFrame) -> DataFrame:
     """Products shown on the newest day, with their most popular zone."""
-    newest = (
-        on_latest(exposures, "day")
-        .filter(F.col("product_id").isNotNull())
-        .withColumnRenamed("day", "latest_day")
-    )
+    return popular_zones(on_latest(exposures, "day"))
+
+
+def popular_zones(newest: DataFrame) -> DataFrame:
+    """The most popular zone of each product among the exposures of the newest day."""
+    newest = newest.filter(F.col("product_id").isNotNull()).withColumnRenamed("day", "latest_day")
     by_popularity = Window.partitionBy("product_id").orderBy(
         F.col("popularity").desc_nulls_last(), "main_rec_category"
     )
@@ -44,6 +53,49 @@ def exposure_streak(exposures: DataFrame, shown: DataFrame | None = None) -> Dat
     )
 
 
+def streaks_by_steps(
+    between: Callable[[date, date], DataFrame],
+    shown: DataFrame,
+    stage: Callable[[DataFrame], DataFrame],
+    first_step: int = FIRST_STEP,
+) -> DataFrame:
+    """`exposure_streak` that reads the history only as far back as the longest streak.
+
+    between(a, b): the exposures of the days `a` to `b`; `shown`: staged, as `shown_products`
+    gives it; `stage` writes a small frame and reads it back. The days before the newest are read
+    in steps that double. A product whose days fill a step goes on to the next one, all others are
+    settled, so at most about three times the days of the longest streak are read. A step's window
+    holds at most its days per product.
+    """
+    last = shown.agg(F.max("latest_day")).first()[0]
+    open_ones = shown.withColumn("exposure_start", F.col("latest_day"))
+    if last is None:
+        return open_ones
+    settled, step = [], first_step
+    while True:
+        first = last - timedelta(days=step - 1)
+        days = between(first, last).select("product_id", "day")
+        days = days.join(open_ones.select("product_id"), "product_id", "left_semi").distinct()
+        back = F.row_number().over(Window.partitionBy("product_id").orderBy(F.col("day").desc()))
+        unbroken = (
+            days.withColumn("back", back)
+            .filter(F.col("day") == F.date_sub(F.lit(last), F.col("back") - 1))
+            .groupBy("product_id")
+            .agg(F.min("day").alias("reached"))
+        )
+        start = F.coalesce("reached", "exposure_start")
+        moved = stage(
+            open_ones.join(unbroken, "product_id", "left")
+            .withColumns({"exposure_start": start, "goes_on": F.col("reached").eqNullSafe(F.lit(first))})
+            .drop("reached")
+        )
+        settled.append(moved.filter(~F.col("goes_on")).drop("goes_on"))
+        open_ones = moved.filter("goes_on").drop("goes_on")
+        if open_ones.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
+        last, step = first - timedelta(days=1), step * 2
+
+
 def exposure_uplift(streaks: DataFrame, daily: DataFrame, control_days: int = 7) -> DataFrame:
     """Mean daily quantity while shown against that of the days just before.
 

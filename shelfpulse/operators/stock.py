@@ -93,9 +93,16 @@ def stock_turnover(
 
 def latest_stock(stock: DataFrame) -> DataFrame:
     """The newest amount per barcode; at the same time the larger one."""
-    return stock.groupBy("barcode").agg(
-        F.max_by("amount", F.struct("recorded_at", "amount")).alias("amount")
-    )
+    return newest_records(stock).select("barcode", "amount")
+
+
+def newest_records(stock: DataFrame) -> DataFrame:
+    """The newest record per barcode; at the same time the one with the larger amount.
+
+    The newest of several parts' newest records are those of the whole.
+    """
+    newest = F.max(F.struct("recorded_at", "amount"))
+    return stock.groupBy("barcode").agg(newest.alias("record")).select("barcode", "record.amount", "record.recorded_at")
 
 
 def any_in_stock(stock: DataFrame, barcodes: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfpulse import sources
 from shelfpulse.config import ShopConfig
 from shelfpulse.operators import exposure, growth, prices, repurchase, sales, stock
+from shelfpulse.plans.newest import KeptNewest
 from shelfpulse.plans.rollup import KeptRollup
 from shelfpulse.session import Staging
 
@@ -21,7 +22,8 @@ from shelfpulse.session import Staging
 class Inputs:
     """Clean input frames, as the readers in `shelfpulse.sources` return them.
 
-    Stock, reviews and searches are histories, read as far back as each signal needs.
+    Stock, exposures, reviews and searches are histories, read as far back as each signal needs;
+    exposures may also be a plain frame.
     """
 
     sales: DataFrame
@@ -29,7 +31,7 @@ class Inputs:
     option_inventory: DataFrame
     products: DataFrame
     brands: DataFrame
-    exposures: DataFrame
+    exposures: sources.History | DataFrame
     reviews: sources.History
     searches: sources.History
     own_prices: DataFrame
@@ -37,6 +39,8 @@ class Inputs:
     crawls: DataFrame
     #: Option days of all order lines, kept between runs; without it they are aggregated anew.
     option_days: DataFrame | None = None
+    #: The newest stock record per barcode, kept between runs; without it all records are read.
+    newest_stock: DataFrame | None = None
 
     @classmethod
     def from_tables(
@@ -46,26 +50,45 @@ class Inputs:
         shop: ShopConfig,
         staging: Staging | None = None,
         kept: KeptRollup | None = None,
+        stock_state: KeptNewest | None = None,
+        crawl_state: KeptNewest | None = None,
     ) -> Inputs:
         """Readers over raw tables. With `staging`, small results that several frames or joins
         need are written once. With `kept`, the rollup of earlier runs is brought up to date, and
-        only the order lines of new days are aggregated."""
+        only the order lines of new days are aggregated. `stock_state` and `crawl_state` do the same for
+        the newest stock record per barcode and the newest crawl result per pair. Of tables laid
+        out in folders by day, the newest day is read from the newest folder alone."""
         load, shift = tables.load, shop.clock_shift_hours
         start = sources.history_start(run_date, shop.history_months)
-        competitor_prices = sources.competitor_prices(load("competitor_prices"))
+
+        def newest(name: str) -> DataFrame:
+            """Rows among which those of the newest day are."""
+            found = tables.newest(name)
+            return load(name) if found is None else found
+
+        competitor_prices = sources.competitor_prices(newest("competitor_prices"))
         if staging:
             competitor_prices = staging.table(competitor_prices, "competitor_prices")
 
-
         def lines(since: date, until: date) -> DataFrame:
             return sources.sales_lines(load("sales", since, until), since, until)
 
+        stock_history = sources.EpochHistory(
+            partial(load, "stock"),
+            lambda raw: sources.stock_history(raw, shift),
+            shift,
+            partial(tables.newest, "stock"),
+        )
+        if crawl_state:
+            crawl_history = sources.DatedHistory(partial(load, "crawls"), lambda raw: raw, "update_date")
+            crawls = sources.with_prices(crawl_state.update(crawl_history, run_date), competitor_prices)
+        else:
+            crawls = sources.crawl_status(load("crawls"), competitor_prices)
         return cls(
+            newest_stock=stock_state.update(stock_history, run_date) if stock_state else None,
             option_days=kept.update(lines, start, run_date) if kept else None,
             sales=lines(start, run_date),
-            stock=sources.EpochHistory(
-                partial(load, "stock"), lambda raw: sources.stock_history(raw, shift), shift
-            ),
+            stock=stock_history,
             option_inventory=load("option_inventory"),
             products=sources.product_statuses(load("products")),
             brands=sources.brands(
@@ -74,7 +97,11 @@ class Inputs:
                 feature=shop.brand_feature,
                 language=shop.language,
             ),
-            exposures=sources.exposure_history(load("exposures")),
+            exposures=sources.DatedHistory(
+                partial(load, "exposures"),
+                sources.exposure_history,
+                recent=partial(tables.newest, "exposures"),
+            ),
             reviews=sources.EpochHistory(
                 partial(load, "posts"),
                 lambda posts: sources.reviews(
@@ -92,9 +119,9 @@ class Inputs:
             searches=sources.EpochHistory(
                 partial(load, "searches"), lambda raw: sources.search_history(raw, shift), shift
             ),
-            own_prices=sources.own_prices(load("items"), load("item_prices")),
+            own_prices=sources.own_prices(load("items"), newest("item_prices")),
             competitor_prices=competitor_prices,
-            crawls=sources.crawl_status(load("crawls"), competitor_prices),
+            crawls=crawls,
         )
 
 
@@ -131,11 +158,13 @@ class Signals:
 
     @cached_property
     def pinned_in_stock(self) -> bool:
-        """One flag, found once. The product's few barcodes are staged, so the stock history is
-        scanned against a table of known, small size."""
+        """One flag, found once. The product's few barcodes are staged, so the newest records, or
+        without them the stock history, are scanned against a table of known, small size."""
         own = sources.option_barcodes(self.inputs.option_inventory, self.shop.pinned_product)
         own = self.staging.table(own, "pinned_barcodes")
-        return stock.any_in_stock(self.inputs.stock.all(), own).first()[0]
+        kept = self.inputs.newest_stock
+        records = self.inputs.stock.all() if kept is None else kept
+        return stock.any_in_stock(records, own).first()[0]
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -241,8 +270,13 @@ class Signals:
         matrix = prices.price_matrix(
             inputs.own_prices, inputs.competitor_prices, inputs.crawls, shop.competitors
         )
-        shown = self.staging.table(exposure.shown_products(inputs.exposures), "shown")
-        streaks = self.staging.table(exposure.exposure_streak(inputs.exposures, shown), "streaks")
+        exposures = inputs.exposures
+        if isinstance(exposures, DataFrame):
+            exposures = sources.DayHistory(exposures)
+        shown = self.staging.table(exposure.popular_zones(exposures.newest()), "shown")
+        streaks = exposure.streaks_by_steps(
+            exposures.between, shown, partial(self.staging.table, name="streaks")
+        )
         uplift = exposure.exposure_uplift(streaks, self._get("all_daily").drop("sellable"))
         return side_by_side([attributes, inputs.brands, turnover, matrix, uplift])
 

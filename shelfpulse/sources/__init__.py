@@ -1,5 +1,11 @@
-from shelfpulse.sources.history import DayHistory, EpochHistory, History
-from shelfpulse.sources.market import competitor_prices, crawl_status, own_prices
+from shelfpulse.sources.history import DatedHistory, DayHistory, EpochHistory, History
+from shelfpulse.sources.market import (
+    competitor_prices,
+    crawl_status,
+    newest_crawls,
+    own_prices,
+    with_prices,
+)
 from shelfpulse.sources.shop import (
     brands,
     cart_rows,
@@ -16,6 +22,7 @@ from shelfpulse.sources.shop import (
 from shelfpulse.sources.tables import Tables
 
 __all__ = [
+    "DatedHistory",
     "DayHistory",
     "EpochHistory",
     "History",
@@ -26,6 +33,7 @@ __all__ = [
     "crawl_status",
     "exposure_history",
     "history_start",
+    "newest_crawls",
     "option_barcodes",
     "own_prices",
     "product_statuses",
@@ -34,4 +42,5 @@ __all__ = [
     "search_history",
     "stock_history",
     "user_rows",
+    "with_prices",
 ]

@@ -17,7 +17,7 @@ class Ledger:
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.path = path.rstrip("/")
+        self._spark, self.path = spark, path.rstrip("/")
         self._gateway = spark.sparkContext._gateway
         self._fs = spark.sparkContext._jvm.org.apache.hadoop.fs
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -71,7 +71,13 @@ class Ledger:
 
     def folders(self, path: str) -> list[str]:
         """Names of what lies in a folder, none if there is no such folder."""
-        folder = self._path(path)
-        if not self._files.exists(folder):
-            return []
-        return sorted(f.getPath().getName() for f in self._files.listStatus(folder))
+        return names_in(self._spark, path)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of any file system, none if there is no such folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(folder))

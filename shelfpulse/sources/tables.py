@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfpulse.functions import within
+from shelfpulse.sources.ledger import names_in
 from shelfpulse.sources.schemas import SCHEMAS
 
+#: Fixed value: the folder of rows whose day is null.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 class Tables:
     """Loads a named table with its declared schema.
@@ -23,7 +27,8 @@ class Tables:
 
     `day_columns` names the column with the day of the time stamp: ``{"sales": "sold_day"}``.
     Day limits are put on it: for files laid out by it they leave out whole folders, in a
-    database they become part of its query.
+    database they become part of its query. The newest folder then is known by its name, without
+    a look at the rows of older ones.
     """
 
     def __init__(
@@ -45,7 +50,9 @@ class Tables:
         schema = StructType.fromDDL(SCHEMAS[name])
         if self.jdbc is None:
             day = self.day_columns.get(name)
-            found = StructType(schema.fields).add(day, "date") if day else schema
+            found = StructType(list(schema.fields))
+            if day and day not in schema.names:
+                found = found.add(day, "date")
             loaded = self.spark.read.schema(found).format(self.fmt).load(f"{self.root}/{name}")
             if day:
                 loaded = loaded.filter(within(F.col(day), since, until))
@@ -55,6 +62,20 @@ class Tables:
             loaded = loaded.filter(within(F.col(self.day_columns[name]), since, until))
         return conform(loaded, schema)
 
+    def days(self, name: str) -> list[date]:
+        """The days of a table's folders, newest first; none for a table not laid out by day."""
+        column = self.day_columns.get(name)
+        if self.jdbc is not None or not column:
+            return []
+        names = names_in(self.spark, f"{self.root}/{name}")
+        found = [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+        return sorted((date.fromisoformat(d) for d in found if d != NO_DAY), reverse=True)
+
+    def newest(self, name: str) -> DataFrame | None:
+        """The rows of the newest folder that has any, None for a table not laid out by day."""
+        found = (self.load(name, day, day) for day in self.days(name))
+        return next((rows for rows in found if not rows.isEmpty()), None)
+
     def jdbc_options(self, name: str) -> dict[str, str]:
         if name not in self.splits:
             raise ValueError(f"splits has no entry for {name}, whose read would be one task")

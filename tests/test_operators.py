@@ -20,6 +20,7 @@ from shelfpulse.operators import (
     stock,
     trend,
 )
+from shelfpulse.sources import DayHistory
 from shelfpulse.sources.market import on_latest
 
 T = date(2024, 3, 31)
@@ -246,6 +247,30 @@ def test_streak_stops_at_a_gap(spark):
     assert (found[2].exposure_start, found[2].main_rec_category) == (ago(0), "high")
 
 
+def test_streaks_by_steps_read_no_further_than_the_longest(spark):
+    rng = np.random.default_rng(2)
+    length = {p: int(n) for p, n in enumerate([1, 2, 3, 4, 5, 6, 7, 13, 14, 15, 40])}
+    rows = [(p, ago(n), 1.0, "z") for p, days in length.items() for n in range(days)]
+    # Behind a gap of a day, much more history; products not shown now; days seen many times.
+    rows += [(p, ago(n), 2.0, "y") for p, days in length.items() for n in range(days + 1, days + 60)]
+    rows += [(99, ago(n), 5.0, "x") for n in range(1, 200)] + [(None, ago(0), 1.0, "z")]
+    rows += [rows[i] for i in rng.integers(0, len(rows), 300)]
+    history = DayHistory(spark.createDataFrame(rows, EXPOSED))
+    asked = []
+
+    def between(first, last):
+        asked.append(((T - last).days, (T - first).days))
+        return history.between(first, last)
+
+    shown = exposure.popular_zones(history.newest()).cache()
+    found = by_product(exposure.streaks_by_steps(between, shown, lambda df: df.cache(), first_step=2))
+    assert asked == [(0, 1), (2, 5), (6, 13), (14, 29), (30, 61)]
+    assert {p: r.exposure_start for p, r in found.items()} == {p: ago(n - 1) for p, n in length.items()}
+    assert found == by_product(exposure.exposure_streak(history.all()))
+    empty = exposure.popular_zones(DayHistory(history.all().limit(0)).newest())
+    assert exposure.streaks_by_steps(between, empty, lambda df: df).isEmpty()
+
+
 def test_uplift(spark):
     streaks = spark.createDataFrame(
         [(p, "z", ago(1), T) for p in (1, 2, 3)],
@@ -425,7 +450,42 @@ def test_no_other_slope_fits_better(seed):
     here = best_for_slope(x, y, found)
     for other in found + np.array([-0.05, -0.002, 0.002, 0.05]):
         assert here < best_for_slope(x, y, other)
-    assert np.isnan(trend.robust_slopes(x[None], y[None], np.ones((1, 12), bool), max_rounds=2))
+    halved = trend.halved_slopes(x[None], y[None], np.ones((1, 12), bool))[0]
+    assert halved == pytest.approx(found, abs=1e-7)
+
+
+def test_every_trend_ends():
+    """Points of which any number lies on a line, of all lengths; every one gets the best slope,
+    those that reweighting leaves unsettled too."""
+    rng = np.random.default_rng(11)
+    x, y, known = [], [], []
+    for n in range(2, 25):
+        for on_line in range(1, n + 1):
+            points = np.zeros(24)
+            points[:n] = 0.5 + 0.01 * np.arange(n)
+            off = rng.permutation(n)[on_line:]
+            points[off] += rng.choice([1, -1, 0.5, 0.25], len(off))
+            known.append(np.arange(24) < n)
+            x.append(np.arange(24.0) * known[-1])
+            y.append(points)
+    x, y, known = np.array(x), np.array(y), np.array(known)
+    found = trend.robust_slopes(x, y, known)
+    assert not np.isnan(found).any()
+    for rounds in (0, 3, 20_000):
+        assert np.abs(trend.robust_slopes(x, y, known, rounds) - found).max() < 1e-6
+    assert np.isnan(trend.robust_slopes(x[:0], y[:0], known[:0])).sum() == 0
+
+
+def test_scale_solves_its_equation():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 5, 24):
+        size = np.abs(rng.normal(0, 1, (50, n))) * (rng.random((50, n)) < 0.8)
+        scale = trend.best_scale(size, np.ones((50, n), bool))
+        for row, s in zip(size, scale, strict=True):
+            if trend.EPSILON**2 * (row > 0).sum() <= n:
+                assert s == trend.TINY
+            else:
+                assert (np.minimum(row / s, trend.EPSILON) ** 2).sum() == pytest.approx(n)
 
 
 def test_trend_of_short_straight_and_padded_series(spark):

@@ -18,11 +18,14 @@ from shelfpulse.functions import within
 from shelfpulse.operators.sales import option_days
 from shelfpulse.plans import (
     Inputs,
+    KeptNewest,
     KeptRollup,
     Published,
     Signals,
     exclusive_lists,
     growth_list,
+    kept_crawls,
+    kept_stock,
     placement_list,
     publish,
     run,
@@ -38,7 +41,17 @@ from shelfpulse.plans.publish import (
 )
 from shelfpulse.plans.signals import side_by_side
 from shelfpulse.session import Staging
-from shelfpulse.sources import DayHistory, EpochHistory, Tables, crawl_status, stock_history
+from shelfpulse.operators.stock import latest_stock
+from shelfpulse.sources import (
+    DatedHistory,
+    DayHistory,
+    EpochHistory,
+    Tables,
+    crawl_status,
+    exposure_history,
+    newest_crawls,
+    stock_history,
+)
 from shelfpulse.sources.ledger import Ledger
 from shelfpulse.sources.schemas import SCHEMAS
 
@@ -218,6 +231,108 @@ def test_lists_from_a_kept_rollup(raw_tables, spark, tmp_path):
     assert found[0] == found[1]
 
 
+STOCKED = "barcode string, amount bigint, recorded_at timestamp, day date"
+
+
+def counted(spark, rows):
+    """Stock records: barcode, amount, number of the day (None: no time) and hour."""
+    first = datetime(2024, 1, 1)
+    times = [first + timedelta(days=d, hours=h) if d is not None else None for _, _, d, h in rows]
+    made = [(b, a, t, t and t.date()) for (b, a, _, _), t in zip(rows, times, strict=True)]
+    return spark.createDataFrame(made, STOCKED)
+
+
+class Asked(DayHistory):
+    """A history that notes from which day on it is read."""
+
+    def __init__(self, frame, asked):
+        super().__init__(frame)
+        self.asked = asked
+
+    def all(self):
+        self.asked.append(None)
+        return super().all()
+
+    def since(self, day):
+        self.asked.append(day)
+        return super().since(day)
+
+
+def test_kept_stock_reads_its_table_and_new_days(spark, tmp_path):
+    rows = [(f"b{i % 7}", i * 5 % 11, i % 40, i % 3) for i in range(300)]
+    rows += [("b0", None, 39, 2), ("gone", 4, 2, 0), (None, 3, 5, 0), ("timeless", 8, None, 0)]
+    asked = []
+    for today, shown in ((9, 10), (19, 20), (19, 20), (39, 40), (39, 40)):
+        seen = [r for r in rows if r[2] is None or r[2] < shown]
+        # Late by a week, from the second run on.
+        seen += [("b1", 77, 3, 23)] if shown > 10 else []
+        whole = counted(spark, seen)
+        kept = kept_stock(spark, str(tmp_path / "stock"))
+        state = kept.update(Asked(whole, asked), date(2024, 1, 1) + timedelta(days=today))
+        assert rows_of(latest_stock(state)) == rows_of(latest_stock(whole)), shown
+        assert rows_of(kept.read()) == rows_of(state)
+        assert state.count() == whole.select("barcode").distinct().count()
+    first = date(2024, 1, 1)
+    assert asked == [None, *(first + timedelta(days=n) for n in (2, 12, 12, 32))]
+    assert len([n for n in (tmp_path / "stock").iterdir() if n.name.startswith("version=")]) == 2
+
+
+def test_kept_stock_of_wrong_clocks_failures_and_no_rows(spark, tmp_path, monkeypatch):
+    path, today = str(tmp_path / "stock"), date(2024, 1, 10)
+    rows = [("a", 1, 5, 0), ("a", 2, 900, 0), ("b", 3, 9, 0)]  # one record of years ahead
+    before = rows_of(kept_stock(spark, path).update(DayHistory(counted(spark, rows)), today))
+    kept = kept_stock(spark, path)
+    with monkeypatch.context() as patch:
+        patch.setattr(kept.ledger, "add", lambda record: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            kept.update(DayHistory(counted(spark, [*rows, ("b", 9, 12, 0)])), today)
+    assert rows_of(kept_stock(spark, path).read()) == before
+    later = [*rows, ("b", 4, 11, 0), ("c", 5, 12, 0)]
+    found = kept.update(DayHistory(counted(spark, later)), today + timedelta(days=7))
+    assert {r.barcode: r.amount for r in found.collect()} == {"a": 2, "b": 4, "c": 5}
+    empty = kept_stock(spark, str(tmp_path / "none"))
+    for rows in ([], [], [("a", 1, 0, 0)]):
+        assert empty.update(DayHistory(counted(spark, rows)), today).count() == len(rows)
+
+
+def test_kept_crawls_keep_the_rule_for_equal_times(spark, tmp_path):
+    def crawled(*rows):
+        return spark.createDataFrame(
+            [(c, p, datetime(2024, 1, 1 + d, 1, 2, 3, 4567), f) for c, p, d, f in rows],
+            "competitor string, product_id bigint, update_date timestamp, sale_or_not bigint",
+        )
+
+    early = [("x", 1, 0, 1), ("x", 1, 3, 1), ("x", 2, 3, 0), ("y", 1, 2, None), ("y", 2, 1, 1)]
+    late = [("x", 1, 3, 0), ("x", 2, 3, 1), ("y", 1, 1, 1), ("z", 9, 8, 1), ("y", 2, 9, None)]
+    kept = kept_crawls(spark, str(tmp_path / "crawls"))
+    for rows in (early, early + late):
+        history = DatedHistory(lambda a, b, rows=rows: crawled(*rows), lambda raw: raw, "update_date")
+        state = kept.update(history, date(2024, 1, 12))
+        assert rows_of(state) == rows_of(newest_crawls(crawled(*rows)))
+    prices = spark.createDataFrame([("x",), ("y",)], "competitor string")
+    found = {(r.competitor, r.product_id): r.sale_or_not for r in crawl_status(crawled(*early, *late), prices).collect()}
+    assert found == {("x", 1): 0, ("x", 2): 0, ("y", 1): 1, ("y", 2): 1}
+
+
+def test_guard_and_prices_from_kept_tables(raw_tables, spark, tmp_path):
+    tables = Tables(spark, root=raw_tables)
+    states = {
+        "stock_state": kept_stock(spark, str(tmp_path / "stock")),
+        "crawl_state": kept_crawls(spark, str(tmp_path / "crawls")),
+    }
+    Inputs.from_tables(tables, RUN_DATE - timedelta(days=7), SHOP, **states)
+    plain = Inputs.from_tables(tables, RUN_DATE, SHOP)
+    kept = Inputs.from_tables(tables, RUN_DATE, SHOP, **states)
+    assert rows_of(kept.crawls) == rows_of(plain.crawls)
+    staging = Staging(spark)
+    found = [Signals(spark, i, SHOP, RUN_DATE, staging=staging).pinned_in_stock for i in (plain, kept)]
+    staging.drop()
+    assert found[0] == found[1]
+    assert isinstance(states["stock_state"], KeptNewest)
+    read = {f.split("/")[-2] for f in kept.newest_stock.inputFiles()}
+    assert len(read) == 1 and read.pop().startswith("version=")
+
+
 def pushed(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return " ".join(re.findall(r"PushedFilters: \[(.*?)\]", plan))
@@ -261,6 +376,52 @@ def test_day_limits_leave_out_folders(raw_tables, spark, tmp_path):
     assert rows_of(stock.newest()) == rows_of(whole.newest())
 
 
+def test_newest_day_is_known_by_the_newest_folder(raw_tables, spark, tmp_path):
+    plain = Tables(spark, root=raw_tables)
+    utc_day = F.date_from_unix_date(F.floor(F.col("timestamp") / 86400).cast("int"))
+    layout = {
+        "stock": ("day", utc_day),
+        "exposures": ("shown_day", F.to_date("date")),
+        "competitor_prices": ("date", F.col("date")),
+    }
+    for name, (column, day) in layout.items():
+        frame = plain.load(name).withColumn(column, day).filter(F.col(column) >= "2001-06-20")
+        frame.repartition(1).write.partitionBy(column).parquet(f"{tmp_path}/{name}")
+    for name in ("item_prices", "items", "crawls", "sales", "products", "feature_values", "variant_names", "option_inventory"):
+        plain.load(name).write.parquet(f"{tmp_path}/{name}")
+    columns = {name: column for name, (column, _) in layout.items()}
+    tables = Tables(spark, root=str(tmp_path), day_columns=columns)
+    assert plain.days("stock") == [] and plain.newest("stock") is None
+    assert tables.days("stock") == sorted(tables.days("stock"), reverse=True)
+    inputs, whole = Inputs.from_tables(tables, RUN_DATE, SHOP), Inputs.from_tables(plain, RUN_DATE, SHOP)
+    newest = inputs.stock.newest()
+    assert rows_of(newest) == rows_of(whole.stock.newest())
+    # A shifted day lies in two folders.
+    folders = [d.isoformat() for d in tables.days("stock")]
+    assert folders_read(newest, "day") <= set(folders[:2])
+    shown = inputs.exposures.newest()
+    assert rows_of(shown) == rows_of(whole.exposures.newest()) != []
+    assert folders_read(shown, "shown_day") == {tables.days("exposures")[0].isoformat()}
+    a, b = tables.days("exposures")[3], tables.days("exposures")[1]
+    between = inputs.exposures.between(a, b)
+    assert rows_of(between) == rows_of(whole.exposures.all().filter(within(F.col("day"), a, b)))
+    assert len(folders_read(between, "shown_day")) == 3
+    assert rows_of(inputs.exposures.since(a)) == rows_of(whole.exposures.since(a))
+    assert rows_of(inputs.competitor_prices) == rows_of(whole.competitor_prices) != []
+    assert folders_read(tables.newest("competitor_prices"), "date") == {tables.days("competitor_prices")[0].isoformat()}
+    # Folders without rows, and rows without a day, are passed over.
+    plain.load("exposures").limit(0).write.parquet(f"{tmp_path}/exposures/shown_day=2030-01-01")
+    plain.load("exposures").limit(3).write.parquet(f"{tmp_path}/exposures/shown_day=__HIVE_DEFAULT_PARTITION__")
+    assert tables.days("exposures")[0] == date(2030, 1, 1)
+    assert rows_of(inputs.exposures.newest()) == rows_of(whole.exposures.newest())
+
+
+def folders_read(df, column):
+    """The day folders that the scans of a plan open."""
+    rows = df.select(F.input_file_name().alias("f")).distinct().collect()
+    return {re.search(rf"{column}=([-\d]+)", r.f).group(1) for r in rows}
+
+
 def test_lists_do_not_overlap(spark, sf_dir):
     signals = Run(spark, sf_dir).signals()
     lists = exclusive_lists(
