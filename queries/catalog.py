@@ -217,9 +217,8 @@ def crawl_kept(run: Run) -> DataFrame:
     """Newest crawl results from a table that an earlier run, which saw a part, has begun."""
     kept = kept_crawls(run.spark, f"{run.staging.path}/kept-crawls")
     history = sources.DayHistory(run.fx["fx_crawl"], "update_date")
-    for seen in (CRAWLS_SEEN, RUN_DATE):
-        part = sources.DayHistory(history.between(EARLY, seen), "update_date")
-        newest = kept.update(part, seen)
+    kept.update(sources.DayHistory(history.between(EARLY, CRAWLS_SEEN), "update_date"), CRAWLS_SEEN)
+    newest = kept.update(history, RUN_DATE)
     return sources.with_prices(newest, run.competitor_prices)
 
 
