@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.llm.common import Scratch, plain_text, set_aside
+from shelfpulse.llm.common import SPACES, Scratch, plain_text, set_aside
 from shelfpulse.llm.skew import heavy_keys, salted_join
 
 LEADING = 3
@@ -31,14 +31,13 @@ ADDED = ("n_lines", "n_dropped")
 
 
 def _tokens(line: Column) -> Column:
-    return F.split(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")
+    return F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), SPACES)
 
 
 def _leaf(tokens: Column) -> Column:
-    lead = F.transform(
-        F.slice(tokens, 1, LEADING), lambda t: F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t)
-    )
-    return F.xxhash64(F.size(tokens), lead)
+    """Without a lambda, which could not share the tokens with the other columns."""
+    lead = [F.get(tokens, F.lit(i)) for i in range(LEADING)]
+    return F.xxhash64(F.size(tokens), *[F.when(t.rlike("[0-9]"), VARIABLE).otherwise(t) for t in lead])
 
 
 def parsed_lines(keyed: DataFrame) -> DataFrame:

@@ -34,7 +34,9 @@ def salted_join(
     Both sides tell heavy keys by the same hash, so a key that is taken for heavy by chance is
     joined as right as any. The plan is the same whether there are heavy keys or not."""
     is_heavy = F.xxhash64(*keys).isin(heavy or [0])
-    salt = F.when(is_heavy, F.pmod(deal, F.lit(SALTS)).cast("int")).otherwise(0)
+    # Never null, or the join would first filter by it and so work out the keys twice.
+    dealt = F.coalesce(F.pmod(deal, F.lit(SALTS)).cast("int"), F.lit(0))
+    salt = F.when(is_heavy, dealt).otherwise(0)
     every = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copied = few.withColumn(_SALT, F.explode(every))
     return many.withColumn(_SALT, salt).join(copied, [*keys, _SALT], how).drop(_SALT)
