@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queries.views import CART_END, CART_START, RUN_DATE, SHOP, Fixtures, raw_frames
+from queries.views import CART_END, CART_START, RUN_DATE, SHOP, Fixtures, raw_frames, raw_sales
 from shelfpulse import ShopConfig, sources
 from shelfpulse.functions import np_round, one_line, pdiv, steady_mean, within
 from shelfpulse.operators import (
@@ -132,10 +132,16 @@ class Run:
         return self.staged(self.daily, "daily")
 
     def from_tables(self, shop: ShopConfig = SHOP) -> Inputs:
-        """The inputs as the readers make them of a folder of raw tables."""
-        root = f"{self.staging.path}/raw"
-        for name, frame in raw_frames(self.fx).items():
-            frame.write.parquet(f"{root}/{name}")
+        """The inputs as the readers make them of a folder of raw tables. Lines and orders are
+        joined once, for the sales table; products, names, features and the like, which the views
+        derive from the same lines, read that table."""
+        fx, root = self.fx, f"{self.staging.path}/raw"
+        raw_sales(fx).write.parquet(f"{root}/sales")
+        sold = self.spark.read.parquet(f"{root}/sales")
+        fx["fx_sales"] = sold.withColumn("purchased_at", F.col("purchased_at").cast("date"))
+        for name, frame in raw_frames(fx).items():
+            if name != "sales":
+                frame.write.parquet(f"{root}/{name}")
         return Inputs.from_tables(Tables(self.spark, root), RUN_DATE, shop, self.staging)
 
     def signals_from_tables(self, shop: ShopConfig = SHOP) -> Signals:

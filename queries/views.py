@@ -188,13 +188,19 @@ class Fixtures:
         self._frames[name] = frame
 
 
+def raw_sales(fx: Fixtures) -> DataFrame:
+    """The order lines as a shop's raw table."""
+    moment = F.col("purchased_at").cast("timestamp").alias("purchased_at")
+    sales = fx["fx_sales"].drop("line_no")
+    return sales.select(*[c for c in sales.columns if c != "purchased_at"], moment)
+
+
 def raw_frames(fx: Fixtures) -> dict[str, DataFrame]:
     """The views as a shop's raw tables, with epochs where a shop keeps them."""
     epoch = F.unix_seconds(F.col("day").cast("timestamp")) - 14 * 3600 + 60
-    moment = F.col("purchased_at").cast("timestamp").alias("purchased_at")
-    sales = fx["fx_sales"].drop("line_no")
+    sales = fx["fx_sales"]
     return {
-        "sales": sales.select(*[c for c in sales.columns if c != "purchased_at"], moment),
+        "sales": raw_sales(fx),
         "stock": fx["fx_stock"].select("barcode", "amount", epoch.alias("timestamp")),
         "products": fx["fx_status"],
         "feature_values": fx["fx_feature"],

@@ -604,6 +604,33 @@ def test_order_lines_are_read_for_two_frames_only(spark, sf_dir):
     assert reading == {"purchase_totals"}
 
 
+def test_raw_tables_join_lines_and_orders_once(spark, tmp_path):
+    """Orders that occur twice, lines without an order and nulls; rows are those of the views."""
+    lines = [(k, n, 60 * n + k, k + n, 1.0 * n, 10.0 * k, 0.1, date(1998, 1, k)) for k in (1, 2, 3, 9) for n in (1, 2)]
+    lines += [lines[0], (None, 1, 5, 1, 1.0, 1.0, 0.0, None), (2, 3, None, None, None, None, None, None)]
+    orders = [(k, 7 * k, date(2001, 5, k)) for k in (1, 2, 3, 3)] + [(None, 1, None)]
+    events = [(i, kind, 1.5 * i, f'{{"k": {i}}}', datetime(2024, 1, 5)) for i in (1, 2) for kind in ("view", "click", "purchase")]
+    made = {
+        "lineitem": (lines, "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_shipdate date"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderdate date"),
+        "events": (events, "event_id long, event_type string, value double, props string, ts timestamp"),
+    }
+    for name, (rows, kinds) in made.items():
+        spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # paths are cut off otherwise
+    run = Run(spark, str(tmp_path))
+    run.from_tables()
+    for name in ("fx_sales", "fx_status", "fx_feature", "fx_variant", "fx_names", "fx_threads", "fx_item"):
+        plan = plan_of(run.fx[name])
+        assert "/raw/sales" in plan and "Join" not in plan, name
+    for name, frame in raw_frames(Fixtures(spark, str(tmp_path))).items():
+        written = spark.read.parquet(f"{run.staging.path}/raw/{name}")
+        assert written.dtypes == frame.dtypes, name
+        assert sorted(map(str, written.collect())) == sorted(map(str, frame.collect())), name
+    run.staging.drop()
+
+
 def test_crawl_history_is_reduced_before_it_is_shuffled(raw_tables, spark):
     tables = Tables(spark, root=raw_tables)
     plan = plan_of(crawl_status(tables.load("crawls"), tables.load("competitor_prices")))
