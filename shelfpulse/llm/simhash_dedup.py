@@ -160,7 +160,9 @@ def _compare(max_bits: int):
     return run
 
 
-def link(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def link(
+    prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, scratch: Scratch | None = None
+) -> DataFrame:
     """Edges (a, b) that connect all fingerprints within `max_bits` (4 at most) bits of each
     other. prints: print, each once; they are the nodes of the edges.
 
@@ -176,7 +178,8 @@ def link(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
     )
     # A cell that does not exist: the plan is the same with and without crowded cells.
     none = prints.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("cell"), F.lit(1).alias("blocks"))
-    crowded = crowded.unionByName(none)
+    # Written, so that its size is known: all entries are shuffled for it only if it is large.
+    crowded = (scratch or Scratch(prints.sparkSession)).table(crowded.unionByName(none), "crowded")
     own = F.pmod(F.xxhash64("print"), F.coalesce("blocks", F.lit(1))).cast("int")
     others = F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)
     dealt = (
@@ -217,7 +220,7 @@ def classified(rows: DataFrame, scratch: Scratch, max_bits: int = MAX_BITS) -> D
     """`rows` (a written table of doc_id, print and others) with component_id."""
     prints = rows.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     prints = scratch.table(prints, "distinct-prints")
-    found = components(link(prints, max_bits), scratch).withColumnRenamed("node", "print")
+    found = components(link(prints, max_bits, scratch=scratch), scratch).withColumnRenamed("node", "print")
     named = prints.join(found, "print", "left").withColumn("component", F.coalesce("component", "print"))
     firsts = named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
     firsts = scratch.table(firsts, "components")

@@ -189,6 +189,18 @@ def test_simhash_links(spark, scratch):
     assert [found.get(i, i) for i in range(len(values))] == label.tolist()
 
 
+def test_simhash_entries_are_not_shuffled_for_few_crowded_cells(spark, scratch):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    prints = scratch.table(spark.range(4000).select(F.xxhash64("id").alias("print")), "prints")
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "8k")  # less than the prints
+    try:
+        plan = simhash_dedup.link(prints, scratch=scratch)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, usual)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_simhash_of_awkward_rows(awkward, empty, scratch):
     found = simhash_dedup.near_duplicates(awkward, scratch)
     rows = by_id(found)
