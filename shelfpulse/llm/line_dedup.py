@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.llm.common import SPACES, Scratch, plain_text, set_aside
+from shelfpulse.llm.sieve import Sieve
 from shelfpulse.llm.skew import heavy_keys, salted_join
 
 LEADING = 3
@@ -109,24 +110,40 @@ def templates(keyed: DataFrame, scratch: Scratch, min_documents: int) -> tuple[D
         salted_join(lines.drop("line"), leaves, ["leaf"], heavy, deal, "left_semi"),
         "lines",
     )
-    words = shared.select("doc_id", _KEY, "line_no", "leaf", F.posexplode("tokens").alias("at", "token"))
+    words = shared.select("doc_id", "leaf", F.posexplode("tokens").alias("at", "token"))
     words = words.withColumn("token", F.xxhash64("token"))
     constant = scratch.table(
         words.groupBy(*_KEYS).agg(F.count_distinct("doc_id").alias("n"))
         .filter(F.col("n") >= min_documents).select(*_KEYS, F.lit(1).alias("fixed"), "n"),
         "constant",
     )
-    heavy = heavy_keys(constant, _KEYS)
+    # Equal lines of a leaf have equal templates, so these are made once per different line.
+    name = F.xxhash64("tokens").alias("line")
+    different = shared.groupBy("leaf", "tokens").agg(F.count("*").alias("n"))
+    different = scratch.table(different.select("*", name), "different")
+    words = different.select("leaf", "line", F.posexplode("tokens").alias("at", "token"))
+    words = words.withColumn("token", F.xxhash64("token"))
     fixed = F.when(F.col("fixed") == 1, F.col("token"))
-    shapes = (
-        salted_join(words, constant.drop("n"), _KEYS, heavy, deal, "left")
-        .groupBy("doc_id", _KEY, "line_no", "leaf")
+    made = (
+        salted_join(words, constant.drop("n"), _KEYS, heavy_keys(constant, _KEYS), F.col("line"), "left")
+        .groupBy("leaf", "line")
         .agg(
             F.xxhash64(F.array_sort(F.collect_list(F.struct("at", fixed.alias("fixed"))))).alias("template"),
             F.avg(fixed.isNotNull().cast("int")).alias("share"),
         )
         .filter(F.col("share") >= CONSTANT)
+        .drop("share")
+    )
+    made, by = scratch.table(made, "made"), ["leaf", "line"]
+    held = shared.select("doc_id", _KEY, "line_no", "leaf", name)
+    deal = F.xxhash64("doc_id", "line_no")
+    shapes = (
+        salted_join(held, made, by, heavy_keys(different, by), deal)
         .join(documents, ["doc_id", _KEY, "leaf"])
+        # Lines of rows that come as often count as alike.
+        .groupBy("doc_id", _KEY, "line_no", "leaf", "template", "document")
+        .agg(F.count("*").alias("times"))
+        .withColumn("template", F.xxhash64("template", "times"))
     )
     shapes = scratch.table(shapes.select("doc_id", _KEY, "line_no", "leaf", "template", "document"), "shapes")
     found = recurring(shapes, ["leaf", "template"], min_documents)
@@ -153,9 +170,9 @@ def drop_recurring(
         .select(F.col("doc_id").alias("_drop_id"), F.col(_KEY).alias("_drop_key"), _DROP)
     )
     drops = scratch.table(drops, "drops")
-    joined = keyed.join(
-        drops, (keyed.doc_id == drops._drop_id) & (keyed[_KEY] == drops._drop_key), "left"
-    )
+    sieve = Sieve(drops.select(F.col("_drop_id").alias("doc_id")), ["doc_id"], scratch)
+    same = (F.col("doc_id") == F.col("_drop_id")) & (F.col(_KEY) == F.col("_drop_key"))
+    joined = sieve.left_join(keyed, drops, same)
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line, i: ~F.array_contains(_DROP, i))
     n_dropped = F.coalesce(F.size(_DROP), F.lit(0))

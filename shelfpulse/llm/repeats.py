@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.llm.common import Scratch, set_aside, text_parts
 from shelfpulse.llm.naming import ramp
+from shelfpulse.llm.sieve import Sieve
 from shelfpulse.llm.skew import heavy_keys, salted_join
 
 RUNS = "doc_id bigint, text_key bigint, anchor bigint, reach bigint, place bigint"
@@ -175,14 +176,21 @@ def _removed(unit: Unit, names: list[str]) -> Callable:
     return run
 
 
-def _with_lists(docs: DataFrame, spans: DataFrame, fields: list[str], how: str) -> DataFrame:
-    """Each document with the list of its own spans; a list is bounded by its text."""
+def _with_lists(docs: DataFrame, spans: DataFrame, fields: list[str], how: str, scratch: Scratch) -> DataFrame:
+    """Each document with the list of its own spans; a list is bounded by its text. Texts without
+    spans are hardly shuffled."""
     lists = spans.groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct(*fields)).alias(_FOUND)
     )
     lists = lists.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_list_key"), _FOUND)
+    lists = scratch.table(lists, "lists")
+    sieve = Sieve(lists.select(F.col("_doc_id").alias("doc_id")), ["doc_id"], scratch)
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.col(_KEY) == F.col("_list_key"))
-    return docs.join(lists, same, how).drop("_doc_id", "_list_key")
+    if how == "left":
+        joined = sieve.left_join(docs, lists, same)
+    else:
+        joined = sieve.passed(docs).join(lists, same, how)
+    return joined.drop("_doc_id", "_list_key")
 
 
 def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
@@ -196,9 +204,9 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     )
     anchors = scratch.table(holders.filter("low < high").select("anchor", "n"), "anchors")
     heavy, deal = heavy_keys(anchors, ["anchor"]), F.xxhash64("doc_id", "place")
-    parts = []
+    sieve, parts = Sieve(anchors.select("anchor"), ["anchor"], scratch), []
     for p in range(unit.passes):
-        runs = texts.mapInArrow(_all_runs(unit, p), RUNS)
+        runs = sieve.passed(texts.mapInArrow(_all_runs(unit, p), RUNS))
         held = salted_join(runs, anchors.select("anchor"), ["anchor"], heavy, deal, "left_semi")
         parts.append(scratch.table(held, "shared"))
     shared = reduce(DataFrame.unionByName, parts)
@@ -224,7 +232,7 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
 
     left_open = found.filter("NOT repeats")
     windows = scratch.table(
-        _with_lists(texts, left_open, ["place", "anchor"], "inner").mapInArrow(
+        _with_lists(texts, left_open, ["place", "anchor"], "inner", scratch).mapInArrow(
             _open_windows(unit), RUNS
         ),
         "windows",
@@ -268,7 +276,7 @@ def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         f"`{n}` {kind if n == 'text' else t}"
         for n, t in [*docs.dtypes, *((n, "bigint") for n in ADDED)]
     )
-    joined = _with_lists(keyed, spans, ["place"], "left").drop(_KEY)
+    joined = _with_lists(keyed, spans, ["place"], "left", scratch).drop(_KEY)
     return back(joined.mapInArrow(_removed(unit, names), schema), *ADDED)
 
 

@@ -24,6 +24,7 @@ from shelfpulse.llm import (
     packing,
     pieces,
     quality,
+    sieve,
     simhash_dedup,
     skew,
     substring_dedup,
@@ -315,6 +316,54 @@ def test_salted_join_equals_join(spark, scratch, how):
     assert sorted(found.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+@pytest.mark.parametrize("most", [1, 1 << 20])
+def test_sieve_joins_as_a_plain_join(spark, scratch, most):
+    ids = F.when(F.col("id") % 50 != 0, F.col("id") % 2000)
+    rows = spark.range(10_000).select(ids.alias("key"), F.col("id").alias("row"))
+    few = spark.range(500).select(F.when(F.col("id") > 0, F.col("id") * 7).alias("few"), F.array("id").alias("list"))
+    few = scratch.table(few.unionByName(few.limit(20)), "few")
+    held = sieve.Sieve(few.select(F.col("few").alias("key")), ["key"], scratch, most=most)
+    same = F.col("key") == F.col("few")
+    want, found = rows.join(few, same, "left"), held.left_join(rows, few, same)
+    assert found.dtypes == want.dtypes and found.count() == want.count()
+    assert found.exceptAll(want).count() == 0
+    short = rows.withColumn("key", F.col("key").cast("int"))
+    assert held.left_join(short, few, same).filter("list IS NOT NULL").count() == want.filter("list IS NOT NULL").count()
+    passed, matching = held.passed(rows), rows.join(few, same, "left_semi")
+    assert passed.columns == rows.columns and matching.exceptAll(passed).count() == 0
+    assert passed.count() < (1.2 * matching.count() if most > 1 else rows.count() + 1)
+
+
+def test_texts_that_stay_whole_are_not_shuffled(spark, scratch):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    pages = [(d, f"word{d} {'x' * d}\n{FOOTER}" if d < 20 else f"whole text {d} {PASSAGE[d:]} end") for d in range(200)]
+    docs = scratch.table(spark.createDataFrame(pages, "doc_id bigint, text string"), "docs")
+    try:
+        for done in (line_dedup.drop_recurring(docs, scratch), substring_dedup.remove_repeats(docs, scratch)):
+            plan = done._jdf.queryExecution().optimizedPlan().toString()
+            assert "Union" in plan and "_sieve_mask" in plan
+    finally:
+        spark.conf.set(limit, usual)
+
+
+def test_equal_lines_get_their_template_once(spark, scratch):
+    tables = {}
+
+    class Kept(Scratch):
+        def table(self, df, name):
+            tables[name] = super().table(df, name)
+            return tables[name]
+
+    rng = random.Random(13)
+    texts = ["\n".join([*own_lines(rng, d), LICENCE]) for d in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = line_dedup.drop_recurring(docs, Kept(spark))
+    assert found.agg(F.sum("n_dropped")).first()[0] == 39
+    assert tables["lines"].count() == 40 and tables["made"].count() == 1
+
+
 def test_vectors(spark, scratch, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
     rng = np.random.default_rng(4)
