@@ -113,12 +113,16 @@ def anchored(
         return none, none, none, none
     high = np.uint64(0xFFFFFFFF00000000)
     ranks = (names & high) | np.arange(len(names), dtype=np.uint64)
-    best = sliding_min(ranks, window - depth + 1)
-    starts = ramp(begins[:-1], counts)
-    text = np.repeat(np.arange(len(counts)), counts)
-    anchor = (best[starts] & ~high).astype(np.int64)
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    last = np.concatenate((first[1:], [len(starts)])) - 1
-    return text[first], anchor[first], starts[first], starts[last]
+    # The position that is left when the name is cut off.
+    anchor = sliding_min(ranks, window - depth + 1).astype(np.uint32)
+    ends = begins[:-1] + counts
+    full = counts > 0
+    new = np.ones(len(anchor) + 1, dtype=bool)
+    np.not_equal(anchor[1:], anchor[:-1], out=new[1:-1])
+    new[begins[:-1][full]] = new[ends[full]] = True
+    edges = np.flatnonzero(new)
+    first, last = edges[:-1], edges[1:] - 1
+    text = np.searchsorted(begins, first, side="right") - 1
+    own = np.flatnonzero(first < ends[text])  # the others reach over the end of their text
+    first = first[own]
+    return text[own], anchor[first].astype(np.int64), first, last[own]

@@ -13,7 +13,9 @@ does. That is used in three steps, each on what the one before left open:
 
 Every step groups by a name and keeps a minimum, which Spark combines before the shuffle, and
 joins the minimum back, which Spark splits where one name holds many rows. A group of any size
-costs one row per member; no pair of members is ever formed.
+costs one row per member; no pair of members is ever formed. In step 3 a run is one row with the
+names of its windows, and the few runs of an anchor are sorted by name at once; only where an
+anchor has many (`CROWDED`) every window becomes a row that is grouped and joined as above.
 """
 
 from __future__ import annotations
@@ -46,6 +48,14 @@ _RUN_FIELDS = pa.schema(
 #: A place is the first window of a run and how many follow, packed to keep shuffled rows short.
 _BITS = 16
 _SEEDS = "doc_id bigint, anchor bigint"
+_OPEN = "doc_id bigint, text_key bigint, anchor bigint, crowded boolean, place bigint, names array<bigint>"
+_PLACES = "doc_id bigint, text_key bigint, place bigint"
+#: Anchors with more runs than this are compared window by window, as rows.
+CROWDED = 1 << 13
+#: Share of the runs in one document that a sieve may let through; if more pass, all are joined.
+FEW = 0.1
+#: Bytes of text named at once: few enough that the arrays stay in a core's cache.
+_PART = 1 << 16
 #: Columns that `remove` adds; input columns of these names are replaced.
 ADDED = ("n_units", "n_removed", "n_spans")
 _KEY, _FOUND = "_text_key", "_repeats"
@@ -55,6 +65,7 @@ _KEY, _FOUND = "_text_key", "_repeats"
 class Unit:
     """What a window is made of.
 
+    seeds(data, begins): per run its text and the name of its anchor.
     runs(data, begins): per run its text, the names of anchor and reach, first and last window.
     names(data, begins, text, positions): the names of windows.
     remove(text bytes, first, last): the kept bytes, units, removed units, removed stretches.
@@ -64,6 +75,7 @@ class Unit:
     """
 
     window: int
+    seeds: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
     runs: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
     names: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     remove: Callable[[bytes, np.ndarray, np.ndarray], tuple[bytes, int, int, int]]
@@ -90,16 +102,16 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").to_numpy(), batch.column(_KEY).to_numpy()
 
 
-def _all_runs(unit: Unit, part: int = 0) -> Callable:
+def _all_runs(unit: Unit, part: int = 0, parts: int = 1) -> Callable:
     """Runs whose anchor is in one part of the names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, key = _ids(batch)
-            for low, _, data, begins in text_parts(batch, "text"):
+            for low, _, data, begins in text_parts(batch, "text", _PART):
                 runs = unit.runs(data, begins)
-                if unit.passes > 1:
-                    own = np.flatnonzero(runs[1] % np.uint64(unit.passes) == part)
+                if parts > 1:
+                    own = np.flatnonzero(runs[1] % np.uint64(parts) == part)
                     runs = tuple(x[own] for x in runs)
                 text, anchor, reach, first, last = runs
                 if len(text):
@@ -115,8 +127,8 @@ def _all_anchors(unit: Unit) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, _ = _ids(batch)
-            for low, _, data, begins in text_parts(batch, "text"):
-                text, anchor, *_ = unit.runs(data, begins)
+            for low, _, data, begins in text_parts(batch, "text", _PART):
+                text, anchor = unit.seeds(data, begins)
                 columns = [pa.array(doc_id[low + text]), pa.array(anchor.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor"])
 
@@ -131,25 +143,75 @@ def _lists(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, pa.StructArray
 
 
 def _open_windows(unit: Unit) -> Callable:
+    """Each open run with the names of its windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, key = _ids(batch)
             begin, entries = _lists(batch, _FOUND)
             place, anchor = (entries.field(i).to_numpy() for i in range(2))
+            crowded = entries.field(2)
             first, last = _unpack(place)
-            for low, high, data, begins in text_parts(batch, "text"):
+            for low, high, data, begins in text_parts(batch, "text", _PART):
                 part = slice(begin[low], begin[high])
                 counts = last[part] - first[part] + 1
                 text = np.repeat(np.arange(high - low), np.diff(begin[low : high + 1]))
-                position = ramp(first[part], counts)
-                text, anchors = np.repeat(text, counts), np.repeat(anchor[part], counts)
-                names = unit.names(data, begins, text, position)
-                place_of = _pack(position, position)
-                yield _rows(doc_id[low + text], key[low + text], anchors, names, place_of)
+                names = unit.names(data, begins, np.repeat(text, counts), ramp(first[part], counts))
+                ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                columns = [
+                    *(pa.array(x) for x in (doc_id[low + text], key[low + text], anchor[part])),
+                    crowded.slice(part.start, part.stop - part.start),
+                    pa.array(place[part]),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(names.view(np.int64))),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "anchor", "crowded", "place", "names"])
 
     return run
 
 
+def _same_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring windows, as one place, that also start in a smaller document. Open runs of an
+    anchor follow one another."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+        anchors = rows.column("anchor").to_numpy()
+        ready = int(np.searchsorted(anchors, anchors[-1])) if len(anchors) else 0
+        yield from _compared(rows.slice(0, ready))
+        rest = rows.slice(ready)  # the last anchor may go on
+    if rest is not None:
+        yield from _compared(rest)
+
+
+def _compared(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    if not rows.num_rows:
+        return
+    doc_id, key, anchor, place = (rows.column(n).to_numpy() for n in ("doc_id", "text_key", "anchor", "place"))
+    lists = rows.column("names").combine_chunks()
+    counts = pc.list_value_length(lists).to_numpy()
+    names = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((names, anchor[row]))
+    group, named, owner = anchor[row[order]], names[order], doc_id[row[order]]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (group[1:] != group[:-1]) | (named[1:] != named[:-1])
+    begins = np.flatnonzero(new)
+    least = np.minimum.reduceat(owner, begins)
+    repeats = np.empty(len(order), dtype=bool)
+    repeats[order] = owner > np.repeat(least, np.diff(np.append(begins, len(order))))
+    # One place for neighbours in the same run.
+    edge = np.ones(len(order) + 1, dtype=bool)
+    edge[1:-1] = (row[1:] != row[:-1]) | (repeats[1:] != repeats[:-1])
+    at = np.flatnonzero(edge)
+    low, high = at[:-1], at[1:] - 1
+    low, high = low[repeats[low]], high[repeats[low]]
+    run = row[low]
+    first, _ = _unpack(place[run])
+    begin = np.cumsum(counts) - counts
+    columns = [doc_id[run], key[run], _pack(first + low - begin[run], first + high - begin[run])]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "text_key", "place"])
+
+
 def _removed(unit: Unit, names: list[str]) -> Callable:
     kind = pa.binary() if unit.binary else pa.string()
 
@@ -203,21 +265,28 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")
     )
     anchors = scratch.table(holders.filter("low < high").select("anchor", "n"), "anchors")
-    heavy, deal = heavy_keys(anchors, ["anchor"]), F.xxhash64("doc_id", "place")
+    deal = F.xxhash64("doc_id", "place")
     sieve, parts = Sieve(anchors.select("anchor"), ["anchor"], scratch), []
-    for p in range(unit.passes):
-        runs = sieve.passed(texts.mapInArrow(_all_runs(unit, p), RUNS))
-        held = salted_join(runs, anchors.select("anchor"), ["anchor"], heavy, deal, "left_semi")
-        parts.append(scratch.table(held, "shared"))
+    if sieve.let_through() < FEW:
+        # What passes is not shuffled here. Anchors of one document among it have no smaller owner.
+        passes = 1
+        parts.append(scratch.table(sieve.passed(texts.mapInArrow(_all_runs(unit), RUNS)), "shared"))
+    else:
+        heavy, passes = heavy_keys(anchors, ["anchor"]), unit.passes
+        for p in range(passes):
+            runs = sieve.passed(texts.mapInArrow(_all_runs(unit, p, passes), RUNS))
+            held = salted_join(runs, anchors.select("anchor"), ["anchor"], heavy, deal, "left_semi")
+            parts.append(scratch.table(held, "shared"))
     shared = reduce(DataFrame.unionByName, parts)
 
     owners = scratch.table(
         shared.groupBy("anchor", "reach").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")), "owners"
     )
-    several = scratch.table(owners.groupBy("anchor").agg(F.count("*").alias("n")), "several")
+    several = owners.groupBy("anchor").agg(F.count("*").alias("n"), (F.sum("n") > CROWDED).alias("crowded"))
+    several = scratch.table(several, "several")
     # Anchors whose runs have the same reach everywhere are settled here.
     open_owners = salted_join(
-        owners, several.select("anchor", (F.col("n") > 1).alias("several")), ["anchor"],
+        owners, several.select("anchor", (F.col("n") > 1).alias("several"), "crowded"), ["anchor"],
         heavy_keys(several, ["anchor"]), F.xxhash64("reach"),
     )
     found = salted_join(shared, open_owners.drop("n"), ["anchor", "reach"], heavy_keys(owners, ["anchor", "reach"]), deal)
@@ -231,20 +300,18 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     whole = found.filter("repeats").select("doc_id", "text_key", "place")
 
     left_open = found.filter("NOT repeats")
-    windows = scratch.table(
-        _with_lists(texts, left_open, ["place", "anchor"], "inner", scratch).mapInArrow(
-            _open_windows(unit), RUNS
-        ),
-        "windows",
-    )
+    listed = _with_lists(texts, left_open, ["place", "anchor", "crowded"], "inner", scratch)
+    windows = scratch.table(listed.mapInArrow(_open_windows(unit), _OPEN), "windows")
+    few = windows.filter("NOT crowded").repartition("anchor").sortWithinPartitions("anchor")
     spans = [scratch.table(whole, "repeated")]
     scratch.discard(found)
-    for part in _parts(windows, "reach", unit.passes):
-        held = part.groupBy("anchor", "reach").agg(
+    spans.append(scratch.table(few.mapInArrow(_same_windows, _PLACES), "repeated"))
+    for part in _parts(windows.filter("crowded"), passes):
+        held = part.groupBy("anchor", "name").agg(
             F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"), F.count("*").alias("n")
         )
         held = scratch.table(held.filter("owner < high").drop("high"), "held")
-        same = ["anchor", "reach"]
+        same = ["anchor", "name"]
         single = salted_join(part, held.drop("n"), same, heavy_keys(held, same), deal).filter("doc_id > owner")
         spans.append(scratch.table(single.select(*whole.columns), "repeated"))
         scratch.discard(held)
@@ -252,10 +319,14 @@ def repeated(keyed: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:
     return reduce(DataFrame.unionByName, spans)
 
 
-def _parts(rows: DataFrame, name: str, passes: int) -> list[DataFrame]:
+def _parts(runs: DataFrame, passes: int) -> list[DataFrame]:
+    """The windows of `runs` as rows, in parts by their names."""
+    rows = runs.select("doc_id", "text_key", "anchor", "place", F.posexplode("names").alias("later", "name"))
+    first = F.shiftright("place", _BITS) + F.col("later")
+    rows = rows.select("doc_id", "text_key", "anchor", "name", F.shiftleft(first, _BITS).alias("place"))
     if passes == 1:
         return [rows]
-    return [rows.filter(F.pmod(F.col(name), F.lit(passes)) == p) for p in range(passes)]
+    return [rows.filter(F.pmod(F.col("name"), F.lit(passes)) == p) for p in range(passes)]
 
 
 def remove(docs: DataFrame, unit: Unit, scratch: Scratch) -> DataFrame:

@@ -10,6 +10,8 @@ rows through, at worst all of them: the result is the same, and the shuffle that
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +31,17 @@ class Sieve:
     def __init__(self, held: DataFrame, keys: list[str], scratch: Scratch, most: int = MOST):
         # Hashes depend on the type.
         self.keys = [F.col(name).cast(held.schema[name].dataType) for name in keys]
-        wanted = -(-held.count() * BITS // 64)
+        self.held = held.count()
+        wanted = -(-self.held * BITS // 64)
         self.size = min(most, 1 << max(wanted - 1, 0).bit_length())
         held = held.dropna(subset=keys).select(self._place(), self._bits().alias(_MASK))
         masks = held.groupBy(_PLACE).agg(F.bit_or(_MASK).alias(_MASK))
         self.masks = scratch.table(masks, "sieve")
 
+    def let_through(self) -> float:
+        """About what share of the rows that match nothing passes, were all bits set at random."""
+        return (1 - math.exp(-2 * self.held / (64 * self.size))) ** 2
+
     def _hash(self) -> Column:
         return F.xxhash64(*self.keys)
 

@@ -54,7 +54,7 @@ def _unit(window: int, seed: int) -> Unit:
             keep[a:b] = False
         return data[keep].tobytes(), len(starts), int(gone.sum()), len(low)
 
-    return Unit(window, runs, names, cut)
+    return Unit(window, lambda d, b: runs(d, b)[:2], runs, names, cut)
 
 
 def remove_repeats(

@@ -25,43 +25,66 @@ from shelfpulse.llm.repeats import Unit, covered, remove, stretches
 
 WINDOW = 50
 DEPTH = 24
-#: Passes of the two largest shuffles: two halve the disk they need.
+#: Passes of the two largest shuffles, where they are large: two halve the disk they need.
 PASSES = 2
 
 
-def refine(data: np.ndarray, depths: tuple[int, ...]) -> list[np.ndarray]:
-    """Bucket identifiers of every suffix at the given rising depths; a depth may be up to twice
-    the power of two below it. Suffixes shorter than a depth have no identifier of it."""
-    if depths[0] >= 8:  # eight bytes fit into one number
+def refine(data: np.ndarray, wanted: int) -> tuple[np.ndarray, int]:
+    """Bucket identifiers of every suffix at the greatest depth that is `wanted` halved some times
+    and rounded down to a power of two, and that depth. Suffixes shorter than it have none."""
+    if wanted >= 8:  # eight bytes fit into one number
         level, depth = mix(eight_bytes(data)[: max(len(data) - 7, 0)]), 8
     else:
         level, depth = mix(data.astype(np.uint64)), 1
-    found = []
-    for wanted in depths:
-        while depth * 2 <= wanted:
-            level = pair(level[:-depth], level[depth:])
-            depth *= 2
-        later = wanted - depth
-        found.append(pair(level[:-later], level[later:]) if later else level)
-    return found
+    while depth * 2 <= wanted:
+        level = pair(level[:-depth], level[depth:])
+        depth *= 2
+    return level, depth
+
+
+def deepen(level: np.ndarray, depth: int, wanted: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Identifiers of depth `wanted` from those of `depth`, a power of two that is not greater: of
+    all suffixes that are long enough, or of those at some positions only."""
+    top = depth
+    while top * 2 <= wanted:
+        top *= 2
+    later = wanted - top or (top // 2 if top > depth else 0)
+    if not later:
+        return level if at is None else level[at]
+    half = top if wanted > top else later
+    if at is None:
+        below = deepen(level, depth, half)
+        return pair(below[:-later], below[later:])
+    return pair(deepen(level, depth, half, at), deepen(level, depth, half, at + later))
 
 
 def _unit(window: int, depth: int) -> Unit:
+    def anchors(data, begins):
+        level, have = refine(data, depth)
+        buckets = deepen(level, have, depth)
+        return level, have, buckets, *anchored(buckets, begins, depth, window)
+
+    def seeds(data, begins):
+        if len(data) < window:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+        _, _, buckets, text, anchor, _, _ = anchors(data, begins)
+        return text, buckets[anchor]
+
     def runs(data, begins):
         if len(data) < window:
             none = np.zeros(0, dtype=np.int64)
             return none, none.view(np.uint64), none.view(np.uint64), none, none
-        buckets, windows = refine(data, (depth, window))
-        text, anchor, first, last = anchored(buckets, begins, depth, window)
+        level, have, buckets, text, anchor, first, last = anchors(data, begins)
         # First and last window overlap or meet, so together they cover the reach.
         inside = (last - first) * (window + 1) + (anchor - first)
-        reach = pair(pair(windows[first], windows[last]), inside.astype(np.uint64))
+        ends = (deepen(level, have, window, at) for at in (first, last))
+        reach = pair(pair(*ends), inside.astype(np.uint64))
         return text, buckets[anchor], reach, first - begins[text], last - begins[text]
 
     def names(data, begins, text, positions):
         if not len(positions):
             return np.zeros(0, dtype=np.uint64)
-        return refine(data, (window,))[0][begins[text] + positions]
+        return deepen(*refine(data, depth), window, begins[text] + positions)
 
     def cut(text, first, last):
         if not len(first):
@@ -70,7 +93,7 @@ def _unit(window: int, depth: int) -> Unit:
         gone = covered(len(data), first, last, window)
         return data[~gone].tobytes(), len(data), int(gone.sum()), len(stretches(gone)[0])
 
-    return Unit(window, runs, names, cut, binary=True, passes=PASSES)
+    return Unit(window, seeds, runs, names, cut, binary=True, passes=PASSES)
 
 
 def remove_repeats(

@@ -30,6 +30,7 @@ from shelfpulse.llm import (
     substring_dedup,
     suffix_dedup,
 )
+from shelfpulse.llm import repeats as repeats_module
 from shelfpulse.llm.common import Scratch, word_bounds
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -126,6 +127,62 @@ def test_repeats_equal_brute_force(spark, seed):
         assert found[d].n_spans == sum(i in gone and i - 1 not in gone for i in range(len(units)))
 
 
+@pytest.mark.parametrize("few, crowded", [(1.0, 1 << 13), (1.0, 2), (0.0, 1 << 13), (0.0, 0)])
+def test_every_way_of_comparing_windows_equals_brute_force(spark, monkeypatch, few, crowded):
+    monkeypatch.setattr(repeats_module, "FEW", few)
+    monkeypatch.setattr(repeats_module, "CROWDED", crowded)
+    rng = random.Random(7)
+    shared = ["".join(rng.choices("abcd", k=60)) for _ in range(5)]
+    texts = []
+    for d in range(90):
+        parts = [rng.choice(shared)[rng.randint(0, 20) : rng.randint(40, 60)] for _ in range(rng.randint(0, 4))]
+        texts.append((d // 2 if d < 10 else d, "".join(x + rng.choice(["", "é", "y" * 40]) for x in parts)))
+    docs = spark.createDataFrame([*texts, (None, shared[0]), (95, None)], "doc_id bigint, text string")
+    found = suffix_dedup.remove_repeats(docs, Scratch(spark), window=20, depth=8).collect()
+    first = {}
+    for d, text in texts:
+        for i in range(len(text.encode()) - 19):
+            key = text.encode()[i : i + 20]
+            first[key] = min(first.get(key, d), d)
+    want = [(95, b""), (None, shared[0].encode())]
+    for d, text in texts:
+        data = text.encode()
+        gone = {j for i in range(len(data) - 19) if first[data[i : i + 20]] < d for j in range(i, i + 20)}
+        want.append((d, bytes(u for i, u in enumerate(data) if i not in gone)))
+    assert sorted(((r.doc_id, bytes(r.text)) for r in found), key=str) == sorted(want, key=str)
+
+
+def test_open_runs_stay_one_row_each(spark):
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh", k=400))
+    texts = [(d, "".join(rng.choices("ijklmnop", k=50)) + passage[d : 300 + d]) for d in range(40)]
+    docs, rows = spark.createDataFrame(texts, "doc_id bigint, text string"), []
+
+    class Counted(Scratch):
+        def table(self, df, name):
+            written = super().table(df, name)
+            rows.append((name, written.count()))
+            return written
+
+    suffix_dedup.remove_repeats(docs, Counted(spark)).collect()
+    written = {n: [k for name, k in rows if name == n] for n in ("shared", "found", "windows")}
+    # Runs are named and written in one pass, and windows are not rows of their own.
+    assert len(written["shared"]) == 1
+    assert 0 < written["windows"][0] <= written["found"][0]
+
+
+def test_same_windows_go_on_over_batches():
+    names = ["doc_id", "text_key", "anchor", "crowded", "place", "names"]
+    runs = [(1, 0, 5, False, 3 << 16 | 2, [7, 8, 9]), (2, 0, 5, False, 10 << 16 | 3, [6, 7, 8, 4]), (3, 0, 5, False, 0, [9]),
+            (1, 0, 6, False, 9 << 16, [7]), (1, 0, 6, False, 20 << 16, [7])]
+    for size in (1, 2, 5):
+        parts = [runs[i : i + size] for i in range(0, len(runs), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part, strict=True)], names) for part in parts]
+        found = [row for out in repeats_module._same_windows(iter(batches)) for row in out.to_pylist()]
+        assert [(r["doc_id"], r["place"]) for r in found] == [(2, 11 << 16 | 1), (3, 0)]
+    assert list(repeats_module._same_windows(iter([]))) == []
+
+
 def test_repeats_of_awkward_rows(awkward, empty, scratch):
     found = substring_dedup.remove_repeats(awkward, scratch)
     assert set(found.columns) == {*awkward.columns, "n_removed", "n_spans"}
